@@ -7,36 +7,41 @@ chain of array functions: no explode, no shuffle, no Python worker.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.functions.text import ngrams
-
 # Separates a gram from its repeat number; no token contains it.
-_REPEAT = "\u0001"
+_REPEAT = r"\u0001"
 
 
-def _run_starts(sorted_grams: Column) -> Column:
-    marks = F.transform(
-        sorted_grams,
-        lambda gram, i: F.when((i == 0) | (gram != F.get(sorted_grams, i - 1)), i).otherwise(-1),
+def ngrams_sql(tokens: str, n: int) -> str:
+    """The n-grams of a token array column, joined by a space; empty if it is too short."""
+    if n == 1:
+        return tokens
+    rest = ", ".join(f"get({tokens}, i + {k})" for k in range(1, n))
+    return (
+        f"slice(transform({tokens}, (t, i) -> concat_ws(' ', t, {rest})), 1, "
+        f"greatest(size({tokens}) - {n - 1}, 0))"
     )
-    return F.filter(marks, lambda i: i >= 0)
 
 
-def _numbered(sorted_grams: Column, starts: Column) -> Column:
-    def one_run(start: Column, j: Column) -> Column:
-        end = F.coalesce(F.get(starts, j + 1), F.size(sorted_grams))
-        gram = F.get(sorted_grams, start)
-        repeats = F.transform(
-            F.sequence(start + 1, end - 1),
-            lambda k: F.concat(gram, F.lit(_REPEAT), (k - start).cast("string")),
-        )
-        return F.when(end - start == 1, F.array(gram)).otherwise(
-            F.concat(F.array(gram), repeats)
-        )
+def _run_starts_sql(grams: str) -> str:
+    """Where a new value begins in a sorted array."""
+    marks = f"transform({grams}, (g, i) -> if(i = 0 or g <> get({grams}, i - 1), i, -1))"
+    return f"filter({marks}, i -> i >= 0)"
 
-    return F.flatten(F.transform(starts, one_run))
+
+def _numbered_sql(grams: str, starts: str) -> str:
+    """The sorted array with the second, third, ... copy of a value told apart."""
+    end = f"coalesce(get({starts}, j + 1), size({grams}))"
+    copies = (
+        f"transform(sequence(s, {end} - 1), "
+        f"k -> if(k = s, get({grams}, k), concat(get({grams}, k), '{_REPEAT}', k - s)))"
+    )
+    return (
+        f"flatten(transform({starts}, (s, j) -> "
+        f"if({end} - s = 1, array(get({grams}, s)), {copies})))"
+    )
 
 
 def with_overlaps(
@@ -46,24 +51,23 @@ def with_overlaps(
 
     Each stage is its own projection so that no array is computed twice.
     """
+    sides = [(n, column, f"__{prefix}{n}_{side}") for n in orders
+             for side, column in (("l", left), ("r", right))]
     keep = df.columns
-
-    def names(stem: str, n: int) -> tuple[str, str]:
-        return f"__{prefix}{stem}{n}_l", f"__{prefix}{stem}{n}_r"
-
-    grams, runs, bags, counts = {}, {}, {}, {}
-    for n in orders:
-        for side, name in zip((left, right), names("g", n)):
-            grams[name] = F.array_sort(ngrams(F.col(side), n))
-    out = df.withColumns(grams)
-    for n in orders:
-        for g, s in zip(names("g", n), names("s", n)):
-            runs[s] = _run_starts(F.col(g))
-    out = out.withColumns(runs)
-    for n in orders:
-        for g, s, b in zip(names("g", n), names("s", n), names("b", n)):
-            bags[b] = _numbered(F.col(g), F.col(s))
-    out = out.withColumns(bags)
-    for n in orders:
-        counts[f"{prefix}match{n}"] = F.size(F.array_intersect(*map(F.col, names("b", n))))
-    return out.select(*keep, *[c.alias(name) for name, c in counts.items()])
+    out = df.select(
+        *keep, *[F.expr(f"sort_array({ngrams_sql(c, n)})").alias(f"{name}_grams") for n, c, name in sides]
+    )
+    out = out.select(
+        "*", *[F.expr(_run_starts_sql(f"{name}_grams")).alias(f"{name}_starts") for _, _, name in sides]
+    )
+    out = out.select(
+        *keep,
+        *[F.expr(_numbered_sql(f"{name}_grams", f"{name}_starts")).alias(name) for _, _, name in sides],
+    )
+    return out.select(
+        *keep,
+        *[
+            F.size(F.array_intersect(f"__{prefix}{n}_l", f"__{prefix}{n}_r")).alias(f"{prefix}match{n}")
+            for n in orders
+        ],
+    )

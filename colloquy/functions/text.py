@@ -53,17 +53,6 @@ def bleu_tokens(c: Column | str) -> Column:
     return F.regexp_extract_all(text, F.lit(_WORD), F.lit(0))
 
 
-def ngrams(tokens: Column, n: int) -> Column:
-    """The n-grams of a token array, each joined by a space; empty if it is too short."""
-    if n == 1:
-        return tokens
-    grams = F.transform(
-        tokens,
-        lambda first, i: F.concat_ws(" ", first, *[F.get(tokens, i + k) for k in range(1, n)]),
-    )
-    return F.slice(grams, F.lit(1), F.greatest(F.size(tokens) - (n - 1), F.lit(0)))
-
-
 def seeded_key(c: Column | str, seed: int | str) -> Column:
     """A reproducible pseudo-random sort key for a row id (ties broken by the id itself)."""
     return F.md5(F.concat(F.lit(f"{seed}:"), _col(c).cast("string")).cast("binary"))

@@ -179,10 +179,12 @@ def latency_summary(
     time instead.
     """
     by = by or []
+    # A latency of 0 has no rate; such a row is left out of the mean of rates.
+    seconds = F.nullif(F.col(latency), F.lit(0.0)) / 1000.0
     if weighted:
-        rate = F.sum(tokens) / (F.sum(latency) / 1000.0)
+        rate = F.sum(tokens) / F.nullif(F.sum(latency) / 1000.0, F.lit(0.0))
     else:
-        rate = F.avg(F.col(tokens) / (F.col(latency) / 1000.0))
+        rate = F.avg(F.col(tokens) / seconds)
     plain = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_prompts"),
         F.avg(latency).alias("avg_latency_ms"),

@@ -17,39 +17,33 @@ def pairs_from_turns(
     """Each user turn with the assistant turn that directly follows it.
 
     ``conv_id, turn, instruction, response``. A conversation is windowed in spans of turn
-    numbers, so a huge one is spread over many tasks; only the first and last turn of a
-    span go through a second window that joins the spans up.
+    numbers, so a huge one is spread over many tasks. The last turn of a span takes its
+    successor from a table with the first turn of each span.
     """
-    table = turns.select(conv, turn, "role", "text", F.floor(F.col(turn) / span).alias("__span"))
+    table = turns.select(conv, turn, "role", "text", F.expr(f"{turn} div {span}").alias("__span"))
     within = Window.partitionBy(conv, "__span").orderBy(turn)
     seen = table.select(
         "*",
         F.lead("role").over(within).alias("__next_role"),
         F.lead("text").over(within).alias("__next_text"),
-        F.lag(turn).over(within).isNull().alias("__first"),
         F.lead(turn).over(within).isNull().alias("__last"),
+        F.lag(turn).over(within).isNull().alias("__first"),
     )
-    is_last = F.col("__last")
-    asks, answers = F.col("role") == "user", F.col("role") == "assistant"
-
-    inside = seen.where(asks & (F.col("__next_role") == "assistant")).select(
-        conv, turn, F.col("text").alias("instruction"), F.col("__next_text").alias("response")
-    )
-    edges = seen.where(F.col("__first") | is_last).select(
-        conv, turn, "role", "__last",
-        # Only a text that can take part in a pair across the edge travels on.
-        F.when((is_last & asks) | (F.col("__first") & answers), F.col("text")).alias("text"),
+    # Row per span; the text travels only where it can be an answer.
+    heads = seen.where("__first").select(
+        conv, turn, "__span", "role", F.when(F.col("role") == "assistant", F.col("text")).alias("text")
     )
     across = Window.partitionBy(conv).orderBy(turn)
-    joined = edges.select(
-        "*", F.lead("role").over(across).alias("__next_role"),
-        F.lead("text").over(across).alias("__next_text"),
-    )
-    joined = joined.where(
-        F.col("__last") & (F.col("role") == "user") & (F.col("__next_role") == "assistant")
-    )
-    return inside.unionByName(
-        joined.select(conv, turn, F.col("text").alias("instruction"), F.col("__next_text").alias("response"))
+    following = heads.select(
+        conv, "__span", F.lit(True).alias("__last"),
+        F.lead("role").over(across).alias("__role"), F.lead("text").over(across).alias("__text"),
+    ).where(F.col("__role") == "assistant")
+    asks = seen.where((F.col("role") == "user") & ((F.col("__next_role") == "assistant") | F.col("__last")))
+    joined = asks.join(following, [conv, "__span", "__last"], "left")
+    answered = F.col("__next_role").isNotNull() | F.col("__role").isNotNull()
+    return joined.where(answered).select(
+        conv, turn, F.col("text").alias("instruction"),
+        F.when(F.col("__last"), F.col("__text")).otherwise(F.col("__next_text")).alias("response"),
     )
 
 
@@ -120,7 +114,7 @@ def assemble_history(
     rows = history_rows(turns, system_text, tool_results, conv, turn)
     segment = F.greatest(F.floor(F.col(turn) / span), F.lit(0)).cast("bigint")
     packed = rows.groupBy(conv, segment.alias("segment")).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(turn), "role", "content"))).alias("__turns")
+        F.sort_array(F.collect_list(F.struct(F.col(turn), "role", "content"))).alias("__turns")
     )
     return packed.select(
         conv, "segment",
