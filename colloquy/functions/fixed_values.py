@@ -13,7 +13,8 @@ QUALITY_FLAGS = "BIK"
 WHITESPACE_CLASS = (
     r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
-LINE_BREAK = r"\r\n|[\n-\r\x1c-\x1e\x{85}\x{2028}\x{2029}]"
+# The characters that end a line.
+LINE_BREAK_CLASS = r"\n-\r\x1c-\x1e\x{85}\x{2028}\x{2029}"
 
 # ---- fixed values: prompts --------------------------------------------------------------
 SYSTEM_PROMPT = (

@@ -47,13 +47,16 @@ def _numbered_sql(grams: str, starts: str) -> str:
 def with_overlaps(
     df: DataFrame, left: str, right: str, orders: list[int], prefix: str
 ) -> DataFrame:
-    """Add ``{prefix}match{n}`` for each order: grams common to two token arrays, clipped.
+    """Replace two token arrays by their lengths and their common grams.
 
-    Each stage is its own projection so that no array is computed twice.
+    Gives ``{prefix}left_len``, ``{prefix}right_len`` and, for each order,
+    ``{prefix}match{n}``: the grams the two have in common, clipped. Each stage is its own
+    projection so that no array is computed twice.
     """
     sides = [(n, column, f"__{prefix}{n}_{side}") for n in orders
              for side, column in (("l", left), ("r", right))]
-    keep = df.columns
+    df = df.withColumns({f"{prefix}left_len": F.size(left), f"{prefix}right_len": F.size(right)})
+    keep = [c for c in df.columns if c not in (left, right)]
     out = df.select(
         *keep, *[F.expr(f"sort_array({ngrams_sql(c, n)})").alias(f"{name}_grams") for n, c, name in sides]
     )

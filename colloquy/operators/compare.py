@@ -15,8 +15,8 @@ from colloquy.operators.split import sample_per_group
 def _long(record: DataFrame, metrics: list[str], by: list[str], value: str) -> DataFrame:
     """A metrics record as rows; a metric the record lacks is left out."""
     have = [m for m in metrics if m in record.columns]
-    wide = record.select(*by, *[F.col(m).cast("double").alias(m) for m in have])
-    return wide.unpivot(by, have, "metric", value)
+    rows = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias(value)) for m in have]
+    return record.select(*by, F.inline(F.array(*rows)))
 
 
 def _verdict(delta: Column, lower_is_better: Column) -> Column:

@@ -30,7 +30,7 @@ def with_rouge_n(df: DataFrame, pred: str, ref: str, orders: tuple[int, ...] = (
     """Add ``rouge{n}``: the F1 of shared n-grams of each row."""
     tokens = df.withColumns({"__pred": rouge_tokens(pred), "__ref": rouge_tokens(ref)})
     counted = with_overlaps(tokens, "__pred", "__ref", list(orders), "__rouge_")
-    n_pred, n_ref = F.size("__pred"), F.size("__ref")
+    n_pred, n_ref = F.col("__rouge_left_len"), F.col("__rouge_right_len")
     return counted.select(
         *df.columns,
         *[
@@ -60,10 +60,7 @@ def with_bleu_counts(df: DataFrame, pred: str, ref: str) -> DataFrame:
     """Add the row's share of the corpus counts: matches and totals per order, lengths."""
     tokens = df.withColumns({"__pred": bleu_tokens(pred), "__ref": bleu_tokens(ref)})
     counted = with_overlaps(tokens, "__pred", "__ref", BLEU_ORDERS, "bleu_")
-    return counted.withColumns({
-        "bleu_pred_len": F.size("__pred"),
-        "bleu_ref_len": F.size("__ref"),
-    }).drop("__pred", "__ref")
+    return counted.withColumnsRenamed({"bleu_left_len": "bleu_pred_len", "bleu_right_len": "bleu_ref_len"})
 
 
 def _bleu_sums() -> list[Column]:

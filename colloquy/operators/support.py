@@ -26,21 +26,21 @@ def with_tool_call(df: DataFrame, text: str = "text") -> DataFrame:
     Arguments that are not a JSON object become an empty map; a call without parentheses
     has no tool name.
     """
-    lines = F.split(F.col(text), fixed.LINE_BREAK)
-    edge = f"[{fixed.WHITESPACE_CLASS}]*"
-    mark = fixed.TOOL_CALL_MARK
-    line = F.get(F.filter(lines, lambda x: x.rlike(f"^{edge}{mark}")), 0)
-    form = rf"(?s){mark}{edge}([^(]*?){edge}\((.*)\)"
-    found = df.withColumn("__line", line)
-    name = F.regexp_extract("__line", form, 1)
+    space, end, mark = fixed.WHITESPACE_CLASS, fixed.LINE_BREAK_CLASS, fixed.TOOL_CALL_MARK
+    # The rest of the first line that has nothing but white space before the mark.
+    call = F.regexp_extract(text, rf"(?:^|[{end}])[{space}]*{mark}[{space}&&[^{end}]]*([^{end}]*)", 1)
+    # Texts without the mark skip the regular expressions.
+    found = df.withColumn("__call", F.when(F.col(text).contains(mark), call))
+    named = found.withColumn(
+        "tool", F.regexp_substr("__call", F.lit(rf"^[^({space}][^(]*?(?=[{space}]*\(.*\))"))
+    )
     parsed = F.from_json(
-        F.regexp_extract("__line", form, 2), T.MapType(T.StringType(), T.StringType()),
+        F.regexp_extract("__call", r"\((.*)\)", 1), T.MapType(T.StringType(), T.StringType()),
         {"allowSingleQuotes": "false"},
     )
-    return found.select(
-        *df.columns,
-        F.when(name != "", name).alias("tool"),
-        F.when(name != "", F.coalesce(parsed, F.create_map().cast("map<string,string>"))).alias("args"),
+    empty = F.create_map().cast("map<string,string>")
+    return named.select(
+        *df.columns, "tool", F.when(F.col("tool").isNotNull(), F.coalesce(parsed, empty)).alias("args")
     )
 
 
@@ -51,8 +51,14 @@ def tool_usage(calls: DataFrame) -> DataFrame:
 
 def tool_catalogue(spark: SparkSession) -> DataFrame:
     """``tool, required, optional``: one row per known tool."""
-    rows = [(name, need, may) for name, (need, may) in fixed.TOOL_CATALOGUE.items()]
-    return spark.createDataFrame(rows, "tool string, required array<string>, optional array<string>")
+    def texts(names: list[str]) -> Column:
+        return F.array(*map(F.lit, names)).cast("array<string>")
+
+    rows = [
+        F.struct(F.lit(name).alias("tool"), texts(need).alias("required"), texts(may).alias("optional"))
+        for name, (need, may) in fixed.TOOL_CATALOGUE.items()
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def check_tool_calls(calls: DataFrame, catalogue: DataFrame | None = None) -> DataFrame:

@@ -371,6 +371,12 @@ def metrics_by_slice(spark, d):
     return _record_columns(metrics.metrics_for(views.pred_base(spark, d), "base", "models/base", ["category"]))
 
 
+@query
+def metrics_documents(spark, d):
+    """Long texts: the record of documents scored against their own first halves."""
+    return _record_columns(metrics.metrics_for(views.doc_predictions(spark, d), "half", "models/half", ["category"]))
+
+
 # ---------------------------------------------------------------- comparisons
 
 def _simple_record(df: DataFrame, label: str) -> DataFrame:

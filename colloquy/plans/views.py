@@ -14,8 +14,8 @@ from colloquy.sources.tables import read_table
 AS_OF = "1998-01-31 09:30:00"
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return read_table(spark, f"{folder}/{name}.parquet")
+def table(spark: SparkSession, folder: str, name: str, spread: bool = False) -> DataFrame:
+    return read_table(spark, f"{folder}/{name}.parquet", spread=spread)
 
 
 def pairs(spark: SparkSession, folder: str) -> DataFrame:
@@ -28,8 +28,8 @@ def pairs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def dialogues(spark: SparkSession, folder: str) -> DataFrame:
-    joined = table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id", "left")
+def dialogues(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
+    joined = table(spark, folder, "documents", spread).join(table(spark, folder, "labels"), "doc_id", "left")
     marks = F.concat(
         F.when(F.col("quality") == 0, "B").otherwise(""), F.when(F.col("toxic") == 1, "I").otherwise("")
     )
@@ -58,7 +58,7 @@ def pred_ft(spark: SparkSession, folder: str) -> DataFrame:
 
 def doc_predictions(spark: SparkSession, folder: str) -> DataFrame:
     """Long texts with their own first half as the prediction."""
-    return dialogues(spark, folder).select(
+    return dialogues(spark, folder, spread=True).select(
         "example_id", "instruction", "response", "intent", "category",
         F.expr("substr(response, 1, length(response) div 2)").alias("prediction"),
         (F.length("response") * 1.5).alias("latency_ms"),

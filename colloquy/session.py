@@ -17,6 +17,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **extra: s
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        # Small shuffles may keep every core busy instead of ending up in one task.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in extra.items():

@@ -7,10 +7,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def read_table(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
-    """A Parquet table; a missing path raises when this is called."""
+def read_table(
+    spark: SparkSession, path: str, columns: list[str] | None = None, spread: bool = False
+) -> DataFrame:
+    """A Parquet table; a missing path raises when this is called.
+
+    ``spread`` deals the rows of a table out to all cores if it has fewer files than there
+    are cores, for work that costs much per row. A table of many files is left as it is, so
+    this never shuffles a large one.
+    """
     table = spark.read.parquet(path)
-    return table.select(*columns) if columns else table
+    if columns:
+        table = table.select(*columns)
+    cores = spark.sparkContext.defaultParallelism
+    if spread and len(table.inputFiles()) < cores:
+        table = table.repartition(cores)
+    return table
 
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
