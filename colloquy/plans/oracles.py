@@ -144,7 +144,7 @@ def sql(body: str, *views: str, extra: str = "") -> str:
     parts = [f"{name} AS ({VIEWS[name][1]})" for name in order]
     if extra:
         parts.append(extra.strip().rstrip(","))
-    return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body
+    return ("WITH RECURSIVE " + ",\n".join(parts) + "\n" if parts else "") + body
 
 
 def r(expression: str, name: str) -> str:
@@ -195,6 +195,30 @@ def _rouge_rows(n: int) -> str:
     )
 
 
+def _lcs_ctes(source: str, tag: str) -> str:
+    """LCS by the usual table, one row of it per recursion step; ends in ``lcs_{tag}``."""
+    step = (
+        "list_transform(range(1, len(q) + 1), lambda j: greatest(dp[j + 1], "
+        "CASE WHEN q[j] = p[i + 1] THEN dp[j] + 1 ELSE 0 END))"
+    )
+    return f"""
+        words_{tag} AS (SELECT example_id, {_rouge_tokens('prediction')} AS p, {_rouge_tokens('response')} AS q FROM {source}),
+        dp_{tag} AS (
+            SELECT example_id, p, q, 0 AS i, list_transform(range(0, len(q) + 1), lambda j: 0::BIGINT) AS dp FROM words_{tag}
+            UNION ALL
+            SELECT example_id, p, q, i + 1,
+                   [0::BIGINT] || list_transform(range(1, len(q) + 1), lambda j: list_max(best[1:j]))
+            FROM (SELECT *, {step} AS best FROM dp_{tag} WHERE i < len(p))),
+        lcs_{tag} AS (SELECT example_id, CASE WHEN len(q) > 0 AND list_max(dp) > 0
+            THEN 2.0::DOUBLE * list_max(dp) / (len(p) + len(q)) ELSE 0.0 END AS f FROM dp_{tag} WHERE i = len(p))"""
+
+
+def _rouge_value(source: str, n: int) -> str:
+    """One mean score as a query of its own."""
+    return sql(f"SELECT avg(f) AS f FROM ({_rouge_rows(n)})", source,
+               extra=_gram_ctes(source, "example_id", _rouge_tokens, [n]))
+
+
 def _bleu_sql(source: str, by: str | None) -> str:
     key = f"example_id, {by}" if by else "example_id"
     group = f"{by}, " if by else ""
@@ -548,6 +572,19 @@ ORACLES: dict[str, str] = {
         f"""SELECT a.example_id, {r('a.f', 'rouge1')}, {r('b.f', 'rouge2')}
             FROM ({_rouge_rows(1)}) a JOIN ({_rouge_rows(2)}) b ON a.example_id = b.example_id""", "pred_base",
         extra=_gram_ctes("pred_base", "example_id", _rouge_tokens, [1, 2])),
+    "rouge_l": sql(f"SELECT {r('avg(f)', 'rougeL')} FROM lcs_base", "pred_base", extra=_lcs_ctes("pred_base", "base")),
+    "compare_full": sql(
+        f"""SELECT metric, {r('b', 'base')}, {r('c', 'candidate')}, {r('c - b', 'delta')},
+                   round(CASE WHEN b <> 0 THEN (c - b) / b * 100 ELSE 0 END, {DIGITS}) AS pct,
+                   CASE WHEN c = b THEN 'same' WHEN (c > b) = (metric NOT LIKE 'avg%') THEN 'better' ELSE 'worse' END AS verdict
+            FROM ({_delta_rows(['bleu', 'avg_pred_length', 'avg_latency_ms'], 'rec_base', 'rec_ft')}
+                  UNION ALL SELECT 'rougeL', (SELECT avg(f) FROM lcs_base), (SELECT avg(f) FROM lcs_ft)
+                  UNION ALL SELECT 'rouge1', ({_rouge_value('pred_base', 1)}), ({_rouge_value('pred_ft', 1)})
+                  UNION ALL SELECT 'rouge2', ({_rouge_value('pred_base', 2)}), ({_rouge_value('pred_ft', 2)}))""",
+        "pred_base", "pred_ft", extra=",\n".join([
+            TWO_RECORDS.replace(f", {DIGITS}) AS bleu", ", 15) AS bleu"),
+            _lcs_ctes("pred_base", "base"), _lcs_ctes("pred_ft", "ft"),
+        ])),
     "bleu": _bleu_sql("pred_ft", None),
     "bleu_by_intent": _bleu_sql("pred_ft", "intent"),
     "bleu_documents": _bleu_sql("doc_predictions", "category"),

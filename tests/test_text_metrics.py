@@ -100,6 +100,38 @@ def test_lsum_clips_repeated_tokens():
     assert lcs.rouge_lsum_pair("a x", "a\na") == pytest.approx(2 * 1 / (2 + 2))
 
 
+def plain_lsum(candidate, reference):
+    cand = [plain_tokens(x) for x in candidate.split("\n") if x]
+    ref = [plain_tokens(x) for x in reference.split("\n") if x]
+    have_c, have_r, hits = Counter(sum(cand, [])), Counter(sum(ref, [])), 0
+    n_c, n_r = sum(have_c.values()), sum(have_r.values())
+    for line in ref:
+        union = set()
+        for other in cand:
+            table, i, j = plain_lcs(line, other), len(line), len(other)
+            while i and j:
+                if line[i - 1] == other[j - 1]:
+                    i, j = i - 1, j - 1
+                    union.add(i)
+                elif table[i][j - 1] > table[i - 1][j]:
+                    j -= 1
+                else:
+                    i -= 1
+        for at in sorted(union):
+            if have_c[line[at]] and have_r[line[at]]:
+                hits += 1
+                have_c[line[at]] -= 1
+                have_r[line[at]] -= 1
+    return 0.0 if not hits else 2 * hits / (n_c + n_r)
+
+
+def test_lsum_against_the_full_table():
+    rng = random.Random(9)
+    for _ in range(300):
+        a, b = ("".join(rng.choice("ab c\n ") for _ in range(rng.randint(0, 40))) for _ in range(2))
+        assert lcs.rouge_lsum_pair(a, b) == pytest.approx(plain_lsum(a, b))
+
+
 def plain_bleu(rows):
     match, total, p_len, r_len = [0] * 4, [0] * 4, 0, 0
     for p, q in rows:
