@@ -30,14 +30,18 @@ def lookup_join(
     share: float = HOT_SHARE,
     rows: int = HOT_ROWS,
     salts: int = SALTS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of a table of facts to a table with one row per key.
 
     The matching state row is added as struct ``into`` (null if there is none). Facts of a
     hot key are spread over ``salts`` partitions by a hash of their id, and the state row of
     that key is repeated once per salt. Facts without a key are spread the same way.
+    ``counted`` names a cheaper table with the same keys to count, where ``facts`` is itself
+    the result of a join.
     """
-    hot = F.broadcast(hot_keys(facts, key, share, rows).withColumn("__hot", F.lit(True)))
+    source = facts if counted is None else counted
+    hot = F.broadcast(hot_keys(source, key, share, rows).withColumn("__hot", F.lit(True)))
     spread = F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")
     left = facts.join(hot, key, "left").withColumn(
         "__salt", F.when(F.col("__hot") | F.col(key).isNull(), spread).otherwise(0)

@@ -186,8 +186,10 @@ def _with_order(requests: DataFrame, orders: DataFrame) -> DataFrame:
     return lookup_join(requests, orders, "order_id", "request_id", "__order")
 
 
-def _with_account(requests: DataFrame, accounts: DataFrame) -> DataFrame:
-    return lookup_join(requests, accounts, "email", "request_id", "__account")
+def _with_account(
+    requests: DataFrame, accounts: DataFrame, counted: DataFrame | None = None
+) -> DataFrame:
+    return lookup_join(requests, accounts, "email", "request_id", "__account", counted=counted)
 
 
 def _errors(uses: str, **by_code: Column) -> Column:
@@ -419,7 +421,7 @@ def adjudicate(
     for action, rules in by_action.items():
         hit = F.col("action") == action
         code = F.when(hit, _code(rules)) if code is None else code.when(hit, _code(rules))
-    joined = _with_account(_with_order(requests, orders), accounts)
+    joined = _with_account(_with_order(requests, orders), accounts, counted=requests)
     decided = joined.withColumn("code", code.otherwise("unknown_action"))
     refund = F.when(F.col("action") == "cancel_order", F.col("__order.total")).when(
         F.col("action") == "process_refund", F.col("amount")
