@@ -30,10 +30,9 @@ def _columns_by_token(tokens: list[str]) -> dict[str, int]:
     return places
 
 
-def _rows(rows: list[str], columns: list[str]):
+def _rows(rows: list[str], width: int, places: dict[str, int]):
     """Yield, after each row token, the bits that are 0 where the LCS length steps up."""
-    full = (1 << len(columns)) - 1
-    places = _columns_by_token(columns)
+    full = (1 << width) - 1
     state = full
     for token in rows:
         hits = state & places.get(token, 0)
@@ -48,12 +47,14 @@ def lcs_length(a: list[str], b: list[str]) -> int:
     if len(a) < len(b):
         a, b = b, a
     state = (1 << len(b)) - 1
-    for state in _rows(a, b):
+    for state in _rows(a, len(b), _columns_by_token(b)):
         pass
     return len(b) - state.bit_count()
 
 
-def lcs_reference_positions(reference: list[str], candidate: list[str]) -> set[int]:
+def lcs_reference_positions(
+    reference: list[str], candidate: list[str], places: dict[str, int] | None = None
+) -> set[int]:
     """Positions in ``reference`` of one LCS.
 
     Traced from the end: equal tokens are taken, otherwise step back in the candidate only
@@ -61,8 +62,8 @@ def lcs_reference_positions(reference: list[str], candidate: list[str]) -> set[i
     """
     if not reference or not candidate:
         return set()
-    full = (1 << len(candidate)) - 1
-    states = [full, *_rows(reference, candidate)]
+    places = _columns_by_token(candidate) if places is None else places
+    states = [(1 << len(candidate)) - 1, *_rows(reference, len(candidate), places)]
 
     def length(i: int, j: int) -> int:
         return j - (states[i] & ((1 << j) - 1)).bit_count()
@@ -104,12 +105,16 @@ def rouge_lsum_pair(candidate: str, reference: str) -> float:
     left_ref = Counter(token for line in ref_lines for token in line)
     n_cand, n_ref = sum(left_cand.values()), sum(left_ref.values())
     hits = 0
+    places = [_columns_by_token(line) for line in cand_lines]
+    whole = {tuple(line) for line in cand_lines}
     for line in ref_lines:
-        known = set(line)
-        union: set[int] = set()
-        for other in cand_lines:
-            if not known.isdisjoint(other):
-                union |= lcs_reference_positions(line, other)
+        # A line that the candidate has word for word is found whole.
+        union = set(range(len(line))) if tuple(line) in whole else set()
+        for other, at in zip(cand_lines, places):
+            if len(union) == len(line):
+                break
+            if not at.keys().isdisjoint(line):
+                union |= lcs_reference_positions(line, other, at)
         for at in sorted(union):
             token = line[at]
             if left_cand[token] > 0 and left_ref[token] > 0:
