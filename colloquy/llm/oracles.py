@@ -2,4 +2,33 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+OP2 = r"""
+WITH texts AS (
+    SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents
+)
+SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = min(doc_id) OVER same AS kept, text_sha256
+FROM texts WINDOW same AS (PARTITION BY text_sha256)
+"""
+
+OP9 = r"""
+WITH rules(rule_host, rule_path, rule_verdict) AS (
+    VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+),
+rest AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+),
+hosts AS (
+    SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+    FROM rest
+),
+parts AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM hosts),
+met AS (
+    SELECT page_id, host, path, arg_max(struct_pack(rule := rule_host || rule_path, verdict := rule_verdict), length(rule_host || rule_path)) AS win
+    FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+    GROUP BY page_id, host, path
+)
+SELECT p.page_id, p.host, p.path, win.rule AS rule, coalesce(win.verdict, 'allow') AS verdict
+FROM parts p LEFT JOIN met m ON p.page_id = m.page_id
+"""
+
+ORACLES: dict[str, str] = {"op2_exact_dedup": OP2, "op9_url_filter": OP9}

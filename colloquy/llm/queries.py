@@ -8,11 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import bpe, packing, substring_dedup
+from colloquy.llm import bpe, exact_dedup, packing, quality_classifier, quality_rules, substring_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 VOCABULARY = "byte_bpe_50k.json"
+# The rules of the URL query.
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
 
 
 def query(fn: Query) -> Query:
@@ -31,6 +38,30 @@ def op1_substring_dedup(spark, d):
     )
 
 
+@query
+def op2_exact_dedup(spark, d):
+    return exact_dedup.find_copies(_table(spark, d, "documents")).select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
+    )
+
+
+@query
+def op3_quality_rules(spark, d):
+    judged = quality_rules.judge(_table(spark, d, "documents").select("doc_id", "text", "lang", "source"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+@query
+def op4_quality_classifier(spark, d):
+    docs = _table(spark, d, "documents").select("doc_id", "text")
+    labels = _table(spark, d, "labels").where(~quality_classifier.held_out("doc_id"))
+    return quality_classifier.score(docs, quality_classifier.train(docs, labels)).select(
+        "doc_id", quality_classifier.held_out("doc_id").alias("held_out"), "score", "predicted"
+    )
+
+
 @query
 def op7_bpe(spark, d):
     return bpe.encode(_table(spark, d, "documents"), public_tokenizers.path(VOCABULARY), decoded=True).select(
@@ -38,6 +69,12 @@ def op7_bpe(spark, d):
     )
 
 
+@query
+def op9_url_filter(spark, d):
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judge(_table(spark, d, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op10_packing(spark, d):
     return packing.pack(_table(spark, d, "documents"), public_tokenizers.path(VOCABULARY)).select(
