@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import bpe, exact_dedup, packing, quality_classifier, quality_rules, substring_dedup, url_filter
+from colloquy.llm import bpe, exact_dedup, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -69,6 +69,11 @@ def op7_bpe(spark, d):
     )
 
 
+@query
+def op8_near_dedup(spark, d):
+    return near_dedup.components(_table(spark, d, "documents"), k=3, percent=85)
+
+
 @query
 def op9_url_filter(spark, d):
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
