@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import bpe, exact_dedup, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, url_filter
+from colloquy.llm import bpe, exact_dedup, license_rules, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,6 +62,13 @@ def op4_quality_classifier(spark, d):
     )
 
 
+@query
+def op6_license_rules(spark, d):
+    return license_rules.summary(license_rules.scan(_table(spark, d, "documents"))).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
 @query
 def op7_bpe(spark, d):
     return bpe.encode(_table(spark, d, "documents"), public_tokenizers.path(VOCABULARY), decoded=True).select(
