@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import bpe, exact_dedup, license_rules, near_dedup, packing, quality_classifier, quality_rules, substring_dedup, url_filter
+from colloquy.llm import bpe, exact_dedup, license_rules, near_dedup, packing, pii, quality_classifier, quality_rules, substring_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -62,6 +62,16 @@ def op4_quality_classifier(spark, d):
     )
 
 
+@query
+def op5_pii(spark, d):
+    found = pii.find(_table(spark, d, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", count("email"), count("ip"), count("card"), count("phone"),
+        F.sha2(pii.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), pii.listed(F.col("spans")).alias("spans"),
+    )
+
+
 @query
 def op6_license_rules(spark, d):
     return license_rules.summary(license_rules.scan(_table(spark, d, "documents"))).select(
