@@ -60,6 +60,21 @@ def bleu_tokens(c: Column | str) -> Column:
     return F.regexp_extract_all(text, F.lit(_WORD), F.lit(0))
 
 
+def json_object(c: Column | str) -> Column:
+    """The text if the whole of it is one JSON object, else null.
+
+    The reader stops behind the first value it is asked for. So the text is read as the first element of an
+    array that ends with an element known beforehand: anything more, or a bracket too many,
+    changes the array.
+    """
+    text = _col(c)
+    wrapped = F.from_json(
+        F.concat(F.lit("["), text, F.lit(',{"__end":1}]')), "array<string>", {"allowSingleQuotes": "false"}
+    )
+    alone = (F.size(wrapped) == 2) & (F.get(wrapped, F.lit(1)) == '{"__end":1}') & F.get(wrapped, F.lit(0)).startswith("{")
+    return F.when(alone & text.rlike(r"^\s*\{"), text)
+
+
 def seeded_key(c: Column | str, seed: int | str) -> Column:
     """A reproducible pseudo-random sort key for a row id (ties broken by the id itself)."""
     return F.md5(F.concat(F.lit(f"{seed}:"), _col(c).cast("string")).cast("binary"))

@@ -30,13 +30,13 @@ def compare(
 ) -> DataFrame:
     """``metric, base, candidate, delta, pct, verdict`` of two metrics records.
 
-    A metric that is null on either side is skipped. The change is 0 % where the base is 0.
+    A metric that is null or NaN on either side is skipped. The change is 0 % where the base is 0.
     For lengths and latencies lower is better.
     """
     by = by or []
     both = join_groups(
         _long(base, metrics, by, "base"), _long(candidate, metrics, by, "candidate"), [*by, "metric"]
-    ).where(F.col("base").isNotNull() & F.col("candidate").isNotNull())
+    ).where(F.nanvl("base", F.lit(None)).isNotNull() & F.nanvl("candidate", F.lit(None)).isNotNull())
     delta = F.col("candidate") - F.col("base")
     return both.select(
         *by, "metric", "base", "candidate", delta.alias("delta"),

@@ -33,7 +33,7 @@ def _best_in_blocks(cand: pd.Series, ref: pd.Series) -> pd.DataFrame:
 
 
 def _blocks(tokens: DataFrame, pair: str, position: str, vector: str, block: int, side: str) -> DataFrame:
-    return tokens.groupBy(pair, F.floor(F.col(position) / block).alias(side)).agg(
+    return tokens.where(F.col(vector).isNotNull()).groupBy(pair, F.floor(F.col(position) / block).alias(side)).agg(
         F.sort_array(F.collect_list(F.struct(F.col(position), F.col(vector).alias("v")))).alias("__v")
     ).select(pair, side, F.col("__v.v").alias(f"{side}_vectors"))
 

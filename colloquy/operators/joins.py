@@ -8,17 +8,16 @@ from pyspark.sql import functions as F
 # A key is hot if it holds more than this share of the rows; so there are fewer than
 # 1 / HOT_SHARE hot keys, which bounds the broadcast below whatever the data looks like.
 HOT_SHARE = 0.001
-# Below this many rows one key is no burden for a task.
+# Below this many rows one key is no burden for a task; a hot key gets a salt for each.
 HOT_ROWS = 200_000
-SALTS = 64
 
 
 def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE, rows: int = HOT_ROWS) -> DataFrame:
-    """The keys holding more than ``share`` of the rows; at most ``1 / share`` of them."""
+    """The keys holding more than ``share`` of the rows, with their count ``__n``; at most ``1 / share`` of them."""
     present = facts.where(F.col(key).isNotNull())
     total = present.agg(F.count(F.lit(1))).scalar()
     counts = present.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    return counts.where(F.col("__n") > F.greatest(total * F.lit(share), F.lit(rows))).select(key)
+    return counts.where(F.col("__n") > F.greatest(total * F.lit(share), F.lit(rows)))
 
 
 def lookup_join(
@@ -29,26 +28,31 @@ def lookup_join(
     into: str,
     share: float = HOT_SHARE,
     rows: int = HOT_ROWS,
-    salts: int = SALTS,
     counted: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of a table of facts to a table with one row per key.
 
-    The matching state row is added as struct ``into`` (null if there is none). Facts of a
-    hot key are spread over ``salts`` partitions by a hash of their id, and the state row of
-    that key is repeated once per salt. Facts without a key are spread the same way.
+    The matching state row is added as struct ``into`` (null if there is none); of several
+    state rows for one key the least counts, so no fact is ever doubled. Facts of a hot key
+    are spread by a hash of their id over one salt per ``rows`` of them, and the state row of
+    that key is repeated once per salt. Facts without a key are spread by that hash.
     ``counted`` names a cheaper table with the same keys to count, where ``facts`` is itself
     the result of a join.
     """
     source = facts if counted is None else counted
-    hot = F.broadcast(hot_keys(source, key, share, rows).withColumn("__hot", F.lit(True)))
-    spread = F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int")
+    salts = F.ceil(F.col("__n") / F.lit(max(rows, 1))).cast("bigint")
+    hot = F.broadcast(hot_keys(source, key, share, rows).select(key, salts.alias("__salts")))
+    spread = F.xxhash64(row_id)
     left = facts.join(hot, key, "left").withColumn(
-        "__salt", F.when(F.col("__hot") | F.col(key).isNull(), spread).otherwise(0)
+        "__salt",
+        F.when(F.col(key).isNull(), spread).when(F.col("__salts").isNotNull(), F.pmod(spread, F.col("__salts"))).otherwise(F.lit(0)),
     )
-    copies = F.sequence(F.lit(0), F.when(F.col("__hot"), salts - 1).otherwise(0))
+    others = [c for c in state.columns if c != key]
+    unique = state.groupBy(key).agg(F.min(F.struct(*(others or [key]))).alias("__state"))
+    unique = unique.select(key, *[F.col("__state")[c].alias(c) for c in others])
+    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("__salts") - 1, F.lit(0).cast("bigint")))
     right = (
-        state.join(hot, key, "left")
+        unique.join(hot, key, "left")
         .withColumn("__salt", F.explode(copies))
         .select(key, "__salt", F.struct(*state.columns).alias(into))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.functions import fixed_values as fixed
-from colloquy.functions.text import fill
+from colloquy.functions.text import fill, json_object
 from colloquy.operators.ranking import with_position
 
 SCORES = ["helpfulness", "accuracy", "professionalism"]
@@ -48,7 +48,7 @@ def _parse(reply: Column | str, schema: str) -> tuple[Column, Column]:
     parsed = F.from_json(text, schema, options)
     fields = [f.split()[0] for f in schema.split(", ") if not f.startswith("_corrupt")]
     nothing = reduce(lambda a, b: a & b, [parsed[f].isNull() for f in fields])
-    whole = F.coalesce(text.rlike(r"(?s)^\s*\{.*\}\s*$"), F.lit(False))
+    whole = json_object(text).isNotNull()
     return parsed, whole & ~(nothing & parsed["_corrupt_record"].isNotNull())
 
 

@@ -132,6 +132,12 @@ def length_stats(df: DataFrame, pred: str, ref: str, by: list[str] | None = None
     return means.select("*", _length_ratio().alias("length_ratio"))
 
 
+def without_nan(df: DataFrame, *cols: str) -> DataFrame:
+    """NaN read as null in these columns, so that means and extremes skip it."""
+    kinds = dict(df.dtypes)
+    return df.withColumns({c: F.nanvl(c, F.lit(None).cast(kinds[c])) for c in cols if kinds[c] in ("double", "float")})
+
+
 def latency_stats(
     df: DataFrame, col: str = "latency_ms", by: list[str] | None = None, approximate: bool = False
 ) -> DataFrame:
@@ -140,6 +146,8 @@ def latency_stats(
     The exact percentile is selected in parallel; ``approximate`` uses a sketch instead.
     """
     by = by or []
+    if col in df.columns:
+        df = without_nan(df, col)
     if col not in df.columns:
         absent = F.lit(None).cast("double")
         return df.groupBy(*by).agg(
@@ -176,6 +184,7 @@ def latency_summary(
     time instead.
     """
     by = by or []
+    df = without_nan(df, latency, tokens)
     # A latency of 0 has no rate; such a row is left out of the mean of rates.
     seconds = F.nullif(F.col(latency), F.lit(0.0)) / 1000.0
     if weighted:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from colloquy.functions import fixed_values as fixed
-from colloquy.functions.text import fill
+from colloquy.functions.text import fill, json_object
 from colloquy.operators.joins import lookup_join
 
 Rules = list[tuple[Column, str]]
@@ -29,19 +29,19 @@ def with_tool_call(df: DataFrame, text: str = "text") -> DataFrame:
     space, end, mark = fixed.WHITESPACE_CLASS, fixed.LINE_BREAK_CLASS, fixed.TOOL_CALL_MARK
     # The rest of the first line that has nothing but white space before the mark.
     call = F.regexp_extract(text, rf"(?:^|[{end}])[{space}]*{mark}[{space}&&[^{end}]]*([^{end}]*)", 1)
-    # Texts without the mark skip the regular expressions.
-    found = df.withColumn("__call", F.when(F.col(text).contains(mark), call))
-    named = found.withColumn(
-        "tool", F.regexp_substr("__call", F.lit(rf"^[^({space}][^(]*?(?=[{space}]*\(.*\))"))
-    )
+    # The name, and everything up to the last closing parenthesis.
+    parts = F.transform(F.array(call), lambda c: F.struct(
+        F.regexp_substr(c, F.lit(rf"^[^({space}][^(]*?(?=[{space}]*\(.*\))")).alias("tool"),
+        F.regexp_extract(c, r"\((.*)\)", 1).alias("given"),
+    ))
+    # Texts without the mark skip the regular expressions. The array keeps a later test of ``tool`` from running them again.
+    found = df.withColumn("__call", F.when(F.col(text).contains(mark), parts).otherwise(F.slice(parts, 1, 0)))
+    one = found.select(*df.columns, F.inline_outer("__call"))
     parsed = F.from_json(
-        F.regexp_extract("__call", r"\((.*)\)", 1), T.MapType(T.StringType(), T.StringType()),
-        {"allowSingleQuotes": "false"},
+        json_object("given"), T.MapType(T.StringType(), T.StringType()), {"allowSingleQuotes": "false"}
     )
     empty = F.create_map().cast("map<string,string>")
-    return named.select(
-        *df.columns, "tool", F.when(F.col("tool").isNotNull(), F.coalesce(parsed, empty)).alias("args")
-    )
+    return one.select(*df.columns, "tool", F.when(F.col("tool").isNotNull(), F.coalesce(parsed, empty)).alias("args"))
 
 
 def tool_usage(calls: DataFrame) -> DataFrame:
@@ -92,7 +92,7 @@ def invalid_tool_calls(calls: DataFrame, catalogue: DataFrame | None = None) ->
 # Codes of requests that are malformed or name nothing known: success stays null.
 MALFORMED = [
     "invalid_order_id", "order_not_found", "invalid_email", "account_not_found", "invalid_plan",
-    "refund_not_positive", "unknown_action",
+    "refund_not_positive", "unknown_action", "unknown_stored_plan",
 ]
 
 
@@ -156,6 +156,7 @@ def _plan_rules() -> Rules:
         (~known, "invalid_plan"),
         *_account_rules(),
         (F.col(_ACCOUNT_STATUS).isin("suspended", "cancelled"), "account_blocked"),
+        (~F.coalesce(F.col("__account.subscription_plan").isin(list(fixed.PLAN_PRICES)), F.lit(False)), "unknown_stored_plan"),
         (F.col("__account.subscription_plan") == F.col("new_plan"), "same_plan"),
     ]
 
@@ -164,10 +165,16 @@ def _subscription_rules() -> Rules:
     return [*_account_rules(), (F.col(_ACCOUNT_STATUS) == "cancelled", "already_cancelled")]
 
 
+def _money(amount: str) -> Column:
+    """An amount as decimal(18,2); null for NaN and for what is out of range."""
+    number = F.col(amount)
+    return F.when(~F.isnan(number.cast("double")), number).try_cast("decimal(18,2)")
+
+
 def _refund_rules() -> Rules:
     return [
-        (~F.coalesce(F.col("amount") > 0, F.lit(False)), "refund_not_positive"),
-        (F.col("amount") > fixed.REFUND_LIMIT, "escalated"),
+        (~F.coalesce(_money("amount") > 0, F.lit(False)), "refund_not_positive"),
+        (_money("amount") > fixed.REFUND_LIMIT, "escalated"),
         *_account_rules(),
     ]
 
@@ -341,6 +348,7 @@ def plan_change(requests: DataFrame, accounts: DataFrame) -> DataFrame:
             invalid_plan=_text("invalid_plan", F.coalesce("new_plan", F.lit("None"))),
             account_blocked=_text("plan_blocked", F.col(_ACCOUNT_STATUS)),
             same_plan=_text("same_plan", new),
+            unknown_stored_plan=F.concat(F.lit("Unknown plan on the account: "), F.coalesce(old, F.lit("None"))),
         ),
         old_plan=_ok(old),
         old_price=_ok(F.concat(_dollars(_price(old)), month)),
@@ -374,8 +382,11 @@ def _refund_id() -> Column:
 
 def refund_routing(requests: DataFrame, accounts: DataFrame, as_of: str | Column) -> DataFrame:
     """Requests (``request_id, email, order_id, amount``). More than the limit goes to a
-    person, exactly the limit passes; the order is not looked up."""
-    amount = F.format_string("%.2f", F.col("amount").cast("double"))
+    person, exactly the limit passes; the order is not looked up.
+
+    Amounts are money: decimal(18,2), a half cent rounding up. NaN is no amount."""
+    requests = requests.withColumn("amount", _money("amount"))
+    amount = F.col("amount").cast("string")
     method = F.col("__account.payment_method")
     return _outcome(
         _with_account(requests, accounts), requests, _refund_rules(),

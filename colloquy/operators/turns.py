@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from colloquy.functions import fixed_values as fixed
 
-# Turns handled together in one window group or one array.
+# Turn numbers handled together in one window group.
 SPAN = 4096
 
 
@@ -68,7 +68,9 @@ def history_rows(
 
     The system text comes first (turn -1), then the stored turns including the new user
     message. ``tool_results`` (``conv_id, response, tool_result``) adds the assistant's
-    call and the result turn after the last stored turn.
+    call and the result turn after the last stored turn, each call directly followed by its
+    result; several of one conversation go by ``call`` if there is such a column, then by
+    their texts.
     """
     stored = turns.select(conv, F.col(turn).cast("bigint").alias(turn), "role", F.col("text").alias("content"))
     ends = stored.groupBy(conv).agg(F.max(turn).alias("__last"))
@@ -83,16 +85,18 @@ def history_rows(
         F.lit(fixed.TOOL_RESULT_TURN.split("{tool_result}")[0]), F.col("tool_result"),
         F.lit(fixed.TOOL_RESULT_TURN.split("{tool_result}")[1]),
     )
-    added = tool_results.join(ends, conv).select(
+    order = [c for c in ("call",) if c in tool_results.columns] + ["response", "tool_result"]
+    numbered = tool_results.withColumn("__call", F.row_number().over(Window.partitionBy(conv).orderBy(*order)))
+    added = numbered.join(ends, conv).select(
         conv,
         F.posexplode(
             F.array(message("assistant", F.col("response")), message("user", result_text))
         ).alias("__step", "__message"),
-        "__last",
+        "__last", "__call",
     )
     return rows.unionByName(
         added.select(
-            conv, (F.col("__last") + 1 + F.col("__step")).alias(turn),
+            conv, (F.col("__last") + 2 * F.col("__call") - 1 + F.col("__step")).alias(turn),
             F.col("__message.role").alias("role"), F.col("__message.content").alias("content"),
         )
     )
@@ -104,20 +108,18 @@ def assemble_history(
     tool_results: DataFrame | None = None,
     conv: str = "conv_id",
     turn: str = "turn",
-    span: int = SPAN,
 ) -> DataFrame:
-    """``conv_id, segment, messages``: the ordered message array of each conversation.
+    """``conv_id, messages``: the ordered message array of each conversation, one row each.
 
-    A conversation longer than ``span`` turns continues in further segments instead of one
-    boundless array; ordinary ones have segment 0 only.
+    The array form needs one conversation to fit into a row; :func:`history_rows` is the form
+    for conversations of any length.
     """
     rows = history_rows(turns, system_text, tool_results, conv, turn)
-    segment = F.greatest(F.floor(F.col(turn) / span), F.lit(0)).cast("bigint")
-    packed = rows.groupBy(conv, segment.alias("segment")).agg(
+    packed = rows.groupBy(conv).agg(
         F.sort_array(F.collect_list(F.struct(F.col(turn), "role", "content"))).alias("__turns")
     )
     return packed.select(
-        conv, "segment",
+        conv,
         F.transform("__turns", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content")))
         .alias("messages"),
     )

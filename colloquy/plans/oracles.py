@@ -23,7 +23,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
                      lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS nt FROM conversations)
         WHERE role = 'user' AND nr = 'assistant'"""),
     "dialogues": ([], """
-        SELECT d.doc_id AS example_id, substr(d.text, 1, 40) AS instruction, d.text AS response,
+        SELECT d.doc_id AS example_id, split_part(d.text, chr(10), 1) AS instruction, d.text AS response,
                d.source AS intent, d.lang AS category,
                CASE WHEN l.quality IS NOT NULL THEN
                  (CASE WHEN l.quality = 0 THEN 'B' ELSE '' END) || (CASE WHEN l.toxic = 1 THEN 'I' ELSE '' END)
@@ -412,7 +412,7 @@ VERDICTS = """
                            THEN 'base' ELSE 'finetuned' END AS preference FROM rating)"""
 
 GREEDY = f"""
-    v AS (SELECT label AS pair_id, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    v AS (SELECT vec_id // 32 AS pair_id, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
     sims AS (SELECT a.pair_id, a.vec_id AS c, b.vec_id AS q, list_cosine_similarity(a.e, b.e) AS s
              FROM v a JOIN v b ON a.pair_id = b.pair_id AND a.vec_id % 2 = 0 AND b.vec_id % 2 = 1),
     prec AS (SELECT pair_id, avg(s) AS p FROM (SELECT pair_id, c, max(s) AS s FROM sims GROUP BY ALL) GROUP BY pair_id),
@@ -521,9 +521,11 @@ ORACLES: dict[str, str] = {
 
     "pairs_from_turns": sql("SELECT conv_id, turn, instruction, response FROM pairs", "pairs"),
     "assemble_history": sql(
-        """SELECT conv_id, 0::BIGINT AS segment, count(*) AS n_messages,
+        """SELECT conv_id, count(*) AS n_messages,
                   string_agg(role || '=' || content, '|' ORDER BY turn) AS messages FROM history GROUP BY conv_id""",
         extra=HISTORY_STEPS),
+    "history_turns": sql(
+        "SELECT conv_id, CAST(turn AS BIGINT) AS turn, role, content FROM history", extra=HISTORY_STEPS),
     "render_transcript":
         """SELECT conv_id, 'SYSTEM: Be brief.' || chr(10) ||
                   string_agg(upper(role) || ': ' || text, chr(10) ORDER BY turn) || chr(10) || 'ASSISTANT:' AS transcript

@@ -177,13 +177,21 @@ def assemble_history(spark, d):
         views.table(spark, d, "conversations"), turns.agent_system_text(), views.tool_results(spark, d)
     )
     return out.select(
-        "conv_id", "segment", F.size("messages").cast("bigint").alias("n_messages"),
+        "conv_id", F.size("messages").cast("bigint").alias("n_messages"),
         F.array_join(
             F.transform("messages", lambda m: F.concat(m["role"], F.lit("="), m["content"])), "|"
         ).alias("messages"),
     )
 
 
+@query
+def history_turns(spark, d):
+    rows = turns.history_rows(
+        views.table(spark, d, "conversations"), turns.agent_system_text(), views.tool_results(spark, d)
+    )
+    return rows.select("conv_id", _long("turn"), "role", "content")
+
+
 @query
 def render_transcript(spark, d):
     out = turns.assemble_history(views.table(spark, d, "conversations"), "Be brief.")

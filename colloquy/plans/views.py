@@ -35,7 +35,7 @@ def dialogues(spark: SparkSession, folder: str, spread: bool = False) -> DataFra
     )
     return joined.select(
         F.col("doc_id").alias("example_id"),
-        F.substring("text", 1, 40).alias("instruction"),
+        F.substring_index("text", "\n", 1).alias("instruction"),
         F.col("text").alias("response"),
         F.col("source").alias("intent"),
         F.col("lang").alias("category"),
@@ -223,8 +223,9 @@ def judge_errors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def token_vectors(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Candidate (even ids) and reference (odd ids) vectors, paired by label."""
+    """Candidate (even ids) and reference (odd ids) vectors of 32 neighbours; a pair stays small
+    however large the table is."""
     vectors = table(spark, folder, "embeddings").select(
-        F.col("label").alias("pair_id"), F.col("vec_id").alias("position"), "embedding"
+        F.floor(F.col("vec_id") / 32).alias("pair_id"), F.col("vec_id").alias("position"), "embedding"
     )
     return vectors.where(F.col("position") % 2 == 0), vectors.where(F.col("position") % 2 == 1)

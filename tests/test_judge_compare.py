@@ -147,3 +147,16 @@ def test_example_sheet(spark):
     base = predictions(spark, "b").withColumn("intent", F.when(F.col("example_id") > 0, "i"))
     rows = compare.example_sheet(base, predictions(spark, "f")).collect()
     assert len(rows) == 3 and all(r["ft_prediction"][1:] == r["base_prediction"][1:] for r in rows)
+
+
+def test_reply_with_more_than_one_object_is_broken(spark):
+    good = '{"helpfulness": 4, "accuracy": 5, "professionalism": 3, "reasoning": "ok"}'
+    table = spark.createDataFrame([(0, good), (1, good + ' {"z":1}'), (2, good + "]"), (3, " " + good + "\n")], "id int, reply string")
+    rows = table.select("id", judge.parse_rating("reply").alias("r")).orderBy("id").collect()
+    assert [r["r"]["helpfulness"] for r in rows] == [4.0, None, None, 4.0]
+
+
+def test_nan_is_skipped(spark):
+    base = spark.createDataFrame([(float("nan"), 1.0)], "bleu double, rouge1 double")
+    tuned = spark.createDataFrame([(0.5, 2.0)], "bleu double, rouge1 double")
+    assert [r["metric"] for r in compare.compare(base, tuned).collect()] == ["rouge1"]

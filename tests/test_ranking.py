@@ -99,7 +99,7 @@ def test_salted_lookup_equals_plain_join(skewed, spark):
     facts = skewed.withColumnRenamed("intent", "key").withColumnRenamed("example_id", "row_id")
     state = spark.createDataFrame([("hot", 1), ("s0", 2), ("zz", 3)], "key string, value int")
     plain = facts.join(state, "key", "left").select("row_id", "value")
-    salted = joins.lookup_join(facts, state, "key", "row_id", "st", rows=10, salts=8).select("row_id", "st.value")
+    salted = joins.lookup_join(facts, state, "key", "row_id", "st", rows=10).select("row_id", "st.value")
     assert {tuple(r) for r in salted.collect()} == {tuple(r) for r in plain.collect()}
     assert salted.count() == 3000
     hot = joins.hot_keys(facts, "key", rows=500)

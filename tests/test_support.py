@@ -180,3 +180,29 @@ def test_tool_call_checks(spark):
     assert got == {0: "ok", 1: "ok", 2: "bad_arguments", 3: "bad_arguments", 4: "unknown_tool"}
     assert support.invalid_tool_calls(calls).count() == 3
     assert {r["tool"]: r["n_calls"] for r in support.tool_usage(calls).collect()}["lookup_order"] == 3
+
+
+def test_arguments_must_be_one_whole_object(spark):
+    texts = ['f({"a": 1} x)', 'f({"a": {"b":1}}) thanks :)', 'f({"a": 1}] [{"b": 2})', 'f({"a": 1} {"b": 2})', 'f({"a": 1}, {"b": 2})', 'f({"a": "(x)"})']
+    table = spark.createDataFrame([(i, f"TOOL_CALL: {t}") for i, t in enumerate(texts)], "id int, text string")
+    rows = support.with_tool_call(table).orderBy("id").collect()
+    assert [r["tool"] for r in rows] == ["f"] * 6
+    assert [r["args"] for r in rows] == [{}, {}, {}, {}, {}, {"a": "(x)"}]
+
+
+def test_money_nan_and_unknown_stored_plan(spark):
+    accounts = spark.createDataFrame(
+        [("a@x", "active", "Gold", "Card"), ("a@x", "active", "Gold", "Card"), ("b@x", "active", "Basic", "Card")],
+        "email string, account_status string, subscription_plan string, payment_method string",
+    )
+    refunds = spark.createDataFrame(
+        [(1, "b@x", "ORD-1", 2.675), (2, "b@x", "ORD-1", float("nan")), (3, "a@x", "ORD-1", 5.0)],
+        "request_id int, email string, order_id string, amount double",
+    )
+    rows = {r["request_id"]: r for r in support.refund_routing(refunds, accounts, "1998-01-01").collect()}
+    assert len(rows) == 3 and rows[1]["refund"] == "$2.68"
+    assert (rows[2]["code"], rows[2]["success"]) == ("refund_not_positive", None)
+    plans = spark.createDataFrame([(1, "a@x", "Basic"), (2, "b@x", "Premium")], "request_id int, email string, new_plan string")
+    rows = {r["request_id"]: r for r in support.plan_change(plans, accounts).collect()}
+    assert len(rows) == 2 and rows[2]["code"] == "ok"
+    assert (rows[1]["code"], rows[1]["success"]) == ("unknown_stored_plan", None)

@@ -32,11 +32,24 @@ def test_history_has_system_turns_and_tool_result(table, spark):
     assert [m["content"] for m in rows[1]] == ["SYS", "s", "q1", "a1", "q2", "a2", "q3", "q4", "a4"]
 
 
-def test_long_history_continues_in_segments(table):
-    parts = turns.assemble_history(table, "SYS", span=10).where("conv_id = 1").orderBy("segment").collect()
-    assert [p["segment"] for p in parts] == [0, 1, 4]
-    assert sum((list(p["messages"]) for p in parts), [])[-1]["content"] == "a4"
-    assert sum(len(p["messages"]) for p in parts) == 9
+def test_history_of_any_length_is_one_row(spark):
+    n = 10_000
+    long = spark.range(n).select(
+        F.lit(7).alias("conv_id"), (F.col("id") * 1000).alias("turn"), F.lit("user").alias("role"), F.col("id").cast("string").alias("text")
+    )
+    row, = turns.assemble_history(long, "SYS").collect()
+    assert [m["content"] for m in row["messages"]] == ["SYS", *map(str, range(n))]
+
+
+def test_two_tool_results_keep_call_and_result_together(spark, table):
+    tools = spark.createDataFrame(
+        [(1, 2, "call b", "result b"), (1, 1, "call z", "result z")], "conv_id int, call int, response string, tool_result string"
+    )
+    added = turns.history_rows(table, "SYS", tools).where("conv_id = 1").orderBy("turn").collect()[-4:]
+    assert [r["role"] for r in added] == ["assistant", "user", "assistant", "user"]
+    assert [r["content"] for r in added][::2] == ["call z", "call b"]
+    assert "result z" in added[1]["content"] and "result b" in added[3]["content"]
+    assert len({r["turn"] for r in added}) == 4
 
 
 def test_agent_system_text_lists_the_tools():
