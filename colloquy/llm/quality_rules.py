@@ -114,22 +114,24 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_SHARE * F.col("n_words"))
 
 
-def _share(part: str, whole: str) -> Column:
-    return F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(F.lit(0.0))
-
-
+#: metric -> (part, whole): the share of two counts, 0 where the whole is 0.
 METRICS = {
-    "symbol_share": _share("n_symbols", "word_chars"),
-    "dup_line_share": _share("n_dup_lines", "n_lines"),
-    "repeat_share": _share("n_repeat_words", "n_words"),
-    "mean_word": _share("word_chars", "n_words"),
+    "symbol_share": ("n_symbols", "word_chars"),
+    "dup_line_share": ("n_dup_lines", "n_lines"),
+    "repeat_share": ("n_repeat_words", "n_words"),
+    "mean_word": ("word_chars", "n_words"),
 }
 
 
+def metric(name: str) -> Column:
+    part, whole = METRICS[name]
+    return F.when(F.col(whole) > 0, F.col(part) / F.col(whole)).otherwise(F.lit(0.0))
+
+
 def sketches(counted: DataFrame, keys: list[str], error: float = ERROR) -> DataFrame:
     """(keys, metric, bucket, n): one mergeable sketch per key and metric. Values below 1e-4 share the bucket of zero."""
     gamma = math.log((1 + error) / (1 - error))
-    found = F.array(*[F.struct(F.lit(name).alias("metric"), value.alias("value")) for name, value in METRICS.items()])
+    found = F.array(*[F.struct(F.lit(name).alias("metric"), metric(name).alias("value")) for name in METRICS])
     values = counted.select(*keys, F.explode(found).alias("m")).select(*keys, "m.metric", "m.value")
     bucket = F.when(F.col("value") > 1e-4, F.ceil(F.log(F.greatest("value", F.lit(1e-4))) / gamma)).cast("bigint")
     return values.groupBy(*keys, "metric", bucket.alias("bucket")).agg(F.count("*").alias("n"))
@@ -171,7 +173,9 @@ def fences(counted: DataFrame, lang: str = "lang", source: str = "source", min_r
     limits = []
     for name, (side, floor) in FLOORS.items():
         reach = SPREAD * (F.col("q.high") - F.col("q.low"))
-        fence = F.greatest(F.col("q.high") + reach, F.lit(floor)) if side == "high" else F.least(F.col("q.low") - reach, F.lit(floor))
+        # A quartile read off a sketch may be short by the width of its bucket.
+        high, low = F.col("q.high") * (1 + 2 * ERROR), F.col("q.low") * (1 - 2 * ERROR)
+        fence = F.greatest(high + reach, F.lit(floor)) if side == "high" else F.least(low - reach, F.lit(floor))
         limits.append(F.max(F.when(F.col("metric") == SKETCH_OF.get(name, name), fence)).alias(f"fence_{name}"))
     return chosen.groupBy(*keys).agg(*limits)
 
@@ -180,7 +184,7 @@ def _verdict() -> Column:
     """True where every metric is within its fence; a source without any sketched row has no fence and no passing row."""
     within = F.lit(True)
     for name, (side, _) in FLOORS.items():
-        value, fence = METRICS[SKETCH_OF.get(name, name)], F.col(f"fence_{name}")
+        value, fence = metric(SKETCH_OF.get(name, name)), F.col(f"fence_{name}")
         within = within & F.coalesce(value <= fence if side == "high" else value >= fence, F.lit(True))
     return within
 
