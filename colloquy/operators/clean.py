@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions import fixed_values as fixed
@@ -54,19 +54,30 @@ def with_quality_flag(df: DataFrame, col: str = "flags", flags: str = fixed.QUAL
     return df.withColumn("has_quality_flag", quality_flag(col, flags))
 
 
+def key_digest(keys: list[str]) -> Column:
+    """SHA-256 of several texts, each with its length in front so that moving a boundary changes it; null is a value."""
+    parts = []
+    for k in keys:
+        text = F.col(k).cast("string")
+        parts += [F.coalesce(F.length(text).cast("string"), F.lit("null")), F.lit(":"), F.coalesce(text, F.lit(""))]
+    return F.sha2(F.concat(*parts).cast("binary"), 256)
+
+
 def dedup_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Keep the row with the lowest ``order`` of each distinct key.
+    """Keep the row with the lowest ``order`` of each distinct key; one of them if several have it.
 
-    ``min_by`` combines on the map side, so a text that makes up a third of the table
-    shrinks to one row per task before the shuffle. The leading hash gives the sort inside
-    the aggregate an eight-byte prefix; the keys themselves still decide.
+    The lowest order is found on digests, so neither a sort nor an aggregate compares texts:
+    a hash aggregate that combines on the map side, then a semi join of the rows.
     """
-    rest = [c for c in df.columns if c not in keys]
-    kept = df.groupBy(F.xxhash64(*keys).alias("__hash"), *keys).agg(
-        F.min_by(F.struct(*rest), F.col(order)).alias("__row")
+    rows = df.withColumn("__digest", key_digest(keys))
+    lowest = rows.groupBy("__digest").agg(F.min(order).alias("__lowest"))
+    kept = rows.join(
+        lowest.withColumnRenamed("__digest", "__d"),
+        (F.col("__digest") == F.col("__d")) & F.col(order).eqNullSafe(F.col("__lowest")), "left_semi",
     )
-    picked = kept.select(*keys, *[F.col("__row")[c].alias(c) for c in rest])
-    return picked.select(*df.columns)
+    # The join has dealt and sorted the rows by digest and order already.
+    first = F.row_number().over(Window.partitionBy("__digest", order).orderBy(F.lit(0)))
+    return kept.withColumn("__first", first).where("__first = 1").select(*df.columns)
 
 
 def clean_stateless(df: DataFrame, config: CleanConfig = CleanConfig()) -> DataFrame:

@@ -98,7 +98,7 @@ def profile(
         F.struct(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]).alias("null_counts"),
         *[F.avg(F.length(c)).alias(f"avg_{c}_len") for c in texts],
         F.array_compact(
-            F.array(*[F.when(F.min(c).eqNullSafe(F.max(c)), F.lit(c)) for c in watched])
+            F.array(*[F.when(distinct(F.col(c)) <= 1, F.lit(c)) for c in watched])
         ).alias("constant_columns"),
     )
     if not flags:

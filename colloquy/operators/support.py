@@ -448,3 +448,38 @@ def adjudication_summary(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("action", "code").agg(
         F.count(F.lit(1)).alias("n_requests"), F.sum("refund_amount").alias("refund_amount")
     )
+
+
+# ---------------------------------------------------------------- from calls to outcomes
+
+
+def requests_from_calls(calls: DataFrame) -> DataFrame:
+    """Extracted calls (``request_id, tool, args``) as requests for :func:`adjudicate`.
+
+    An argument a call lacks is null; an amount that is no number is null.
+    """
+    def given(name: str) -> Column:
+        return F.try_element_at("args", F.lit(name))
+
+    return calls.where(F.col("tool").isNotNull()).select(
+        "request_id", F.col("tool").alias("action"), given("order_id").alias("order_id"), given("customer_email").alias("email"),
+        given("new_plan").alias("new_plan"), given("amount").try_cast("decimal(18,2)").alias("amount"),
+        given("new_address").alias("new_address"),
+    )
+
+
+def call_outcomes(calls: DataFrame, orders: DataFrame, accounts: DataFrame, as_of: str | Column) -> DataFrame:
+    """``request_id, tool, code, tool_result``: what each call comes to, as the text of a tool result.
+
+    The text is a JSON object with success, code and refund_amount as far as they are known, or
+    with the error of a call that names no known tool or has the wrong arguments. It can be
+    given to :func:`colloquy.operators.turns.history_rows`. No tool is executed.
+    """
+    checked = check_tool_calls(calls)
+    bad = checked.where(F.col("code") != "ok").select(
+        "request_id", "tool", "code", F.to_json(F.struct("error")).alias("tool_result")
+    )
+    decided = adjudicate(requests_from_calls(checked.where(F.col("code") == "ok")), orders, accounts, as_of)
+    return decided.select(
+        "request_id", F.col("action").alias("tool"), "code", F.to_json(F.struct("success", "code", "refund_amount")).alias("tool_result")
+    ).unionByName(bad)

@@ -630,6 +630,11 @@ ORACLES: dict[str, str] = {
         f"""SELECT 'base' AS base_label, (SELECT bleu FROM rec_base) AS base_bleu, 'tuned' AS finetuned_label,
                    {r('(SELECT avg_pred_length / greatest(avg_ref_length, 1) FROM rec_ft)', 'finetuned_length_ratio')}""",
         "pred_base", "pred_ft", extra=TWO_RECORDS),
+    "metrics_rounded": sql(
+        """SELECT round(bleu, 4) AS bleu, round(avg_pred_length, 1) AS avg_pred_length, round(avg_ref_length, 1) AS avg_ref_length,
+                  round(avg_pred_length / greatest(avg_ref_length, 1), 3) AS length_ratio, round(avg_latency_ms, 1) AS avg_latency_ms,
+                  round(p95_latency_ms, 1) AS p95_latency_ms, 'base' AS label
+           FROM rec_base""", "pred_base", "pred_ft", extra=TWO_RECORDS),
     "leaderboard": sql(
         f"""SELECT coalesce(m.label, j.label) AS label, NULL::DOUBLE AS perplexity, NULL::DOUBLE AS "rougeL", bleu,
                    NULL::DOUBLE AS bertscore_f1, {r('avg_latency_ms', 'avg_latency_ms')}, {r('avg_composite', 'avg_composite')}
@@ -712,6 +717,20 @@ ORACLES: dict[str, str] = {
                    WHEN arg = 'order_id' AND tool IN ('lookup_order', 'cancel_order') THEN 'ok'
                    WHEN arg = 'customer_email' AND tool IN ('get_account_info', 'unlock_account', 'cancel_subscription') THEN 'ok'
                    ELSE 'bad_arguments' END AS code FROM agent_texts WHERE tool IS NOT NULL)"""),
+    "call_requests": sql(
+        """SELECT request_id, tool AS action, CASE WHEN arg = 'order_id' THEN val END AS order_id,
+                  CASE WHEN arg = 'customer_email' THEN val END AS email FROM agent_texts WHERE tool IS NOT NULL""", "agent_texts"),
+    "call_outcomes": sql(
+        f"""SELECT t.request_id, tool, CASE WHEN bad IS NULL THEN code ELSE bad END AS code,
+                   CASE bad WHEN 'unknown_tool' THEN '{{"error":"Unknown tool: ' || tool || '"}}'
+                            WHEN 'bad_arguments' THEN '{{"error":"Tool call failed"}}'
+                   ELSE '{{' || CASE WHEN {SUCCESS} IS NULL THEN '' ELSE '"success":' || {SUCCESS} || ',' END || '"code":"' || code || '"'
+                        || CASE WHEN refund_amount IS NULL THEN '' ELSE ',"refund_amount":' || refund_amount END || '}}' END AS tool_result
+            FROM (SELECT *, CASE WHEN tool = 'reset_router' THEN 'unknown_tool'
+                            WHEN arg = 'order_id' AND tool IN ('lookup_order', 'cancel_order') THEN NULL
+                            WHEN arg = 'customer_email' AND tool IN ('get_account_info', 'unlock_account', 'cancel_subscription') THEN NULL
+                            ELSE 'bad_arguments' END AS bad FROM agent_texts WHERE tool IS NOT NULL) t
+            JOIN outcomes o ON o.request_id = t.request_id""", "agent_texts", "with_order", "with_account", extra=DECIDED),
     "invalid_tool_calls": sql(
         "SELECT request_id, tool, code FROM checked WHERE code <> 'ok'", "agent_texts",
         extra="""checked AS (SELECT request_id, tool, CASE WHEN tool = 'reset_router' THEN 'unknown_tool'

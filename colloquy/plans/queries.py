@@ -374,6 +374,12 @@ def metrics_for(spark, d):
     return _record_columns(metrics.metrics_for(views.pred_base(spark, d), "base", "models/base"))
 
 
+@query
+def metrics_rounded(spark, d):
+    record = _simple_record(views.pred_base(spark, d), "base")
+    return metrics.rounded(record)
+
+
 @query
 def metrics_by_slice(spark, d):
     return _record_columns(metrics.metrics_for(views.pred_base(spark, d), "base", "models/base", ["category"]))
@@ -567,6 +573,18 @@ def tool_call_validity(spark, d):
     return support.check_tool_calls(calls).select("request_id", "tool", "code", "error")
 
 
+@query
+def call_requests(spark, d):
+    calls = support.with_tool_call(views.agent_texts(spark, d))
+    return support.requests_from_calls(calls).select("request_id", "action", "order_id", "email")
+
+
+@query
+def call_outcomes(spark, d):
+    calls = support.with_tool_call(views.agent_texts(spark, d))
+    return support.call_outcomes(calls, views.order_state(spark, d), views.account_state(spark, d), views.AS_OF)
+
+
 @query
 def invalid_tool_calls(spark, d):
     calls = support.with_tool_call(views.agent_texts(spark, d))
