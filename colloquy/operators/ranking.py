@@ -87,11 +87,35 @@ def with_position(
     return ranked.withColumn(into, F.col(into).cast("bigint") - 1).drop("__bucket")
 
 
+# Equal steps a bucket of values is cut into.
+PARTS = 4096
+
+
 def _value_bucket(value: Column) -> Column:
     """A coarse key that rises with the value: steps of about 0.1 % on a log scale."""
     return F.signum(value) * F.floor(F.log1p(F.abs(value)) * 1024)
 
 
+def _refined(near: DataFrame, wanted: Column) -> DataFrame:
+    """The values of the wanted buckets, cut at equal steps between the bucket's own least and greatest value.
+
+    However narrow the band that most values lie in, the steps follow it; only the parts that hold
+    a wanted position are kept, ``__part`` and ``__before`` telling which and what lies before.
+    """
+    keys = ["__group", "__bucket"]
+    ends = near.groupBy(*keys).agg(F.min("__value").alias("__lo"), F.max("__value").alias("__hi"))
+    step = F.floor((F.col("__value") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * (PARTS - 1))
+    cut = near.join(ends, keys).withColumn(
+        "__part", F.when(F.col("__hi") > F.col("__lo"), F.coalesce(F.nanvl(step.cast("double"), F.lit(0.0)), F.lit(0.0))).otherwise(F.lit(0.0))
+    ).drop("__lo", "__hi")
+    earlier = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = cut.groupBy(*keys, "__part").agg(
+        F.sum("__times").cast("bigint").alias("__rows"), F.first("__before").alias("__before"), F.first("__spots").alias("__spots")
+    )
+    parts = counts.withColumn("__before", F.col("__before") + F.coalesce(F.sum("__rows").over(earlier), F.lit(0))).where(wanted)
+    return cut.drop("__before", "__spots").join(parts.select(*keys, "__part", "__before"), [*keys, "__part"])
+
+
 def order_statistics(
     df: DataFrame, value: str, by: list[str], at: dict[str, Column]
 ) -> DataFrame:
@@ -99,8 +123,8 @@ def order_statistics(
 
     ``at`` maps an output name to a zero-based position written in terms of the column
     ``n`` (the number of non-null values). A fractional position interpolates linearly
-    between its neighbours. Equal values are counted together first, and then only the
-    buckets that hold a wanted position are sorted.
+    between its neighbours. Equal values are counted together first; the bucket that holds a
+    wanted position is cut again between its own ends, and only that part is sorted.
     """
     values = (
         df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
@@ -113,15 +137,11 @@ def order_statistics(
     names = list(at)
     spots = F.array(*[F.floor(at[k]).cast("bigint") for k in names],
                     *[F.ceil(at[k]).cast("bigint") for k in names])
-    offsets = offsets.withColumn("__spots", spots)
-    needed = offsets.where(
-        F.exists(
-            "__spots",
-            lambda p: (p >= F.col("__before")) & (p < F.col("__before") + F.col("__rows")),
-        )
-    )
-    near = values.join(needed.select("__group", "__bucket", "__before", "n"), ["__group", "__bucket"])
-    inside = Window.partitionBy("__group", "__bucket").orderBy("__value").rowsBetween(
+    wanted = F.exists("__spots", lambda p: (p >= F.col("__before")) & (p < F.col("__before") + F.col("__rows")))
+    needed = offsets.withColumn("__spots", spots).where(wanted)
+    near = values.join(needed.select("__group", "__bucket", "__before", "n", "__spots"), ["__group", "__bucket"])
+    near = _refined(near, wanted)
+    inside = Window.partitionBy("__group", "__bucket", "__part").orderBy("__value").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     near = near.withColumn("__end", F.col("__before") + F.sum("__times").over(inside))

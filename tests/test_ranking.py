@@ -113,3 +113,16 @@ def test_ranked_window_equals_plain_window(skewed):
     assert {(r[0], r[1]) for r in got.select("example_id", "rk").collect()} == {
         (r[0], r[1]) for r in skewed.select("example_id", plain).collect()
     }
+
+
+def test_many_values_in_one_coarse_bucket(spark):
+    values = np.random.default_rng(3).permutation(100_000) / 1e9  # all below the first step of the coarse grid
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    coarse = df.select(ranking._value_bucket(F.col("v")).alias("b")).distinct().count()
+    at = {"p50": ranking.linear_position(0.5), "p95": ranking.linear_position(0.95)}
+    row = ranking.order_statistics(df, "v", [], at).first()
+    assert coarse == 1 and np.isclose(row["p50"], np.quantile(values, 0.5)) and np.isclose(row["p95"], np.quantile(values, 0.95))
+    near = df.select(F.lit(0).alias("__group"), F.lit(0.0).alias("__bucket"), F.col("v").alias("__value"), F.lit(1).alias("__times"),
+                     F.lit(0).alias("__before"), F.array(F.lit(50_000)).alias("__spots"))
+    kept = ranking._refined(near, F.exists("__spots", lambda p: (p >= F.col("__before")) & (p < F.col("__before") + F.col("__rows"))))
+    assert kept.count() < 100
