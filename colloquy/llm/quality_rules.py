@@ -91,20 +91,16 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     words = F.filter(F.split(text, SPACES, -1), lambda w: w != "")
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
-    measured = F.struct(
-        F.size(words).cast("bigint").alias("n_words"),
+    measured = _let(words, lambda w: _let(lines, lambda a: F.struct(
+        F.size(w).cast("bigint").alias("n_words"),
         F.length(F.translate(text, " \t\n\x0b\x0c\r", "")).cast("bigint").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
-        _let(lines, lambda a: F.struct(
-            F.size(a).cast("bigint").alias("n_lines"), (F.size(a) - F.size(F.array_distinct(a))).cast("bigint").alias("n_dup_lines")
-        )).alias("lines"),
-        repeated_words(words).alias("n_repeat_words"),
-    )
-    out = docs.withColumn("_m", measured)
-    return out.select(
-        *[out[c] for c in docs.columns if c not in COUNTS], "_m.n_words", "_m.word_chars", "_m.n_symbols", "_m.lines.n_lines",
-        "_m.lines.n_dup_lines", "_m.n_repeat_words",
-    )
+        F.size(a).cast("bigint").alias("n_lines"),
+        (F.size(a) - F.size(F.array_distinct(a))).cast("bigint").alias("n_dup_lines"),
+        repeated_words(w).alias("n_repeat_words"),
+    )))
+    # As a generator's output the counts are made once, whatever later conditions refer to them.
+    return docs.select(*[docs[c] for c in docs.columns if c not in COUNTS], F.inline(F.array(measured)))
 
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
