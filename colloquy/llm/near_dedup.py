@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.llm.arrays import BASES, Words, as_long, batch_of, chunks, map_batches, mix, prefix, ranges
+from colloquy.llm.idmap import mark_ids
 from colloquy.session import durable
 
 SHINGLE, PERCENT = 5, 80
@@ -225,20 +226,8 @@ def connected(links: DataFrame) -> DataFrame:
 
 
 def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` that may be among ``ids``: those whose hash has its bit in a map of 2**23 bits, a table of at most 2**17 rows.
-
-    Spares most texts the shuffle of the join that follows; where the map is full, it spares none and changes nothing.
-    """
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 23))
-    bit = F.expr("shiftleft(1L, cast(place % 64 as int))")
-    bits = (
-        ids.select(place.alias("place")).select(F.expr("place div 64").alias("word"), bit.alias("bit"))
-        .groupBy("word").agg(F.bit_or("bit").alias("bits"))
-    )
-    return (
-        docs.withColumn("place", place).withColumn("word", F.expr("place div 64")).join(F.broadcast(bits), "word")
-        .where(F.col("bits").bitwiseAND(bit) != 0).select("doc_id", "text")
-    )
+    """The rows of ``docs`` that may be among ``ids``; spares most other texts the shuffle of the join that follows."""
+    return mark_ids(docs, ids).where("may_be").select("doc_id", "text")
 
 
 def _compare(docs: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
