@@ -263,6 +263,17 @@ def metrics_for(
     )
 
 
+def with_model_scores(
+    record: DataFrame, perplexity: DataFrame | None = None, match: DataFrame | None = None, by: list[str] | None = None
+) -> DataFrame:
+    """A metrics record with the scores that need a model's output: the perplexity of its losses
+    (:func:`perplexity`) and the means of a greedy token match, as far as they are given."""
+    for scores in (perplexity, match):
+        if scores is not None:
+            record = attach(record, scores, by or [])
+    return record
+
+
 # Decimals of each metric in a report.
 REPORT_DIGITS = {
     "bleu": 4, "rouge1": 4, "rouge2": 4, "rougeL": 4, "rougeLsum": 4,

@@ -630,6 +630,14 @@ ORACLES: dict[str, str] = {
         f"""SELECT 'base' AS base_label, (SELECT bleu FROM rec_base) AS base_bleu, 'tuned' AS finetuned_label,
                    {r('(SELECT avg_pred_length / greatest(avg_ref_length, 1) FROM rec_ft)', 'finetuned_length_ratio')}""",
         "pred_base", "pred_ft", extra=TWO_RECORDS),
+    "metrics_extended": sql(
+        f"""SELECT 'base' AS label, bleu, {r('avg_pred_length', 'avg_pred_length')}, {r('avg_ref_length', 'avg_ref_length')},
+                   {r('avg_pred_length / greatest(avg_ref_length, 1)', 'length_ratio')}, {r('avg_latency_ms', 'avg_latency_ms')},
+                   {r('p95_latency_ms', 'p95_latency_ms')},
+                   (SELECT {r('exp(avg(latency_ms / 100))', 'p')} FROM latency) AS perplexity,
+                   (SELECT {r('avg(precision)', 'p')} FROM greedy) AS bertscore_precision,
+                   (SELECT {r('avg(recall)', 'p')} FROM greedy) AS bertscore_recall, (SELECT {r('avg(f1)', 'p')} FROM greedy) AS bertscore_f1
+            FROM rec_base""", "pred_base", "pred_ft", "latency", extra=TWO_RECORDS + "," + GREEDY),
     "metrics_rounded": sql(
         """SELECT round(bleu, 4) AS bleu, round(avg_pred_length, 1) AS avg_pred_length, round(avg_ref_length, 1) AS avg_ref_length,
                   round(avg_pred_length / greatest(avg_ref_length, 1), 3) AS length_ratio, round(avg_latency_ms, 1) AS avg_latency_ms,

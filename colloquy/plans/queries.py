@@ -380,6 +380,17 @@ def metrics_rounded(spark, d):
     return metrics.rounded(record)
 
 
+@query
+def metrics_extended(spark, d):
+    """A record with perplexity and the greedy-match means beside the text metrics."""
+    losses = views.latency(spark, d).withColumn("loss", F.col("latency_ms") / 100)
+    cand, ref = views.token_vectors(spark, d)
+    return _record_columns(metrics.with_model_scores(
+        _simple_record(views.pred_base(spark, d), "base"), metrics.perplexity(losses, "loss"),
+        embeddings.greedy_match_means(embeddings.greedy_match(cand, ref)),
+    ))
+
+
 @query
 def metrics_by_slice(spark, d):
     return _record_columns(metrics.metrics_for(views.pred_base(spark, d), "base", "models/base", ["category"]))
