@@ -1,7 +1,7 @@
 """Personal data by candidates and gradient boosting; DataFrame functions only.
 
-**Generators** propose spans with a high recall: the strict formats of e-mail, IPv4, card and phone, and looser ones (spelled-out e-mail, local phone, IBAN, IPv6, social
-security numbers, secrets). Spans of different generators may overlap. A generator's pattern is linear in the text: it begins where a run begins, and its
+**Generators** propose spans with a high recall: the strict formats of e-mail, IPv4, card and phone, and looser ones (spelled-out e-mail, local phone of two to five groups
+with or without a prefix, IBAN, IPv6 in full and compressed, social security numbers, secrets). Spans of different generators may overlap. A generator's pattern is linear in the text: it begins where a run begins, and its
 repetitions give nothing back.
 
 **Boosted trees** score the loose candidates from format features (digits, letters, separators, check sums, variety of characters) and context features (cue words before it, what it
@@ -32,13 +32,23 @@ BASE = {
     "card": r"(?<![0-9])[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+# A number begins where no digit, and no digit with a dot or dash, stands before it, and a dot or dash may follow it unless a digit comes next.
+_NUMBER_START, _NUMBER_END = r"(?<![0-9+])(?<![0-9][.-])", r"(?![0-9]|[.-][0-9])"
+_CLASSIC = r"(?:\([0-9]{2,5}\) ?|[0-9]{2,5}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}"
+_V6_START, _V6_END = r"(?:(?<=[Pp][Vv]6:)|(?<![0-9A-Za-z])(?<![0-9A-Fa-f:]:))", r"(?![0-9A-Za-z]|:[0-9A-Fa-f:])"
+_V6_GROUPS = r"(?:[0-9A-Fa-f]{1,4}+(?::[0-9A-Fa-f]{1,4}+){0,6}+)?+"
 LOOSE = {
     "email_text": r"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?: ?[(\[] ?at ?[)\]] ?| at )[A-Za-z0-9-]{1,63}+(?: ?[(\[] ?dot ?[)\]] ?| dot |\.)[A-Za-z]{2,12}+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}+(?: ?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])",
-    "ipv6": r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}+:){7}[0-9A-Fa-f]{1,4}+(?![0-9A-Fa-f:])",
-    "phone_local": r"(?<![0-9+.(-])(?:\([0-9]{2,5}\) ?|[0-9]{2,5}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}(?![0-9.-])",
+    "ipv6": _V6_START + r"(?:[0-9A-Fa-f]{1,4}+:){7}[0-9A-Fa-f]{1,4}+" + _V6_END,
+    "phone_local": _NUMBER_START + _CLASSIC + _NUMBER_END,
     "secret": r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
+    "ssn": r"(?<![0-9]|[0-9]-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])",
+    # Numbers of two to five groups, and a prefix; what phone_local proposes whole is left to it.
+    "phone_groups": _NUMBER_START + r"(?=(?:[ .()-]{0,2}+[0-9]){7})(?!" + _CLASSIC + r"(?![0-9]|[ .-][0-9]))"
+    r"(?:[0-9]{1,3}+[ .-]?+(?=\())?+(?:\([0-9]{1,5}+\)[ .-]?+|[0-9]{1,5}+[ .-])"
+    r"(?:[0-9]{5,8}+(?:[ .-][0-9]{1,5}+)?+|[0-9]{1,4}+(?:[ .-][0-9]{2,5}+){0,4}+)" + _NUMBER_END,
+    "ipv6_short": _V6_START + r"(?=(?:::)?[0-9A-Fa-f])" + _V6_GROUPS + "::" + _V6_GROUPS + _V6_END,
 }
 KINDS = [*BASE, *LOOSE]
 # Cheap conditions on a text without which a pattern cannot match.
@@ -49,6 +59,7 @@ NEEDS = {
     "secret": lambda t: t.rlike(r"[A-Za-z0-9+/_-]{20}"),
     "ipv6": lambda t: t.rlike(r"[0-9A-Fa-f]:[0-9A-Fa-f]"),
     "iban": lambda t: t.rlike(r"[A-Z]{2}[0-9]{2}"),
+    "ipv6_short": lambda t: F.contains(t, F.lit("::")),
 }
 CUES = {
     "phone": r"(?i)\b(phone|tel|telephone|call|fax|mobile|cell|text|dial|contact|whatsapp)\b",
@@ -168,6 +179,8 @@ def features_of(s: Column) -> dict[str, Column]:
         F.when(s["kind"] == "iban", _iban_rest(value) == 1)
         .when(s["kind"] == "ssn", ~value.rlike("^(000|666|9)|-00-|-0000$"))
         .when(s["kind"] == "phone_local", F.length(digits).between(9, 12))
+        .when(s["kind"] == "phone_groups", F.length(digits).between(7, 15))
+        .when(s["kind"] == "ipv6_short", F.size(F.filter(F.split(value, ":"), lambda g: g != "")) <= 7)
         .when(s["kind"] == "secret", value.rlike("[0-9]") & value.rlike("[A-Za-z]"))
         .otherwise(F.lit(True))
     )

@@ -24,6 +24,14 @@ TEMPLATES = [
     (0, "commit {hex} fixed it"), (0, "sha {hex}"), (0, "md5 {hex} matches"), (0, "checksum {hex}"), (0, "build {hex} passed"),
     (0, "the {long} was built"), (0, "see {path} for more"), (0, "{line} and then"), (0, "a {long} again"), (0, "in {path} there are"), (0, "word {long} is long"),
     (0, "key {long} words"), (0, "the secret {line} stands"), (0, "a token {long}"), (0, "password {line} follows"), (0, "key {path} holds"),
+    (1, "call {groups} before noon"), (1, "phone {groups}"), (1, "tel: {groups}"), (1, "my mobile is {groups} now"), (1, "dial {groups} to order"), (1, "fax {groups}."),
+    (1, "Call {groups}."), (1, "telephone ({groups})"), (1, "call us under {groups} - any day"), (1, "text {groups}, please"),
+    (0, "order {groups} was sent"), (0, "invoice {groups} is due"), (0, "isbn {groups}"), (0, "part {groups} of the engine"), (0, "serial {groups}."), (0, "ticket {groups} closed"),
+    (0, "on {date} it rained"), (0, "the years {years} were dry"), (0, "from {years}."), (0, "until {date}."), (0, "it cost {large} in all"), (0, "about {large} grains"),
+    (0, "a share of {fraction} was left"), (0, "the ratio is {fraction}."), (0, "values {list} were seen"), (0, "between {list} and more"),
+    (0, "contact us before {date}."), (0, "call {years} a dry time"), (0, "phone prices rose in {years}"), (0, "fax of {date} was read"), (0, "call on {date} at noon"), (0, "text of {years} is lost"),
+    (1, "from host {short} yesterday"), (1, "client {short} logged in"), (1, "ip {short}"), (1, "seen at {short} again"), (1, "the server {short}."), (1, "ping {short}, then wait"),
+    (0, "use {scope} here"), (0, "the call {scope} fails"), (0, "from {scope} on"), (0, "client {scope} is a class"), (0, "see {scope}."), (0, "type {scope} then"),
 ]
 COPIES = 6
 
@@ -47,6 +55,30 @@ def _fill(rng: random.Random, form: str) -> str:
     if form == "local":
         gap = rng.choice(" .-")
         return rng.choice([f"({digits(3)}) {digits(3)}{gap}{digits(4)}", f"{digits(3)}{gap}{digits(3)}{gap}{digits(4)}"])
+    if form == "groups":
+        gap = rng.choice(" -." if rng.random() < 0.3 else " ")
+        return rng.choice([
+            f"0{digits(3)}{gap}{digits(7)}", f"({digits(4)}) {digits(6)}", f"{digits(3)}{gap}{digits(4)}", f"0{digits(1)}{gap}" + gap.join(digits(2) for _ in range(4)),
+            f"1{gap}{digits(3)}{gap}{digits(3)}{gap}{digits(4)}", f"1 ({digits(3)}) {digits(3)}{gap}{digits(4)}", f"0{digits(2)}{gap}{digits(3)}{gap}{digits(2)}{gap}{digits(2)}",
+        ])
+    if form == "date":
+        y, m, d = f"{rng.randint(1900, 2030)}", f"{rng.randint(1, 12):02d}", f"{rng.randint(1, 28):02d}"
+        return rng.choice([f"{y}-{m}-{d}", f"{d}.{m}.{y}", f"{m}-{d}-{y}", f"{y} {m} {d}"])
+    if form == "years":
+        y = rng.randint(1800, 2020)
+        return f"{y}{rng.choice('- ')}{y + rng.randint(1, 20)}"
+    if form == "large":
+        return rng.choice([f"{digits(2)} {digits(3)} {digits(3)}", f"1 {digits(3)} {digits(3)}", f"{digits(3)}.{digits(3)}.{digits(3)}"])
+    if form == "fraction":
+        return f"{digits(rng.randint(1, 3))}.{digits(rng.randint(6, 8))}"
+    if form == "list":
+        return " ".join(digits(rng.randint(2, 4)) for _ in range(5))
+    if form == "short":
+        part = lambda n: ":".join("".join(rng.choice("0123456789abcdef") for _ in range(rng.randint(1, 4))) for _ in range(n))
+        return rng.choice([f"2001:db8::{part(1)}", f"fe80::{part(4)}", f"{part(2)}::{part(2)}", f"::ffff:{part(2)}", f"2a0{digits(1)}:{part(2)}::"])
+    if form == "scope":
+        word = lambda: rng.choice(["add", "bad", "dead", "beef", "face", "cafe", "fade", "deed", "feed", "a", "b"])
+        return rng.choice([f"{word()}::{word()}", f"::{word()}", f"{word()}::"])
     if form == "six":
         return ":".join("".join(rng.choice("0123456789abcdef") for _ in range(rng.randint(1, 4))) for _ in range(8))
     if form == "ssn":
@@ -72,7 +104,8 @@ def examples(copies: int = COPIES, seed: int = 11) -> list[tuple[str, int, str]]
     for i, (label, template) in enumerate(TEMPLATES):
         for _ in range(copies if "{" in template else 1):
             text = template
-            for form in ("mail", "local", "iban", "noiban", "six", "nossn", "ssn", "hex", "base", "long", "path", "line"):
+            for form in ("mail", "local", "iban", "noiban", "six", "nossn", "ssn", "hex", "base", "long", "path", "line",
+                         "groups", "date", "years", "large", "fraction", "list", "short", "scope"):
                 if "{" + form + "}" in text:
                     text = text.replace("{" + form + "}", _fill(rng, form))
             out.append((text, label, "cf"[i % 2]))

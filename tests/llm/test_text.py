@@ -161,6 +161,36 @@ def test_method_adds_private_spans_only(spark):
     assert got[2] == got[4] == got[6] == got[7] == ""
 
 
+def test_numbers_at_ends_in_brackets_and_in_other_groups(spark):
+    private = {
+        "phone": [
+            ("Call ", "555-123-4567", "."), ("Call us (", "555-123-4567", ")"), ("Call ", "1-800-555-1234", " now"), ("Call ", "555-123-4567", "- at once"),
+            ("Tel.", "555-123-4567", ""), ("call ", "0171 2345678", " now"), ("phone ", "01 23 45 67 89", "."), ("call ", "1 (800) 555-1234", "."), ("tel: ", "555-1234", ""),
+            ("call ", "(0171) 2345678", "!"), ("phone ", "089 123 45 67", ""),
+        ],
+        "ipv6": [
+            ("from host ", "2001:db8::1", " yesterday"), ("client ", "fe80::1ff:fe23:4567:890a", "."), ("ip ", "::ffff:c0a8:1", ""), ("IPv6:", "2001:db8::1", ""),
+            ("ip: ", "2001:db8:0:12:1ff:fe23:4567:890a", ": it"),
+        ],
+    }
+    docs, want = [], {}
+    for kind, cases in private.items():
+        for before, value, after in cases:
+            want[len(docs)] = (kind, len(before), len(before) + len(value))
+            docs.append((len(docs), before + value + after))
+    clean = [
+        "On 2024-01-15 it rained.", "the years 1998-2004 were dry", "a share of 3.14159265 was left", "order 0171 2345678 was sent", "call std::max or dead::beef here",
+        "about 12 345 678 grains", "invoice 01 23 45 67 89 is due",
+    ]
+    docs += [(1000 + i, t) for i, t in enumerate(clean)]
+    docs += [(2000, "1-" * 30000), (2001, "12 " * 20000), (2002, "(1" * 30000), (2003, "a:" * 30000), (2004, "::1" * 20000)]
+    found = pii.find(spark.createDataFrame(docs, "doc_id long, text string")).select("doc_id", "spans").collect()
+    got = {r[0]: [(s["kind"], s["start"], s["end"]) for s in r[1]] for r in found}
+    missed = {docs[i][1]: got[i] for i, (kind, a, b) in want.items() if not any(k.startswith(kind) and (x, y) == (a, b) for k, x, y in got[i])}
+    assert not missed
+    assert {t: got[1000 + i] for i, t in enumerate(clean) if got[1000 + i]} == {}
+
+
 def test_running_sums(spark):
     rows = [([int(x) for x in np.random.default_rng(n).integers(0, 50, n)],) for n in (0, 1, 2, 7, 100, 501)]
     got = spark.createDataFrame(rows, "v array<bigint>").select("v", pii.running(F.col("v")).alias("s")).collect()
