@@ -15,7 +15,8 @@ members of a centre are dealt out to ``ceil(members / GROUP)`` salted groups wit
 holds a third of all rows is neither one task nor one list. Components come from repeated large-star and small-star steps (joins and minima), with a checkpoint each.
 
 **Cases.** A document with fewer than ``k`` words has one shingle, all its words. Null, empty or blank text has no shingle, is linked with nothing and
-stays. Rows without an id are linked with nothing. Rows that repeat an id get the same result each; with different texts, each is judged by its own. An empty table gives an empty result. Columns other than the id and the text are not read by :func:`components`; :func:`drop_near_copies` keeps them.
+stays. Rows without an id are linked with nothing. With one id on different texts, each text is judged by its own: links join classes of texts, not ids. Of a component
+one row stays, the least by id, then by the digest of its text; of rows that repeat both, one. An empty table gives an empty result. Columns other than the id and the text are not read by :func:`components`; :func:`drop_near_copies` keeps them.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.llm.arrays import BASES, Words, as_long, batch_of, chunks, map_batches, mix, prefix, ranges
@@ -98,9 +99,9 @@ def _signed(k: int, bands: int, rows: int):
                 offsets = np.zeros(len(texts) + 1, dtype=np.int32)
                 offsets[1:] = np.cumsum(np.where(n > 0, bands, 0))
                 yield batch_of(
-                    ["doc_id", "n_shingles", "one", "two", "bands"],
+                    ["doc_id", "digest", "n_shingles", "one", "two", "bands"],
                     [
-                        batch.column(0).slice(first, len(texts)), n.astype(np.int64), as_long(digest[0]), as_long(digest[1]),
+                        batch.column(0).slice(first, len(texts)), batch.column(1).slice(first, len(texts)), n.astype(np.int64), as_long(digest[0]), as_long(digest[1]),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(as_long(keys.ravel()))),
                     ],
                 )
@@ -122,7 +123,7 @@ def _compared(k: int):
     def apply(batches):
         current, centre_set = None, None
         for batch in batches:
-            centres, groups, ids = (batch.column(i).to_pylist() for i in range(3))
+            centres, groups, nodes = (batch.column(i).to_pylist() for i in range(3))
             out: list[tuple] = []
             for first, texts in chunks(batch, "text"):
                 hashes, edges = shingle_sets(texts, k)
@@ -131,13 +132,13 @@ def _compared(k: int):
                     own = hashes[edges[i]:edges[i + 1]]
                     if (centres[row], groups[row]) != current:
                         current, centre_set = (centres[row], groups[row]), own.copy()
-                        if ids[row] != centres[row]:
+                        if nodes[row] != centres[row]:
                             raise ValueError("a group must begin with its centre")
                         continue
                     both = overlap(own, centre_set)
-                    out.append((centres[row], ids[row], both, len(own) + len(centre_set) - both))
+                    out.append((centres[row], nodes[row], both, len(own) + len(centre_set) - both))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([o[c] for o in out], pa.int64()) for c in range(4)], names=["centre", "doc_id", "both", "any"]
+                [pa.array([o[c] for o in out], pa.int64()) for c in range(4)], names=["centre", "node", "both", "any"]
             )
 
     return apply
@@ -191,7 +192,7 @@ def _leftovers(k: int, percent: int):
                         if rows:
                             out += links(rows, sets)
                         current, rows, sets = key, [], []
-                    rows.append((names["doc_id"][row], names["component"][row], names["distance"][row], names["asks"][row]))
+                    rows.append((names["node"][row], names["component"][row], names["distance"][row], names["asks"][row]))
                     sets.append(hashes[edges[i]:edges[i + 1]].copy())
             yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], pa.int64()) for c in range(2)], names=["a", "b"])
         if rows:
@@ -225,37 +226,40 @@ def connected(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
-def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that may be among ``ids``; spares most other texts the shuffle of the join that follows."""
-    return mark_ids(docs, ids).where("may_be").select("doc_id", "text")
+def _with_text(docs: DataFrame, rows: DataFrame, nodes: DataFrame, classes: DataFrame, repeats: bool) -> DataFrame:
+    """``rows`` with the text of their node. Texts that cannot be among ``nodes`` are spared the shuffle; ``repeats``: rows may repeat an id and its text."""
+    named = classes.select(F.col("node").alias("_node"), "doc_id", "digest").join(nodes.select(F.col("node").alias("_node")).distinct(), "_node", "left_semi")
+    texts = mark_ids(docs, named).where("may_be").select("doc_id", "digest", "text")
+    texts = texts.dropDuplicates(["doc_id", "digest"]) if repeats else texts
+    return rows.join(named, F.col("node") == F.col("_node")).drop("_node").join(texts, ["doc_id", "digest"]).drop("doc_id", "digest")
 
 
-def _compare(docs: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
-    """(centre, doc_id, both, any) of each candidate pair (centre, doc_id)."""
+def _compare(docs: DataFrame, candidates: DataFrame, classes: DataFrame, repeats: bool, k: int) -> DataFrame:
+    """(centre, node, both, any) of each candidate pair (centre, node)."""
     sizes = candidates.groupBy("centre").agg(F.ceil(F.count("*") / GROUP).cast("bigint").alias("groups"))
     sizes = sizes.select(F.xxhash64("centre").alias("place"), "groups")
     dealt = (
         candidates.withColumn("place", F.xxhash64("centre")).join(sizes, "place")
-        .select("centre", F.expr("pmod(xxhash64(doc_id, 1), groups)").alias("group"), "doc_id")
+        .select("centre", F.expr("pmod(xxhash64(node, 1), groups)").alias("group"), "node")
     )
     rows = dealt.select("*", F.lit(1).alias("role")).unionByName(
-        dealt.select("centre", "group").distinct().select("*", F.col("centre").alias("doc_id"), F.lit(0).alias("role"))
+        dealt.select("centre", "group").distinct().select("*", F.col("centre").alias("node"), F.lit(0).alias("role"))
     )
-    ids = candidates.select("doc_id").unionByName(candidates.select(F.col("centre").alias("doc_id")))
-    with_text = rows.join(_texts_of(docs, ids), "doc_id").select("centre", "group", "doc_id", "role", "text")
-    sorted_rows = with_text.repartition("centre", "group").sortWithinPartitions("centre", "group", "role", "doc_id")
-    return map_batches(sorted_rows, _compared(k), "centre bigint, doc_id bigint, both bigint, any bigint").where("centre != doc_id")
+    nodes = candidates.select("node").unionByName(candidates.select(F.col("centre").alias("node")))
+    with_text = _with_text(docs, rows, nodes, classes, repeats).select("centre", "group", "node", "role", "text")
+    sorted_rows = with_text.repartition("centre", "group").sortWithinPartitions("centre", "group", "role", "node")
+    return map_batches(sorted_rows, _compared(k), "centre bigint, node bigint, both bigint, any bigint").where("centre != node")
 
 
-def _leftover_links(docs: DataFrame, compared: DataFrame, found: DataFrame, sizes: DataFrame, k: int, percent: int) -> DataFrame:
+def _leftover_links(docs: DataFrame, compared: DataFrame, found: DataFrame, classes: DataFrame, repeats: bool, k: int, percent: int) -> DataFrame:
     """Links between members of one centre that the links to centres (components ``found``) leave apart."""
     def component(df: DataFrame, col: str) -> DataFrame:
         named = found.select(F.col("node").alias(col), F.col("component").alias(f"{col}_component"))
         return df.join(named, col, "left").withColumn(f"{col}_component", F.coalesce(f"{col}_component", col))
 
-    members = component(component(compared, "centre"), "doc_id").join(sizes, "doc_id").select(
-        "centre", "doc_id", F.col("doc_id_component").alias("component"), (1 - F.col("both") / F.col("any")).alias("distance"),
-        (F.col("doc_id_component") != F.col("centre_component")).alias("asks"), "n_shingles",
+    members = component(component(compared, "centre"), "node").join(classes.select("node", "n_shingles"), "node").select(
+        "centre", "node", F.col("node_component").alias("component"), (1 - F.col("both") / F.col("any")).alias("distance"),
+        (F.col("node_component") != F.col("centre_component")).alias("asks"), "n_shingles",
     )
     members = durable(members)
     blocks = members.groupBy("centre").agg(
@@ -264,59 +268,83 @@ def _leftover_links(docs: DataFrame, compared: DataFrame, found: DataFrame, size
     ).where("n > 1 and ask_blocks > 0").select(F.xxhash64("centre").alias("place"), "ask_blocks", "blocks")
     dealt = members.withColumn("place", F.xxhash64("centre")).join(blocks, "place")
     # The asking rows of a block meet every block of members, and each member every block of asking rows.
-    asking = dealt.where("asks").withColumn("ask_block", F.expr("pmod(xxhash64(doc_id, 2), ask_blocks)")).withColumn(
+    asking = dealt.where("asks").withColumn("ask_block", F.expr("pmod(xxhash64(node, 2), ask_blocks)")).withColumn(
         "block", F.explode(F.expr("sequence(0L, blocks - 1)")))
-    asked = dealt.withColumn("asks", F.lit(False)).withColumn("block", F.expr("pmod(xxhash64(doc_id, 3), blocks)")).withColumn(
+    asked = dealt.withColumn("asks", F.lit(False)).withColumn("block", F.expr("pmod(xxhash64(node, 3), blocks)")).withColumn(
         "ask_block", F.explode(F.expr("sequence(0L, ask_blocks - 1)")))
-    names = ["centre", "ask_block", "block", "doc_id", "component", "distance", "asks"]
+    names = ["centre", "ask_block", "block", "node", "component", "distance", "asks"]
     rows = asking.select(*names).unionByName(asked.select(*names))
-    ids = dealt.select("doc_id")
-    with_text = rows.join(_texts_of(docs, ids), "doc_id").select(*names, "text")
-    sorted_rows = with_text.repartition("centre", "ask_block", "block").sortWithinPartitions("centre", "ask_block", "block", "doc_id")
+    with_text = _with_text(docs, rows, dealt.select("node"), classes, repeats).select(*names, "text")
+    sorted_rows = with_text.repartition("centre", "ask_block", "block").sortWithinPartitions("centre", "ask_block", "block", "node")
     return map_batches(sorted_rows, _leftovers(k, percent), "a bigint, b bigint").distinct()
 
 
-def components(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS
-) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (least id that links reach, its own included), kept (it is that id).
+def _digest(text: str) -> Column:
+    """128 bits of a text."""
+    return F.unhex(F.md5(F.col(text).cast("string").cast("binary")))
 
-    Texts with a Jaccard similarity of at least ``percent`` / 100 over ``k``-word shingles are linked. Runs jobs when called.
-    """
-    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+
+def _decided(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, rows: int) -> tuple[DataFrame, bool]:
+    """Per row: doc_id, digest, n_shingles, component_id, kept; and whether rows repeat an id and its text."""
+    docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), _digest(text_col).alias("digest"), F.col(text_col).cast("string").alias("text"))
     bands = bands_for(percent, rows)
     signed = durable(map_batches(
-        docs, _signed(k, bands, rows), "doc_id bigint, n_shingles bigint, one bigint, two bigint, bands array<bigint>"
-    ))
+        docs, _signed(k, bands, rows), "doc_id bigint, digest binary, n_shingles bigint, one bigint, two bigint, bands array<bigint>"
+    ).withColumn("row", F.monotonically_increasing_id()))
     judged = signed.where("n_shingles > 0 and doc_id is not null")
+    repeats = not judged.groupBy("doc_id", "digest").count().where("count > 1").isEmpty()
+    # A class's node is a number of its own: an id may stand in several classes.
     classes = durable(judged.groupBy("one", "two").agg(
-        F.min("doc_id").alias("first"), F.any_value("bands").alias("bands"), F.max("n_shingles").alias("n_shingles")
-    ))
-    keyed = classes.select(F.col("first").alias("doc_id"), F.explode("bands").alias("key"))
-    centres = keyed.groupBy("key").agg(F.min("doc_id").alias("centre"), F.count("*").alias("n")).where("n > 1")
+        F.min(F.struct("doc_id", "digest", "row")).alias("first"), F.any_value("bands").alias("bands"), F.max("n_shingles").alias("n_shingles")
+    ).select("one", "two", "first", "first.doc_id", "first.digest", "bands", "n_shingles", F.monotonically_increasing_id().alias("node")))
+    keyed = classes.select("first", "node", F.explode("bands").alias("key"))
+    centres = keyed.groupBy("key").agg(F.min(F.struct("first.doc_id", "first.digest", "node"))["node"].alias("centre"), F.count("*").alias("n")).where("n > 1")
     candidates = durable(
         keyed.withColumn("place", F.xxhash64("key")).join(centres.select(F.xxhash64("key").alias("place"), "centre"), "place")
-        .where("centre != doc_id").select("centre", "doc_id").distinct()
+        .where("centre != node").select("centre", "node").distinct()
     )
-    compared = durable(_compare(docs, candidates, k))
-    linked = compared.where(100 * F.col("both") >= percent * F.col("any")).select(F.col("centre").alias("a"), F.col("doc_id").alias("b"))
+    compared = durable(_compare(docs, candidates, classes, repeats, k))
+    linked = compared.where(100 * F.col("both") >= percent * F.col("any")).select(F.col("centre").alias("a"), F.col("node").alias("b"))
     found = connected(linked)
-    sizes = classes.groupBy(F.col("first").alias("doc_id")).agg(F.max("n_shingles").alias("n_shingles"))
-    more = durable(_leftover_links(docs, compared, found, sizes, k, percent))
+    more = durable(_leftover_links(docs, compared, found, classes, repeats, k, percent))
     found = connected(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-    named = classes.select("one", "two", "first").join(found, F.col("first") == F.col("node"), "left").select(
-        F.xxhash64("one", "two").alias("place"), F.col("one").alias("_one"), F.col("two").alias("_two"),
-        F.coalesce("component", "first").alias("component_id"),
+    of_class = classes.select("one", "two", "first", "node").join(found.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select(
+        "one", "two", "first", F.coalesce("component", "node").alias("component"),
     )
-    out = judged.withColumn("place", F.xxhash64("one", "two")).join(named, "place").where("one = _one and two = _two")
-    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept")).unionByName(
-        signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    least = of_class.groupBy("component").agg(F.min("first").alias("least")).withColumnRenamed("component", "_component")
+    named = of_class.join(least, F.col("component") == F.col("_component")).select(
+        F.xxhash64("one", "two").alias("place"), F.col("one").alias("_one"), F.col("two").alias("_two"), "least",
     )
+    out = judged.withColumn("place", F.xxhash64("one", "two")).join(named, "place").where("one = _one and two = _two")
+    return out.select(
+        "doc_id", "digest", "n_shingles", F.col("least.doc_id").alias("component_id"), (F.col("row") == F.col("least.row")).alias("kept"),
+    ).unionByName(signed.where("n_shingles = 0 or doc_id is null").select(
+        "doc_id", "digest", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))), repeats
+
+
+def components(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS
+) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id (least id that links reach, its own included), kept (it is the row of its component that stays).
+
+    Texts with a Jaccard similarity of at least ``percent`` / 100 over ``k``-word shingles are linked. Runs jobs when called.
+    """
+    return _decided(docs, id_col, text_col, k, percent, rows)[0].drop("digest")
 
 
 def drop_near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: of each component the row with the least id, and every row without an id."""
-    gone = components(docs, id_col, text_col, k, percent).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns: of each component the row with the least id and text digest, and every row without an id."""
+    decided, repeats = _decided(docs, id_col, text_col, k, percent, ROWS)
+    place = [F.col("doc_id").alias("_id"), F.col("digest").alias("_gone")]
+    kept = decided.where("kept and n_shingles > 0 and doc_id is not null").select(*place)
+    gone = decided.where("not kept").select(*place).distinct()
+    rows = docs.withColumn("_digest", _digest(text_col))
+    same = (F.col(id_col).cast("bigint") == F.col("_id")) & (F.col("_digest") == F.col("_gone"))
+    if not repeats:
+        return rows.join(gone, same, "left_anti").select(*docs.columns)
+    # Rows that repeat an id and its text: all but one are gone.
+    twice = gone.join(kept, ["_id", "_gone"], "left_semi")
+    one = rows.join(twice, same, "left_semi").dropDuplicates([id_col, "_digest"])
+    return rows.join(gone, same, "left_anti").unionByName(one).select(*docs.columns)

@@ -158,6 +158,27 @@ def test_group_whose_least_id_is_no_centre_of_it(spark):
     assert set(map(tuple, near_dedup.components(frame, k=3, percent=85).collect())) == _components(docs, 3, 85)
 
 
+def test_one_id_on_different_texts(spark):
+    first, second = passage(0, 120), passage(9000, 120)
+    near_first, near_second = first + " more", "more " + second
+    docs = [
+        (1, first), (7, near_first), (7, second), (8, near_second),  # id 7 on a copy and on a text of its own
+        (3, passage(20000, 100)), (3, passage(20000, 100) + " more"),  # near copies under one id
+        (4, passage(30000, 100)), (4, passage(30000, 100)),  # a repeated row
+        (5, passage(40000, 100)), (5, passage(50000, 100)), (6, passage(50000, 100) + " more"), (2, passage(40000, 100) + " more"),
+        (None, first), (None, first), (10, None), (10, None),
+    ]
+    frame = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(docs)], "doc_id long, text string, n int")
+    kept = near_dedup.drop_near_copies(frame).collect()
+    left = Counter((r["doc_id"], r["text"]) for r in kept)
+    assert sum(left[(3, t)] for t in (docs[4][1], docs[5][1])) == 1
+    del left[(3, docs[4][1])], left[(3, docs[5][1])]
+    assert left == Counter([docs[0], docs[2], docs[6], docs[9], docs[11], *docs[12:]])
+    rows = near_dedup.components(frame).collect()
+    assert len(rows) == len(docs) and sum(r["kept"] for r in rows) == len(kept)
+    assert {r["component_id"] for r in rows} == {1, 7, 3, 4, 2, 5, None, 10}
+
+
 def test_components_of_links(spark):
     rng = random.Random(5)
     links = [(rng.randint(0, 300), rng.randint(0, 300)) for _ in range(200)] + [(k, k + 1) for k in range(400, 460)]
