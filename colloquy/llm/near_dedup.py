@@ -39,9 +39,23 @@ BLOCK_SHINGLES = 300_000
 SEED = 20
 
 
+def band_chance(percent: int, rows: int = ROWS) -> float:
+    """The least chance that two different sets of at least this similarity agree in a band.
+
+    The least and the greatest value of a permutation are drawn without putting back: for a union of n shingles and an intersection of m both agree
+    with m(m - 1) / (n(n - 1)), which is lowest at small n and nears (m / n)**2 from below; beyond n = 1000 it is above that of the same share at n = 100.
+    """
+    pairs = [(n, -(-percent * n // 100)) for n in range(2, 1001)]
+    both = min(m * (m - 1) / (n * (n - 1)) for n, m in pairs if m < n)
+    return both ** math.ceil(rows / 2)
+
+
 def bands_for(percent: int, rows: int = ROWS, miss: float = MISS) -> int:
     """Bands so that two sets of this similarity share none with a probability of at most ``miss``; even, for whole permutations."""
-    n = math.ceil(math.log(miss) / math.log(1 - (percent / 100) ** rows))
+    chance = band_chance(percent, rows)
+    if chance == 0:
+        raise ValueError("percent must be over 50: one common shingle of two is never both the least and the greatest")
+    n = math.ceil(math.log(miss) / math.log(1 - chance))
     return n + n % 2
 
 

@@ -196,6 +196,17 @@ def test_band_number_keeps_the_miss_bound():
         assert (1 - (percent / 100) ** near_dedup.ROWS) ** bands <= near_dedup.MISS and bands % 2 == 0
 
 
+def test_band_number_keeps_the_miss_bound_for_small_sets():
+    for percent in (51, 70, 80, 85, 95):
+        bands = near_dedup.bands_for(percent)
+        for n in range(2, 300):
+            for m in range(-(-percent * n // 100), n):
+                both = m * (m - 1) / (n * (n - 1))
+                assert (1 - both ** (near_dedup.ROWS // 2)) ** bands <= near_dedup.MISS
+    with pytest.raises(ValueError):
+        near_dedup.bands_for(50)
+
+
 def test_odd_rows_and_empty_tables(spark):
     odd = odd_rows(spark)
     n = odd.count()
