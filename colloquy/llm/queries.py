@@ -8,11 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import bpe, exact_dedup, license_rules, near_dedup, packing, pii, quality_classifier, quality_rules, substring_dedup, url_filter
+from colloquy.llm import (
+    bpe, exact_dedup, license_rules, near_dedup, packing, pii, prefix_trie, quality_classifier, quality_rules, sentence_pieces, spelling, substring_dedup,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 VOCABULARY = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 # The rules of the URL query.
 URL_RULES = [
     ("net", "/", "block"),
@@ -102,3 +106,23 @@ def op10_packing(spark, d):
     return packing.pack(_table(spark, d, "documents"), public_tokenizers.path(VOCABULARY)).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query
+def op11_spelling_variants(spark, d):
+    return spelling.spelling_variants(_table(spark, d, "documents"), typo_every=31)
+
+
+@query
+def op12_sentence_pieces(spark, d):
+    listed = lambda c: F.sha2(F.array_join(F.col(c).cast("array<string>"), ",").cast("binary"), 256)
+    return sentence_pieces.encode(_table(spark, d, "documents"), public_tokenizers.path(PIECES), decoded=True).select(
+        "doc_id", "n_tokens", listed("ids").alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        listed("ends").alias("ends_sha256"),
+    )
+
+
+@query
+def op13_prefix_trie(spark, d):
+    turns = prefix_trie.numbered_turns(_table(spark, d, "conversations"))
+    return prefix_trie.prefix_trie(prefix_trie.paths(turns, family=20))
