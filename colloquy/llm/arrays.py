@@ -12,7 +12,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
+# Bytes whose hashes are summed together; only so many are held as 64-bit numbers.
+BLOCK_BYTES = 1 << 16
 BATCH_BYTES = 16 << 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -77,6 +79,33 @@ def ranges(prefixes: np.ndarray, base: int, start: np.ndarray, end: np.ndarray)
     return (prefixes[end] - prefixes[start]) * powers(inverse(base), len(prefixes))[start]
 
 
+def byte_ranges(b: np.ndarray, base: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The polynomial hash of each range of bytes (ascending, not empty), as :func:`ranges` has it for prefix sums, block by block."""
+    at_start, at_end = np.empty(len(start), dtype=np.uint64), np.empty(len(start), dtype=np.uint64)
+    back = inverse(base)
+    shift = np.empty(len(start), dtype=np.uint64)
+    local, local_back = powers(base, BLOCK_BYTES), powers(back, BLOCK_BYTES)
+    total, scale, scale_back = 0, 1, 1
+    for a in range(0, len(b), BLOCK_BYTES):
+        sums = b[a:a + BLOCK_BYTES].astype(np.uint64)
+        sums += np.uint64(1)
+        sums *= local[:len(sums)]
+        np.cumsum(sums, out=sums)
+        sums *= np.uint64(scale)
+        sums += np.uint64(total)
+        lo, hi = np.searchsorted(start, [a, a + len(sums)])
+        inside = start[lo:hi] - a
+        at_start[lo:hi] = np.where(inside > 0, sums[inside - 1], np.uint64(total))
+        shift[lo:hi] = local_back[inside] * np.uint64(scale_back)
+        lo, hi = np.searchsorted(end, [a + 1, a + len(sums) + 1])
+        at_end[lo:hi] = sums[end[lo:hi] - a - 1]
+        total = int(sums[-1])
+        scale, scale_back = scale * pow(base, BLOCK_BYTES, 1 << 64) % (1 << 64), scale_back * pow(back, BLOCK_BYTES, 1 << 64) % (1 << 64)
+    at_end -= at_start
+    at_end *= shift
+    return at_end
+
+
 def chunks(batch: pa.RecordBatch, text: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """Consecutive texts of a batch as (first row, texts in UTF-8) of about ``limit`` bytes; null counts as empty."""
     column = batch.column(batch.schema.get_field_index(text))
@@ -110,8 +139,7 @@ class Words:
         self.first_word = np.searchsorted(self.start, self.first_byte)
         self.n_words = np.diff(self.first_word)
         self.doc = np.repeat(np.arange(len(texts)), self.n_words)
-        sums = prefix(b.astype(np.uint64) + np.uint64(1), BASE_BYTES)
-        self.hash = mix(ranges(sums, BASE_BYTES, self.start, self.end) + _GOLDEN * (self.end - self.start).astype(np.uint64))
+        self.hash = mix(byte_ranges(b, BASE_BYTES, self.start, self.end) + _GOLDEN * (self.end - self.start).astype(np.uint64))
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:

@@ -5,8 +5,8 @@ found by a scan, the boundary between its two parts is deleted, and the ranks of
 pair has a rank. A scan is quadratic in the length of a word, so words of more than ``SHORT_WORD`` bytes keep their pairs in a heap.
 
 **Speed.** Text is cut at single spaces first. Such a piece, with its space, splits into the same words as it does within the whole
-text unless white space stands at its edge; those texts are split by the full pattern. Ids of recent pieces are kept, up to ``REMEMBER`` of
-them. The vocabulary (1.6 MB, fixed) is read on the driver and broadcast; no text is shuffled.
+text unless white space stands at its edge; those texts are split by the full pattern. Ids of recent pieces are kept up to ``REMEMBER_BYTES``; pieces
+of more than ``LONG_PIECE`` characters, such as text without spaces has, are not. The vocabulary (1.6 MB, fixed) is read on the driver and broadcast; no text is shuffled.
 
 **Cases.** Null and empty texts have no ids and decode to the empty text. The special token's string in a text becomes its id, as the
 tokenizers library has it unless told otherwise. Invalid UTF-8 is read as U+FFFD. Repeated rows and null ids get a row each; an empty
@@ -30,7 +30,9 @@ from colloquy.llm.arrays import batch_of, chunks, map_batches
 
 SHORT_WORD = 128
 BLOCK = 8192
-REMEMBER = 400_000
+LONG_PIECE = 64
+REMEMBER_BYTES = 64 << 20
+ENTRY_BYTES = 200  # a remembered piece besides its characters and ids
 # The pattern that cuts text into words before merging, as published with the vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NO_RANK = 1 << 60
@@ -163,6 +165,7 @@ class Encoder:
         # Ids of pieces that follow a space (kept without it), and of pieces as they are.
         self.after_space: dict[str, bytes | None] = {}
         self.plain: dict[str, bytes | None] = {}
+        self.held = {" ": 0, "": 0}
         special = sorted(self.vocabulary.special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
 
@@ -175,17 +178,17 @@ class Encoder:
             return out
         return self.find(piece)
 
-    def _learn(self, known: dict, wanted: set[str], space: str) -> None:
-        """Add the ids of ``wanted``, each behind ``space``, to ``known``; None for those that must stay with their neighbours."""
-        new = list(wanted.difference(known))
-        if len(known) + len(new) > REMEMBER:
-            known.clear()
-            new = list(wanted)
+    def _learn(self, known: dict, wanted: set[str], space: str) -> dict[str, bytes | None]:
+        """Add the ids of ``wanted``, each behind ``space``, to ``known``; None for those that must stay with their neighbours.
+
+        Long pieces are returned instead of remembered.
+        """
+        new = wanted.difference(known)
         words: dict[str, int] = {}
-        split = []
+        split, learnt = [], {}
         for piece in new:
             if space and (not piece or piece[0].isspace() or piece[-1].isspace()):
-                known[piece] = None
+                learnt[piece] = None
                 continue
             parts = self._split(space + piece)
             split.append((piece, parts))
@@ -194,30 +197,45 @@ class Encoder:
                     words.setdefault(word, len(words))
         ids = self.vocabulary.merge([w.encode() for w in words])
         for piece, parts in split:
-            known[piece] = b"".join([ids[words[w]] if isinstance(w, str) else packed([w]) for w in parts])
+            learnt[piece] = b"".join([ids[words[w]] if isinstance(w, str) else packed([w]) for w in parts])
+        long = {piece: i for piece, i in learnt.items() if len(piece) > LONG_PIECE}
+        short = {piece: i for piece, i in learnt.items() if len(piece) <= LONG_PIECE}
+        size = sum(ENTRY_BYTES + 4 * len(piece) + len(i or b"") for piece, i in short.items())
+        if self.held[space] + size > REMEMBER_BYTES // 2:
+            short.update((piece, known[piece]) for piece in wanted if piece in known)
+            known.clear()
+            self.held[space] = 0
+        known.update(short)
+        self.held[space] += size
+        return long
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text."""
         cut = [t.split(" ") for t in texts]
-        self._learn(self.plain, {c[0] for c in cut}, "")
+        long_first = self._learn(self.plain, {c[0] for c in cut}, "")
         wanted: set[str] = set()
         for c in cut:
             wanted.update(c[1:])
-        self._learn(self.after_space, wanted, " ")
+        long = self._learn(self.after_space, wanted, " ")
         out: list = []
         for c in cut:
             try:
                 if c[0][-1:].isspace():
                     raise TypeError
-                out.append(self.plain[c[0]] + b"".join(map(self.after_space.__getitem__, c[1:])))
+                first = long_first[c[0]] if len(c[0]) > LONG_PIECE else self.plain[c[0]]
+                try:
+                    rest = b"".join(map(self.after_space.__getitem__, c[1:]))
+                except KeyError:
+                    rest = b"".join([long[p] if len(p) > LONG_PIECE else self.after_space[p] for p in c[1:]])
+                out.append(first + rest)
             except TypeError:  # white space at an edge (a None): the text is split as a whole
                 out.append(None)
         whole = [i for i, ids in enumerate(out) if ids is None]
         if whole:
             split = [self._split(texts[i]) for i in whole]
-            self._learn(self.plain, {w for s in split for w in s if isinstance(w, str)}, "")
+            long = self._learn(self.plain, {w for s in split for w in s if isinstance(w, str)}, "")
             for i, parts in zip(whole, split):
-                out[i] = b"".join([self.plain[w] if isinstance(w, str) else packed([w]) for w in parts])
+                out[i] = b"".join([packed([w]) if not isinstance(w, str) else long[w] if len(w) > LONG_PIECE else self.plain[w] for w in parts])
         return out
 
     def encode(self, text: str) -> bytes:

@@ -88,9 +88,8 @@ def find_copies(
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    names = docs.columns
-    kept = find_copies(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_kept"))
-    rows = docs.withColumn("_digest", F.unhex(digest_of(text_col)))
-    out = rows.join(kept, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_kept")), "left_semi")
+    kept = find_copies(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"))
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.unhex(digest_of(text_col)).alias("digest"))
+    out = rows.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest")), "left_semi")
     # Rows that repeat an id and its text are interchangeable: one of them stays.
-    return out.dropDuplicates([id_col, "_digest"]).select(*names)
+    return out.dropDuplicates(["id", "digest"]).select("row.*")

@@ -7,7 +7,7 @@ probability of at most ``MISS``. Equal sets are one class from the start; only a
 **Links.** Classes that share a band key are candidates, but pairs within a key are not listed. Each key's class with the least id is its *centre*, and
 every other class is compared with it. Nearly all links of a group are found so: the number of comparisons is at most the number of band keys. Components are
 then formed, and what is left are classes that no link joins to their centre's component. Each of them is compared with the other members of the centre's keys,
-block by block: members are dealt out in blocks of about ``BLOCK_SHINGLES`` shingles, and only these classes are repeated for each block. Within a block the triangle inequality of the Jaccard distance
+block by block: members are dealt out in blocks of about ``BLOCK_SHINGLES`` shingles and at most about ``BLOCK_ROWS`` rows, and only these classes are repeated for each block. Within a block the triangle inequality of the Jaccard distance
 (distances to the centre are known) and the component rule out most pairs before sets are intersected. No candidate pair is left undecided.
 
 **Scale.** Signatures are made in one pass over the text and kept, narrow, in a checkpoint. Texts are shuffled only for the classes that have a candidate. The
@@ -35,7 +35,7 @@ from colloquy.session import durable
 SHINGLE, PERCENT = 5, 80
 ROWS, MISS = 6, 2e-5
 GROUP = 256
-BLOCK_SHINGLES = 300_000
+BLOCK_SHINGLES, BLOCK_ROWS = 300_000, 256
 SEED = 20
 
 
@@ -86,7 +86,8 @@ def signatures(hashes: np.ndarray, edges: np.ndarray, n_permutations: int, seed:
     if len(full):
         starts = edges[:-1][full]
         for p in range(n_permutations):
-            values = (hashes ^ masks[p]) * factors[p]
+            values = hashes ^ masks[p]
+            values *= factors[p]
             values ^= values >> np.uint64(32)
             values *= factors[p]
             out[:, 2 * p] = np.minimum.reduceat(values, starts)
@@ -276,9 +277,12 @@ def _leftover_links(docs: DataFrame, compared: DataFrame, found: DataFrame, clas
         (F.col("node_component") != F.col("centre_component")).alias("asks"), "n_shingles",
     )
     members = durable(members)
+    def parts(rows: Column) -> Column:
+        shingles = F.ceil(F.sum(F.when(rows, F.col("n_shingles"))) / BLOCK_SHINGLES)
+        return F.greatest(shingles, F.ceil(F.count_if(rows) / BLOCK_ROWS)).cast("bigint")
+
     blocks = members.groupBy("centre").agg(
-        F.ceil(F.sum(F.when(F.col("asks"), F.col("n_shingles"))) / BLOCK_SHINGLES).cast("bigint").alias("ask_blocks"),
-        F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("bigint").alias("blocks"), F.count("*").alias("n"),
+        parts(F.col("asks")).alias("ask_blocks"), parts(F.lit(True)).alias("blocks"), F.count("*").alias("n"),
     ).where("n > 1 and ask_blocks > 0").select(F.xxhash64("centre").alias("place"), "ask_blocks", "blocks")
     dealt = members.withColumn("place", F.xxhash64("centre")).join(blocks, "place")
     # The asking rows of a block meet every block of members, and each member every block of asking rows.
@@ -299,7 +303,7 @@ def _digest(text: str) -> Column:
 
 
 def _decided(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int, rows: int) -> tuple[DataFrame, bool]:
-    """Per row: doc_id, digest, n_shingles, component_id, kept; and whether rows repeat an id and its text."""
+    """Per row: doc_id, digest, n_shingles, component_id, first (it is the row of its component that stays); and whether rows repeat an id and its text."""
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), _digest(text_col).alias("digest"), F.col(text_col).cast("string").alias("text"))
     bands = bands_for(percent, rows)
     signed = durable(map_batches(
@@ -331,19 +335,22 @@ def _decided(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int,
     )
     out = judged.withColumn("place", F.xxhash64("one", "two")).join(named, "place").where("one = _one and two = _two")
     return out.select(
-        "doc_id", "digest", "n_shingles", F.col("least.doc_id").alias("component_id"), (F.col("row") == F.col("least.row")).alias("kept"),
+        "doc_id", "digest", "n_shingles", F.col("least.doc_id").alias("component_id"), (F.col("row") == F.col("least.row")).alias("first"),
     ).unionByName(signed.where("n_shingles = 0 or doc_id is null").select(
-        "doc_id", "digest", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))), repeats
+        "doc_id", "digest", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("first"))), repeats
 
 
 def components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, percent: int = PERCENT, rows: int = ROWS
 ) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id (least id that links reach, its own included), kept (it is the row of its component that stays).
+    """Per row: doc_id, n_shingles, component_id (least id that links reach, its own included), kept (doc_id is component_id, or null).
+
+    Rows that repeat the least id of a component are all marked kept; :func:`drop_near_copies` keeps one of them.
 
     Texts with a Jaccard similarity of at least ``percent`` / 100 over ``k``-word shingles are linked. Runs jobs when called.
     """
-    return _decided(docs, id_col, text_col, k, percent, rows)[0].drop("digest")
+    decided = _decided(docs, id_col, text_col, k, percent, rows)[0]
+    return decided.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def drop_near_copies(
@@ -351,14 +358,13 @@ def drop_near_copies(
 ) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: of each component the row with the least id and text digest, and every row without an id."""
     decided, repeats = _decided(docs, id_col, text_col, k, percent, ROWS)
-    place = [F.col("doc_id").alias("_id"), F.col("digest").alias("_gone")]
-    kept = decided.where("kept and n_shingles > 0 and doc_id is not null").select(*place)
-    gone = decided.where("not kept").select(*place).distinct()
-    rows = docs.withColumn("_digest", _digest(text_col))
-    same = (F.col(id_col).cast("bigint") == F.col("_id")) & (F.col("_digest") == F.col("_gone"))
-    if not repeats:
-        return rows.join(gone, same, "left_anti").select(*docs.columns)
-    # Rows that repeat an id and its text: all but one are gone.
-    twice = gone.join(kept, ["_id", "_gone"], "left_semi")
-    one = rows.join(twice, same, "left_semi").dropDuplicates([id_col, "_digest"])
-    return rows.join(gone, same, "left_anti").unionByName(one).select(*docs.columns)
+    place = [F.col("doc_id").alias("gone_id"), F.col("digest").alias("gone_digest")]
+    kept = decided.where("first and n_shingles > 0 and doc_id is not null").select(*place)
+    gone = decided.where("not first").select(*place).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("bigint").alias("id"), _digest(text_col).alias("digest"))
+    same = (F.col("id") == F.col("gone_id")) & (F.col("digest") == F.col("gone_digest"))
+    stay = rows.join(gone, same, "left_anti")
+    if repeats:  # Rows that repeat an id and its text: all but one are gone.
+        twice = gone.join(kept, ["gone_id", "gone_digest"], "left_semi")
+        stay = stay.unionByName(rows.join(twice, same, "left_semi").dropDuplicates(["id", "digest"]))
+    return stay.select("row.*")

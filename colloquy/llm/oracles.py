@@ -83,24 +83,32 @@ summed AS (
     FROM scopes
 ),
 quartiles AS (
-    SELECT scope, lang, source, metric, max(total) AS n, min(value) FILTER (4 * upto >= total) AS low, min(value) FILTER (4 * upto >= 3 * total) AS high
+    SELECT scope, lang, source, metric, max(total) AS n, min(value) FILTER (4 * upto >= total) AS low, min(value) FILTER (2 * upto >= total) AS mid,
+           min(value) FILTER (4 * upto >= 3 * total) AS high
     FROM summed GROUP BY scope, lang, source, metric
 ),
-chosen AS (
-    SELECT s.lang, s.source, s.metric,
-           CASE WHEN s.n >= 200 THEN s.low WHEN l.n >= 200 THEN l.low ELSE a.low END AS low,
-           CASE WHEN s.n >= 200 THEN s.high WHEN l.n >= 200 THEN l.high ELSE a.high END AS high
-    FROM quartiles s JOIN quartiles l ON l.scope = 'lang' AND l.lang IS NOT DISTINCT FROM s.lang AND l.metric = s.metric
-    JOIN quartiles a ON a.scope = 'all' AND a.metric = s.metric WHERE s.scope = 'source'
+rules(name, metric, sign, margin) AS (
+    VALUES ('symbols', 'symbol_share', 1, 0.02::DOUBLE), ('dup_lines', 'dup_line_share', 1, 0.1::DOUBLE), ('repeats', 'repeat_share', 1, 0.075::DOUBLE),
+           ('longest', 'mean_word', 1, 0.4::DOUBLE), ('shortest', 'mean_word', -1, 0.25::DOUBLE)
+),
+placed AS (
+    SELECT scope, lang, source, name, n, sign, margin, mid + sign * 4 * greatest(CASE WHEN sign = 1 THEN mid - low ELSE high - mid END, margin) AS fence
+    FROM quartiles JOIN rules USING (metric)
+),
+wide AS (
+    SELECT l.lang, l.name, CASE WHEN l.n >= 200 THEN l.fence ELSE a.fence END AS fence
+    FROM placed l JOIN placed a ON a.scope = 'all' AND a.name = l.name WHERE l.scope = 'lang'
+),
+own AS (
+    SELECT s.lang, s.source, s.name,
+           CASE WHEN s.sign = 1 THEN least(CASE WHEN s.n >= 200 THEN s.fence ELSE w.fence END, w.fence + 4 * s.margin)
+                ELSE greatest(CASE WHEN s.n >= 200 THEN s.fence ELSE w.fence END, w.fence - 4 * s.margin) END AS fence
+    FROM placed s JOIN wide w ON w.lang IS NOT DISTINCT FROM s.lang AND w.name = s.name WHERE s.scope = 'source'
 ),
 fences AS (
-    SELECT lang, source,
-           max(greatest(high * 1.02::DOUBLE + 3 * (high - low), 0.1)) FILTER (metric = 'symbol_share') AS symbols,
-           max(greatest(high * 1.02::DOUBLE + 3 * (high - low), 0.3)) FILTER (metric = 'dup_line_share') AS dup_lines,
-           max(greatest(high * 1.02::DOUBLE + 3 * (high - low), 0.2)) FILTER (metric = 'repeat_share') AS repeats,
-           max(greatest(high * 1.02::DOUBLE + 3 * (high - low), 12.0)) FILTER (metric = 'mean_word') AS longest,
-           max(least(low * 0.98::DOUBLE - 3 * (high - low), 2.5)) FILTER (metric = 'mean_word') AS shortest
-    FROM chosen GROUP BY lang, source
+    SELECT lang, source, max(fence) FILTER (name = 'symbols') AS symbols, max(fence) FILTER (name = 'dup_lines') AS dup_lines,
+           max(fence) FILTER (name = 'repeats') AS repeats, max(fence) FILTER (name = 'longest') AS longest, max(fence) FILTER (name = 'shortest') AS shortest
+    FROM own GROUP BY lang, source
 )
 SELECT j.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND coalesce(symbol_share <= symbols AND dup_line_share <= dup_lines AND repeat_share <= repeats

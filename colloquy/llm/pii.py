@@ -337,8 +337,9 @@ def _merged(found: Column) -> Column:
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; a null text stays null. Overlapping spans are replaced together."""
     model = fitted(docs.sparkSession)
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.withColumn("_spans", _merged(_ordered(F.concat(base_spans(text), selected(text, model)))))
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    text = F.col("text")
+    rows = rows.withColumn("found", _merged(_ordered(F.concat(base_spans(text), selected(text, model)))))
 
     def replaced(found: Column) -> Column:
         kept = F.transform(found, lambda s, i: F.concat(
@@ -348,5 +349,5 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
         rest = F.substr(text, (F.element_at(found, -1)["end"] + 1).cast("int"))
         return F.concat(F.array_join(kept, ""), rest)
 
-    new = F.when(F.size("_spans") > 0, replaced(F.col("_spans"))).otherwise(F.col(text_col))
-    return rows.withColumn(text_col, new).select(*docs.columns)
+    new = F.when(F.size("found") > 0, replaced(F.col("found"))).otherwise(F.col("row")[text_col])
+    return rows.select(*[(new if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])

@@ -5,13 +5,13 @@ n-grams share ``BUCKETS`` hashed rows, so the model has a fixed size whatever th
 
 **Learning** takes a bounded sample: the ``SAMPLE`` labelled rows with the least hash of their id (fewer if there are fewer). Their texts are turned into
 bucket counts by the executors, each a sparse vector of at most ``BUCKETS`` entries, and only those come to the driver, where numpy runs stochastic
-gradient descent. Classes are weighted to equal total weight and the scores moved back to the class shares of the sample afterwards.
+gradient descent: one row an id, and in the order of the hashes as many as have ``ENTRIES`` entries together (8 bytes each). Classes are weighted to equal total weight and the scores moved back to the class shares of the sample afterwards.
 
 **Scoring** is one pass over the text without a shuffle. Averaging and the last layer are linear, so they fold into one number per bucket; a text's score is
 the logistic function of the average of its buckets' numbers. The folded model (``BUCKETS`` numbers) is broadcast.
 
 **Cases.** Null, empty or blank text has no features: its score is that of a zero vector. Rows without a label, or with one that is not 0 or 1, are
-not learned from; of several labels for one id the least counts. Without any labelled row every score is 0.5. Repeated rows score alike; an empty table
+not learned from; of several labels for one id the least counts, and of several texts the one with the least features. Without any labelled row every score is 0.5. Repeated rows score alike; an empty table
 gives an empty result. Very long texts are counted whole, in blocks. Only the id and the text are read, the id for nothing but the sample.
 """
 
@@ -19,15 +19,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.llm.arrays import BASE_BYTES, Words, batch_of, chunks, map_batches, mix, prefix, ranges
+from colloquy.session import durable
 
 BUCKETS = 1 << 15
 SIZES = (2, 3, 4)
 DIMENSIONS = 16
 SAMPLE = 4_000
+ENTRIES = 24_000_000
 EPOCHS, RATE, SEED = 12, 0.5, 7
 
 
@@ -99,8 +101,8 @@ def _counted(batches):
                 ids.append(at.astype(np.int32))
                 counts.append(sums[at].astype(np.float32))
             yield batch_of(
-                ["label", "buckets", "counts"],
-                [batch.column(0).slice(first, len(texts)), pa.array(ids, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.float32()))],
+                ["id", "label", "buckets", "counts"],
+                [batch.column(0).slice(first, len(texts)), batch.column(1).slice(first, len(texts)), pa.array(ids, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.float32()))],
             )
 
 
@@ -140,22 +142,28 @@ def learn(examples: list[tuple[int, np.ndarray, np.ndarray]], dimensions: int =
 
 
 def sample_of(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label: str, sample: int) -> DataFrame:
-    """(label, text) of the labelled rows with the least hashes of their ids: at most ``sample`` ids, so their table may be broadcast."""
+    """(id, label, text) of the labelled rows with the least hashes of their ids: at most ``sample`` ids, so their table may be broadcast."""
     marked = (
         labels.where(F.col(label).isin(0, 1)).groupBy(F.col(id_col).alias("_id")).agg(F.min(label).cast("int").alias("label"))
         .where("_id is not null").orderBy(F.xxhash64("_id"), "_id").limit(sample)
     )
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("text"))
-    return texts.join(F.broadcast(marked), "_id").select("label", "text")
+    return texts.join(F.broadcast(marked), "_id").select(F.col("_id").alias("id"), "label", "text")
 
 
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label: str = "quality", sample: int = SAMPLE
 ) -> tuple[np.ndarray, float]:
     """A model from at most ``sample`` labelled rows of ``labels`` (id, label). Runs a job; the counts of the sample come to the driver."""
-    rows = map_batches(
-        sample_of(docs, labels, id_col, text_col, label, sample), _counted, "label int, buckets array<int>, counts array<float>"
-    ).toArrow()
+    kind = docs.schema[id_col].dataType.simpleString()
+    counted = map_batches(
+        sample_of(docs, labels, id_col, text_col, label, sample), _counted, f"id {kind}, label int, buckets array<int>, counts array<float>"
+    ).groupBy("id").agg(F.min(F.struct("label", "buckets", "counts")).alias("f")).select("id", "f.*")
+    # At most ``sample`` rows of three numbers: how many entries there are up to each row.
+    upto = F.sum("size").over(Window.orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    counted = durable(counted)
+    fitting = counted.select("id", F.size("buckets").cast("bigint").alias("size")).withColumn("upto", upto).where(F.col("upto") <= ENTRIES)
+    rows = counted.join(F.broadcast(fitting.select("id")), "id", "left_semi").toArrow()
     buckets, counts = rows.column("buckets").combine_chunks(), rows.column("counts").combine_chunks()
     edges = buckets.offsets.to_numpy()
     flat, weights = buckets.values.to_numpy(), counts.values.to_numpy().astype(np.float64)

@@ -5,8 +5,10 @@ shuffled. Windows are compared by a 64-bit hash within one text; only texts that
 
 **Thresholds.** Instead of fixed cutoffs, each (language, source) has fences of its own, read off quantile sketches. The sketch of a metric is a
 histogram over logarithmic buckets (relative error at most ``ERROR``): counts add up, so sketches merge by summing and combine before the
-shuffle, and a language's sketch is the sum of its sources'. A row fails where a metric lies beyond its fence, which is ``SPREAD`` quartile
-distances outside the quartiles and never inside the limits ``FLOORS`` that any ordinary text keeps. A source with fewer than ``MIN_ROWS`` judged
+shuffle, and a language's sketch is the sum of its sources'. A high fence stands ``SPREAD`` times the distance of the lower quartile from the median above the
+median, a low one as far below it by the upper quartile: junk on the fence's own side moves neither number until it is half of the rows. The
+distance counts as ``MARGINS`` at least, so that a metric which hardly varies (symbols, mostly) does not fail ordinary rows. A source's fence lies at most ``SPREAD`` margins outside
+its language's, so a source of mostly junk cannot void its own. Fences tighten and loosen with the data; there is no other limit. A source with fewer than ``MIN_ROWS`` judged
 rows uses its language's sketch, and a language with fewer the sketch of all rows. Rows that fail the base rules are not sketched.
 
 **Joined filtering.** The fences have one row per language and source. They are counted, and broadcast while there are at most ``BROADCAST_ROWS``; beyond
@@ -31,16 +33,16 @@ SYMBOLS = "#*$%&|<>"
 REPEAT = 8
 MIN_WORDS, MAX_REPEAT_SHARE = 20, 30
 ERROR = 0.01
-SPREAD = 3.0
+SPREAD = 4.0
 MIN_ROWS = 200
 BROADCAST_ROWS = 20_000
-#: metric -> (side, limit): beyond the fence on that side it fails, but never on the ordinary side of the limit.
-FLOORS = {
-    "symbol_share": ("high", 0.10),
-    "dup_line_share": ("high", 0.30),
-    "repeat_share": ("high", 0.20),
-    "mean_word_high": ("high", 12.0),
-    "mean_word_low": ("low", 2.5),
+#: metric -> (side, margin): the least distance that counts, in units of the metric.
+MARGINS = {
+    "symbol_share": ("high", 0.02),
+    "dup_line_share": ("high", 0.10),
+    "repeat_share": ("high", 0.075),
+    "mean_word_high": ("high", 0.4),
+    "mean_word_low": ("low", 0.25),
 }
 #: Metrics that share a sketch.
 SKETCH_OF = {"mean_word_high": "mean_word", "mean_word_low": "mean_word"}
@@ -139,7 +141,7 @@ def merge(sketch: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def quartiles(sketch: DataFrame, keys: list[str], error: float = ERROR) -> DataFrame:
-    """(keys, metric, n, low, high): the quartiles of each sketch. A sketch has some hundred buckets at most."""
+    """(keys, metric, n, low, mid, high): quartiles and median of each sketch. A sketch has some hundred buckets at most."""
     gamma = math.log((1 + error) / (1 - error))
     group = Window.partitionBy(*keys, "metric")
     value = F.when(F.col("bucket").isNull(), F.lit(0.0)).otherwise(F.exp(F.col("bucket") * gamma) * (1 - error))
@@ -150,28 +152,35 @@ def quartiles(sketch: DataFrame, keys: list[str], error: float = ERROR) -> DataF
     return upto.groupBy(*keys, "metric").agg(
         F.max("total").alias("n"),
         F.min(F.when(4 * F.col("upto") >= F.col("total"), F.col("value"))).alias("low"),
+        F.min(F.when(4 * F.col("upto") >= 2 * F.col("total"), F.col("value"))).alias("mid"),
         F.min(F.when(4 * F.col("upto") >= 3 * F.col("total"), F.col("value"))).alias("high"),
     )
 
 
+def _fence(q: Column, side: str, margin: float) -> Column:
+    if side == "high":
+        return q["mid"] + SPREAD * F.greatest(q["mid"] - q["low"], F.lit(margin))
+    return q["mid"] - SPREAD * F.greatest(q["high"] - q["mid"], F.lit(margin))
+
+
 def fences(counted: DataFrame, lang: str = "lang", source: str = "source", min_rows: int = MIN_ROWS) -> DataFrame:
-    """(lang, source, and a limit per metric of ``FLOORS``), from the rows that pass the base rules."""
+    """(lang, source, and a limit per metric of ``MARGINS``), from the rows that pass the base rules."""
     keys = [lang, source]
     fine = durable(sketches(counted.where(~base_failed()), keys))
-    by_source = quartiles(fine, keys).select(*keys, "metric", F.struct("n", "low", "high").alias("own"))
-    by_lang = quartiles(merge(fine, [lang]), [lang]).select(F.col(lang).alias("_l"), F.col("metric").alias("_m"), F.struct("n", "low", "high").alias("wide"))
-    overall = quartiles(merge(fine, []), []).select(F.col("metric").alias("_a"), F.struct("n", "low", "high").alias("all"))
+    q = F.struct("n", "low", "mid", "high")
+    by_source = quartiles(fine, keys).select(*keys, "metric", q.alias("own"))
+    by_lang = quartiles(merge(fine, [lang]), [lang]).select(F.col(lang).alias("_l"), F.col("metric").alias("_m"), q.alias("wide"))
+    overall = quartiles(merge(fine, []), []).select(F.col("metric").alias("_a"), q.alias("all"))
     chosen = (
         by_source.join(by_lang, F.col(lang).eqNullSafe(F.col("_l")) & (F.col("metric") == F.col("_m")))
         .join(F.broadcast(overall), F.col("metric") == F.col("_a"))
-        .withColumn("q", F.when(F.col("own.n") >= min_rows, F.col("own")).when(F.col("wide.n") >= min_rows, F.col("wide")).otherwise(F.col("all")))
+        .withColumn("wide", F.when(F.col("wide.n") >= min_rows, F.col("wide")).otherwise(F.col("all")))
+        .withColumn("own", F.when(F.col("own.n") >= min_rows, F.col("own")).otherwise(F.col("wide")))
     )
     limits = []
-    for name, (side, floor) in FLOORS.items():
-        reach = SPREAD * (F.col("q.high") - F.col("q.low"))
-        # A quartile read off a sketch may be short by the width of its bucket.
-        high, low = F.col("q.high") * (1 + 2 * ERROR), F.col("q.low") * (1 - 2 * ERROR)
-        fence = F.greatest(high + reach, F.lit(floor)) if side == "high" else F.least(low - reach, F.lit(floor))
+    for name, (side, margin) in MARGINS.items():
+        own, wide = _fence(F.col("own"), side, margin), _fence(F.col("wide"), side, margin)
+        fence = F.least(own, wide + SPREAD * margin) if side == "high" else F.greatest(own, wide - SPREAD * margin)
         limits.append(F.max(F.when(F.col("metric") == SKETCH_OF.get(name, name), fence)).alias(f"fence_{name}"))
     return chosen.groupBy(*keys).agg(*limits)
 
@@ -179,14 +188,14 @@ def fences(counted: DataFrame, lang: str = "lang", source: str = "source", min_r
 def _verdict() -> Column:
     """True where every metric is within its fence; a source without any sketched row has no fence and no passing row."""
     within = F.lit(True)
-    for name, (side, _) in FLOORS.items():
+    for name, (side, _) in MARGINS.items():
         value, fence = metric(SKETCH_OF.get(name, name)), F.col(f"fence_{name}")
         within = within & F.coalesce(value <= fence if side == "high" else value >= fence, F.lit(True))
     return within
 
 
 def _judged(counted: DataFrame, limits: DataFrame, lang: str, source: str, own: list[str]) -> DataFrame:
-    limits = limits.select(F.col(lang).alias("_lang"), F.col(source).alias("_source"), *[f"fence_{n}" for n in FLOORS])
+    limits = limits.select(F.col(lang).alias("_lang"), F.col(source).alias("_source"), *[f"fence_{n}" for n in MARGINS])
     if limits.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         limits = F.broadcast(limits)
     judged = counted.join(

@@ -115,10 +115,9 @@ def op11_spelling_variants(spark, d):
 
 @query
 def op12_sentence_pieces(spark, d):
-    listed = lambda c: F.sha2(F.array_join(F.col(c).cast("array<string>"), ",").cast("binary"), 256)
     return sentence_pieces.encode(_table(spark, d, "documents"), public_tokenizers.path(PIECES), decoded=True).select(
-        "doc_id", "n_tokens", listed("ids").alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-        listed("ends").alias("ends_sha256"),
+        "doc_id", "n_tokens", F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.coalesce(F.try_element_at("ends", F.lit(-1)), F.lit(0)).alias("n_bytes"),
     )
 
 

@@ -5,7 +5,7 @@ what it matches, else the character stays; spaces become U+2581 and one is put b
 where its source begins, so a piece of the normalised text projects to a span of the original bytes. Pieces are merged by score, the best pair first
 and the leftmost of equals; characters outside the vocabulary become byte pieces, the last of which holds the character's span.
 
-**Speed.** No piece of a usual model goes on over a U+2581 or holds certain control characters, which the model's own pieces tell; there the
+**Speed.** No piece of a usual model goes on over a U+2581, from a letter to a mark or over certain control characters, which the model's own pieces tell; there the
 normalised text is cut into words. The words of a chunk that are not remembered are merged many at once, as rows of an array of parts and one
 of pair ranks; words of more than ``SHORT_WORD`` characters keep their pairs in a heap. Ids of words are remembered up to
 ``REMEMBER_BYTES``, long words never. Where the map is empty, normalising is a replacement and the alignment follows from the lengths of the
@@ -19,6 +19,7 @@ user-defined or unused pieces are refused.
 from __future__ import annotations
 
 import heapq
+import re
 import struct
 from collections.abc import Iterator
 from itertools import groupby
@@ -26,7 +27,6 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,9 +36,9 @@ SPACE = "\u2581"
 CHUNK_BYTES = 1 << 20
 SHORT_WORD = 64
 BLOCK = 8192
-REMEMBER_BYTES = 48 << 20
-ENTRY_BYTES = 300  # a remembered word besides its characters and ids
-NO_RANK = 1 << 40
+REMEMBER_BYTES = 96 << 20
+ENTRY_BYTES = 200  # a remembered word besides its characters and ids
+NO_RANK = np.iinfo(np.int32).max
 # Kinds of pieces and the number of a BPE model in the published format.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, BYTE, UNUSED = 1, 2, 3, 4, 6, 5
 BPE = 2
@@ -210,60 +210,90 @@ class Model:
         keys = np.array([a * (self.other + 1) + b for a, b in self.pairs], dtype=np.int64)
         by_key = np.argsort(keys)
         self.pair_keys = np.append(keys[by_key], np.iinfo(np.int64).max)
-        values = np.array(list(self.pairs.values()), dtype=np.int64).reshape(-1, 2)[by_key]
-        self.pair_ranks, self.pair_merged = np.append(values[:, 0], NO_RANK), np.append(values[:, 1], 0)
+        self.pair_ranks = np.append(np.array([rank for rank, _ in self.pairs.values()], dtype=np.int32)[by_key], NO_RANK).astype(np.int32)
+        # The rank of a pair tells what it merges into, unless several pieces share a score (-1).
+        self.piece_of_rank = np.zeros(len(order) + 1, dtype=np.int32)
+        for rank, i in self.pairs.values():
+            self.piece_of_rank[rank] = i if self.piece_of_rank[rank] in (0, i) else -1
         self.size_of = np.array([len(p) for p in self.pieces] + [1] * (self.other + 1 - len(self.pieces)), dtype=np.int64)
-        # Where words may be cut: before a space that follows another character, and around characters of no longer piece.
-        joined = {p for p in self.ids if len(p) > 1}
-        inner = set("".join(joined))
-        alone = "".join(regex.escape(chr(c)) for c in range(1, 128) if chr(c) not in inner and not chr(c).isalnum())
-        one = f"|[{alone}]" if alone else ""
-        if any(regex.search(f"[^{SPACE}]{SPACE}", p) for p in joined):
-            self.words = None
-        else:
-            self.words = regex.compile(f"{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+{one}").findall
+        self.symbol_of = np.full(0x110000, self.other, dtype=np.int32)  # by code point
+        for c, symbol in self.symbol.items():
+            self.symbol_of[ord(c)] = symbol
+        self.words = self._cutter([p for p in self.ids if len(p) > 1])
+        self.is_control = np.array([kind == CONTROL for kind in self.kinds])
         self.text_of = [
             b"" if kind == CONTROL else self.unknown_text.encode() if kind == UNKNOWN else bytes([int(p[3:5], 16)]) if kind == BYTE
             else p.replace(SPACE, " ").encode()
             for p, kind in zip(self.pieces, self.kinds)
         ]
 
-    def rank(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        keys = left * (self.other + 1) + right
+    def _cutter(self, joined: list[str]):
+        """The function that cuts a normalised text into words; None where some piece goes on over a space.
+
+        Two characters that no piece has side by side, nor are linked by others that pieces have side by side, never merge. So a run of the full stop's
+        kin, as the pieces have it (punctuation, usually), is a word, as is a run of all others; spaces go with what follows them.
+        """
+        if any(re.search(f"[^{SPACE}]{SPACE}", p) for p in joined):
+            return None
+        kin: dict[str, set[str]] = {}
+        for piece in joined:
+            for a, b in zip(piece, piece[1:]):
+                if a != SPACE:
+                    kin.setdefault(a, set()).add(b)
+                    kin.setdefault(b, set()).add(a)
+        marks, todo = {"."}, ["."]
+        while todo:
+            new = kin.get(todo.pop(), set()) - marks
+            marks |= new
+            todo += new
+        if "a" in marks:
+            marks = set()
+        inner = set("".join(joined))
+        alone = "".join(re.escape(chr(c)) for c in range(1, 128) if chr(c) not in inner and not chr(c).isalnum())
+        runs = "".join(map(re.escape, sorted(marks)))
+        kinds = [f"{SPACE}*[^{SPACE}{runs}{alone}]+", *([f"{SPACE}*[{runs}]+"] if runs else []), f"{SPACE}+", *([f"[{alone}]"] if alone else [])]
+        return re.compile("|".join(kinds)).findall
+
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left * np.int64(self.other + 1) + right
         at = np.searchsorted(self.pair_keys, keys)
-        known = self.pair_keys[at] == keys
-        return np.where(known, self.pair_ranks[at], NO_RANK), self.pair_merged[at]
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], np.int32(NO_RANK))
 
-    def merge_short(self, words: list[str]) -> list[list[int]]:
-        """The symbols that remain of words of one length: a row of parts and a row of ranks for each word."""
+    def merge_short(self, words: list[str]) -> list[bytes]:
+        """The pieces (see :meth:`pieces_of`) of words of one length: a row of parts and a row of ranks for each word."""
         size = len(words[0])
-        parts = np.array([self.symbol.get(c, self.other) for w in words for c in w], dtype=np.int64).reshape(len(words), size)
-        ranks = np.full((len(words), size), NO_RANK, dtype=np.int64)
-        into = np.zeros((len(words), size), dtype=np.int64)
-        ranks[:, :-1], into[:, :-1] = self.rank(parts[:, :-1], parts[:, 1:])
+        parts = self.symbol_of[np.frombuffer("".join(words).encode("utf-32-le"), dtype="<u4")].reshape(len(words), size)
+        ranks = np.full((len(words), size), NO_RANK, dtype=np.int32)
+        ranks[:, :-1] = self.rank(parts[:, :-1], parts[:, 1:])
         out: list = [None] * len(words)
         rows, left = np.arange(len(words)), np.full(len(words), size)
+        places = np.arange(size)
         while len(rows):
             at = ranks.argmin(axis=1)
             line = np.arange(len(rows))
             going = ranks[line, at] != NO_RANK
             if not going.all():
-                for r, row, n in zip(rows[~going].tolist(), parts[~going].tolist(), left[~going].tolist()):
-                    out[r] = row[:n]
-                rows, left, at, parts, ranks, into = (x[going] for x in (rows, left, at, parts, ranks, into))
+                done, n_done = parts[~going], left[~going].tolist()
+                known = (np.where(places < left[~going, None], done, 0) < len(self.pieces)).all(axis=1).tolist()
+                both = np.stack([done, self.size_of[done]], axis=2).astype("<i4")
+                for k, (r, n) in enumerate(zip(rows[~going].tolist(), n_done)):
+                    out[r] = both[k, :n].tobytes() if known[k] else self.pieces_of(words[r], done[k, :n].tolist())
+                rows, left, at, parts, ranks = (x[going] for x in (rows, left, at, parts, ranks))
                 line = np.arange(len(rows))
             if not len(rows):
                 break
-            merged = into[line, at]
-            moved = np.minimum(np.arange(size) + (np.arange(size) > at[:, None]), size - 1)
-            parts, ranks, into = (np.take_along_axis(x, moved, axis=1) for x in (parts, ranks, into))
+            merged = self.piece_of_rank[ranks[line, at]]
+            for k in np.flatnonzero(merged < 0).tolist():
+                merged[k] = self.pairs[int(parts[k, at[k]]), int(parts[k, at[k] + 1])][1]
+            moved = np.minimum(places + (places > at[:, None]), size - 1)
+            parts, ranks = np.take_along_axis(parts, moved, axis=1), np.take_along_axis(ranks, moved, axis=1)
             left = left - 1
             parts[line, at] = merged
             ranks[line, left - 1] = NO_RANK
             for pick, place in ((at + 1 < left, at), (at > 0, at - 1)):
                 r = np.flatnonzero(pick)
                 p = place[r]
-                ranks[r, p], into[r, p] = self.rank(parts[r, p], parts[r, p + 1])
+                ranks[r, p] = self.rank(parts[r, p], parts[r, p + 1])
         return out
 
     def merge_long(self, word: str) -> list[int]:
@@ -291,48 +321,43 @@ class Model:
             offer(i)
         return [p for p in parts if p >= 0]
 
-    def pieces_of(self, word: str, symbols: list[int]) -> tuple[bytes, bytes]:
-        """Packed ids, and packed numbers of normalised characters that each piece stands for."""
-        if max(symbols) < len(self.pieces):
-            return struct.pack(f"<{len(symbols)}i", *symbols), self.size_of[symbols].astype("<i4").tobytes()
-        ids: list[int] = []
-        sizes: list[int] = []
+    def pieces_of(self, word: str, symbols: list[int]) -> bytes:
+        """For each piece its id and the number of normalised characters that it stands for, packed."""
+        out: list[int] = []
         at = 0
         for symbol in symbols:
             size = int(self.size_of[symbol])
             if symbol < len(self.pieces):
-                ids.append(symbol)
-                sizes.append(size)
+                out += [symbol, size]
             elif self.byte_ids is None:
-                ids.append(self.unknown)
-                sizes.append(size)
+                out += [self.unknown, size]
             else:  # the last byte stands for the character
                 data = word[at].encode("utf-8", "replace")
-                ids += [self.byte_ids[b] for b in data]
-                sizes += [0] * (len(data) - 1) + [1]
+                for b in data[:-1]:
+                    out += [self.byte_ids[b], 0]
+                out += [self.byte_ids[data[-1]], 1]
             at += size
-        return struct.pack(f"<{len(ids)}i", *ids), struct.pack(f"<{len(sizes)}i", *sizes)
+        return struct.pack(f"<{len(out)}i", *out)
 
 
 class Encoder:
     def __init__(self, contents: bytes):
         self.model = Model(contents)
-        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.known: dict[str, bytes] = {}
         self.known_bytes = 0
 
-    def _learn(self, wanted: set[str]) -> dict[str, tuple[bytes, bytes]]:
+    def _learn(self, wanted: set[str]) -> dict[str, bytes]:
         """The pieces of all wanted words; short ones are remembered."""
         new = [w for w in wanted if w not in self.known]
         by_size: dict[int, list[str]] = {}
         for word in new:
             by_size.setdefault(len(word) if len(word) <= SHORT_WORD else 0, []).append(word)
         long = {w: self.model.pieces_of(w, self.model.merge_long(w)) for w in by_size.pop(0, [])}
-        learnt: dict[str, tuple[bytes, bytes]] = {}
+        learnt: dict[str, bytes] = {}
         for words in by_size.values():
             for some in (words[k:k + BLOCK] for k in range(0, len(words), BLOCK)):
-                for word, symbols in zip(some, self.model.merge_short(some)):
-                    learnt[word] = self.model.pieces_of(word, symbols)
-        size = sum(ENTRY_BYTES + 4 * len(w) + 2 * len(p[0]) for w, p in learnt.items())
+                learnt.update(zip(some, self.model.merge_short(some)))
+        size = sum(ENTRY_BYTES + 4 * len(w) + len(p) for w, p in learnt.items())
         if self.known_bytes + size > REMEMBER_BYTES:
             learnt.update((w, self.known[w]) for w in wanted if w in self.known)
             self.known, self.known_bytes = {}, 0
@@ -352,11 +377,10 @@ class Encoder:
         out = []
         for words, starts in zip(cut, aligned):
             try:
-                pieces = list(map(self.known.__getitem__, words))
+                pieces = b"".join(map(self.known.__getitem__, words))
             except KeyError:
-                pieces = [long.get(w) or self.known[w] for w in words]
-            ids = np.frombuffer(b"".join([p[0] for p in pieces]), dtype="<i4")
-            sizes = np.frombuffer(b"".join([p[1] for p in pieces]), dtype="<i4")
+                pieces = b"".join([long[w] if w in long else self.known[w] for w in words])
+            ids, sizes = np.frombuffer(pieces, dtype="<i4").reshape(-1, 2).T
             if model.byte_ids is None and len(ids):  # neighbours that are unknown count as one
                 again = (ids[1:] == model.unknown) & (ids[:-1] == model.unknown)
                 last = np.append(~again, True)
@@ -367,8 +391,9 @@ class Encoder:
         return out
 
     def decode(self, ids: np.ndarray | list[int]) -> str:
-        model, ids = self.model, list(map(int, ids))
-        parts = [model.text_of[i] for i in ids]
+        model, numbers = self.model, np.asarray(ids, dtype=np.int64)
+        ids = numbers.tolist()
+        parts = list(map(model.text_of.__getitem__, ids))
         kinds, normaliser = model.kinds, model.normaliser
         if normaliser.dummy_prefix or normaliser.remove_extra:
             # The first piece loses the space put before the text; with extra spaces removed, so do others until there is text.
@@ -385,7 +410,7 @@ class Encoder:
             text = joined.decode()
         except UnicodeDecodeError:
             text = None
-        if text is None or CONTROL in (kinds[i] for i in set(ids)):
+        if text is None or model.is_control[numbers].any():
             # bytes on both sides of a control piece are no character
             return "".join([_decoded(b"".join(p for p, _ in run)) for _, run in groupby(zip(parts, ids), lambda x: kinds[x[1]] == CONTROL)])
         return text

@@ -10,6 +10,7 @@ from helpers import LOWER, odd_rows, passage, words
 from pyspark.sql import functions as F
 
 from colloquy.llm import exact_dedup, near_dedup, substring_dedup
+from colloquy.llm.arrays import Words
 
 
 def _repeats(docs, window):
@@ -175,7 +176,7 @@ def test_one_id_on_different_texts(spark):
     del left[(3, docs[4][1])], left[(3, docs[5][1])]
     assert left == Counter([docs[0], docs[2], docs[6], docs[9], docs[11], *docs[12:]])
     rows = near_dedup.components(frame).collect()
-    assert len(rows) == len(docs) and sum(r["kept"] for r in rows) == len(kept)
+    assert len(rows) == len(docs) and all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in rows)
     assert {r["component_id"] for r in rows} == {1, 7, 3, 4, 2, 5, None, 10}
 
 
@@ -218,3 +219,24 @@ def test_odd_rows_and_empty_tables(spark):
         assert drop(odd.limit(0)).count() == 0
     for f in (substring_dedup.remove_repeats, exact_dedup.find_copies, near_dedup.components):
         assert f(odd.limit(0)).count() == 0
+
+
+def test_columns_of_any_name_are_kept(spark):
+    names = ["_id", "_kept", "_gone", "_digest", "row", "id", "digest", "kept_id", "gone_id", "first", "component_id"]
+    schema = "doc_id long, text string, " + ", ".join(f"{n} string" for n in names)
+    docs = spark.createDataFrame([(1, passage(0, 90), *names), (2, passage(0, 90), *names), (3, passage(0, 90) + " more", *names), (None, None, *names)], schema)
+    for drop, left in ((exact_dedup.drop_copies, {1, 3, None}), (near_dedup.drop_near_copies, {1, None})):
+        rows = drop(docs)
+        assert rows.columns == docs.columns and {r["doc_id"] for r in rows.collect()} == left
+        assert all(tuple(r)[2:] == tuple(names) for r in rows.collect())
+
+
+def test_word_hashes_do_not_depend_on_their_place():
+    words = [b"a", b"bb", b"x" * 200_000, "é中".encode(), b"tab"]
+    rng = random.Random(4)
+    first = {}
+    for text in (b" ".join(rng.choice(words) for _ in range(n)) for n in (1, 7, 60)):
+        found = Words([b"zz  ", text, b"", text])
+        for start, end, value in zip(found.start.tolist(), found.end.tolist(), found.hash.tolist()):
+            assert first.setdefault(found.buffer[start:end].tobytes(), value) == value
+    assert len(set(first.values())) == len(first)

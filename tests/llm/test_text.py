@@ -72,6 +72,28 @@ def test_fences_follow_the_source(spark):
     assert got[5004]  # a source of two rows goes by all rows, of which half are as noisy
 
 
+def _symbols(share, n=60):
+    """About ``share`` of the word characters are symbols."""
+    marks = round(share * n * 6 / (1 - share))
+    return " ".join(f"word{i:02d}" + "#" * (marks // n + (i < marks % n)) for i in range(n))
+
+
+def test_fences_tighten_and_loosen(spark):
+    # Against fixed cutoffs of 0.10 symbols and 12 letters a word: code has more symbols, and prose with 0.09 is junk.
+    texts = [(i, _symbols(0), "en", "prose") for i in range(300)] + [(6000 + i, _symbols(0), "en", f"more{i % 3}") for i in range(900)] + [(300, _symbols(0.09), "en", "prose"), (301, " ".join(["verylongword"] * 5 + [f"longword{i}" for i in range(60)]), "en", "prose")]
+    texts += [(1000 + i, _symbols(0.11 + 0.0003 * i), "en", "code") for i in range(300)] + [(2000, _symbols(0.5), "en", "code")]
+    # A source of which two fifths are junk, and one of nothing else: neither voids its fence.
+    texts += [(3000 + i, _symbols(0.4 if i % 5 < 2 else 0), "en", "mixed") for i in range(300)] + [(4000 + i, _symbols(0.45), "en", "junk") for i in range(300)]
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.judge(spark.createDataFrame(texts, "doc_id long, text string, lang string, source string")).collect()}
+    assert all(got[i] for i in range(300)) and not got[300] and not got[301]
+    limits = {r["source"]: r for r in quality_rules.fences(quality_rules.word_counts(spark.createDataFrame(texts, "doc_id long, text string, lang string, source string"))).collect()}
+    margin = quality_rules.SPREAD * quality_rules.MARGINS["symbol_share"][1]
+    english = limits["prose"]["fence_symbol_share"]
+    assert all(r["fence_symbol_share"] <= english + margin + 1e-9 for r in limits.values())
+    assert limits["code"]["fence_symbol_share"] > english and not got[2000]
+    assert all(got[3000 + i] == (i % 5 >= 2) for i in range(300)) and not any(got[4000 + i] for i in range(300))
+
+
 def test_quality_keeps_columns(spark):
     odd = odd_rows(spark)
     kept = quality_rules.keep_good(odd)
@@ -99,6 +121,18 @@ def test_classifier_on_held_out_rows(spark):
     assert all(got[i]["held"] == (zlib.crc32(str(i).encode()) % 3 == 1) for i in got)
 
 
+def test_one_row_an_id_is_learned_from(spark, monkeypatch):
+    rows = [(i % 20, f"good text number {i}" if i % 2 else f"bad words here {i}") for i in range(200)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality_classifier, "learn", lambda examples: seen.append(examples) or (np.zeros(quality_classifier.BUCKETS), 0.0))
+    quality_classifier.train(docs, labels)
+    assert len(seen[0]) == 20
+    monkeypatch.setattr(quality_classifier, "ENTRIES", 200)
+    quality_classifier.train(docs, labels)
+    assert 0 < len(seen[1]) < 20 and sum(len(b) for _, b, _ in seen[1]) <= 200
+
+
 def test_long_texts_are_scored_whole():
     rng = np.random.default_rng(0)
     numbers = rng.normal(size=quality_classifier.BUCKETS)
@@ -197,6 +231,12 @@ def test_running_sums(spark):
     assert all(r["s"] == np.cumsum(r["v"]).tolist() for r in got)
 
 
+def test_redaction_keeps_columns_of_any_name(spark):
+    names = ["_spans", "found", "row", "_id", "kind", "start"]
+    docs = spark.createDataFrame([("mail a@b.co", *names)], "text string, " + ", ".join(f"{n} string" for n in names))
+    assert [tuple(r) for r in pii.redact(docs).collect()] == [("mail [EMAIL]", *names)]
+
+
 def test_redaction(spark):
     docs = spark.createDataFrame([(1, "mail a@b.co or +1 (555) 123-4567!", "x"), (2, None, "y"), (3, "clean", "z")], "doc_id long, text string, spans string")
     got = {r["doc_id"]: r["text"] for r in pii.redact(docs).collect()}
@@ -222,6 +262,36 @@ def test_licences(spark):
     assert rows[7]["labels"] == "bsd-3-clause" and rows[7]["score"] == 1.0 and rows[8]["labels"] == ""
 
 
+WRITTEN = [
+    ("GPLv2", "gpl-2.0"), ("GPLv3 or later", "gpl-3.0-or-later"), ("LGPLv2.1+", "lgpl-2.1-or-later"), ("Apache-2.0", "apache-2.0"), ("MIT licensed", "mit"), ("GPL v2", "gpl-2.0"),
+    ("the GNU General Public License v3", "gpl,gpl-3.0"), ("Apache License v2.0", "apache,apache-2.0"), ("version 2 of the GNU GPL", "gpl-2.0"), ("GPL-2.0+", "gpl-2.0-or-later"),
+    ("EUPL v1.2", "eupl-1.2"), ("released under the BSD 3-clause licence", "bsd-3-clause"), ("MPL 2.0", "mpl-2.0"), ("under the MIT", "mit"), ("SPDX-License-Identifier: GPL-3.0-or-later", "gpl-3.0-or-later"),
+    ("GNU Lesser General Public Licence version 2.1 or (at your option) any later version", "lgpl-2.1-or-later"), ("Apache 2.0 server", ""), ("we reply, see under the tree; general software of the project was released", ""),
+    ("2+3 licensed GPL 2+3", "gpl"), ("Kelvin \u212aK licence", ""), ("GPL 2 or, later, something", "gpl-2.0"),
+]
+
+
+def test_usual_ways_to_write_a_licence(spark):
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(WRITTEN)], "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in license_rules.summary(license_rules.scan(docs)).collect()}
+    assert [(t, got[i]) for i, (t, _) in enumerate(WRITTEN)] == WRITTEN
+
+
+def test_contained_detections_go_and_overlapping_ones_stay(spark):
+    rules = [("a", r" (a b c)(?= )", "abc", 9), ("c", r" (c d)(?= )", "cd", 8), ("b", r" (b c)(?= )", "bc", 7), ("b", r" (b)(?= )", "b", 5), ("d", r" (d( e)?)(?= )", "de", 4)]
+    rng = random.Random(9)
+    texts = ["a b c d e", "b c d", "b a b c", "d e c d"] + [" ".join(rng.choice("abcde") for _ in range(rng.randint(0, 25))) for _ in range(200)]
+    found = license_rules.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), rules=rules).collect()
+    for r in found:
+        text, spans, want = f" {texts[r['doc_id']]} ", [], []
+        for _, pattern, label, _ in rules:
+            now = [(len(text[:m.start(1)].split()), len(m.group(1).split())) for m in re.finditer(pattern, text)]
+            want += [(at, n, label) for at, n in now if not any(x <= at and at + n <= x + k for x, k in spans)]
+            spans += now
+        assert [(f["start"], f["words"], f["label"]) for f in r["found"]] == want, text
+    assert [(f["start"], f["label"]) for f in found[0]["found"]] == [(0, "abc"), (2, "cd"), (3, "de")]
+
+
 def test_base_phrases_equal_brute_force(spark):
     rng = random.Random(6)
     vocabulary = ["gnu", "general", "public", "license", "apache", "cc", "by", "mit", "x", "ñ", "License", "CC"]
@@ -237,7 +307,9 @@ def test_base_phrases_equal_brute_force(spark):
 
 def test_rules_are_many_ordered_and_gated():
     rules = license_rules.build_rules()
-    assert len(rules) > 300 and [r[3] for r in rules] == sorted((r[3] for r in rules), reverse=True) and all(r[0] for r in rules)
+    assert len(rules) > 300 and [r[3] for r in rules] == sorted((r[3] for r in rules), reverse=True) and all(r[0].strip() for r in rules)
+    stems = license_rules.stems_of(rules)
+    assert len(stems) < 70 and all(any(s in keyword for s in stems) for keyword, *_ in rules)
 
 
 # ---------------------------------------------------------------- tokens
@@ -253,6 +325,18 @@ def test_encoding_equals_the_library(spark, library):
         assert encoder.decode(ids) == library.decode(want, skip_special_tokens=False) == text
 
 
+def test_remembered_pieces_are_bounded(library, monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBER_BYTES", 20_000)
+    encoder = bpe.Encoder(open(VOCABULARY, "rb").read())
+    rng = random.Random(8)
+    for _ in range(5):
+        texts = [" ".join("".join(rng.choice("abcé中") for _ in range(rng.choice([2, 5, 200]))) for _ in range(30)) for _ in range(20)]
+        assert [np.frombuffer(i, dtype="<u4").tolist() for i in encoder.encode_many(texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        for known in (encoder.plain, encoder.after_space):
+            assert all(len(p) <= bpe.LONG_PIECE for p in known)
+    assert max(encoder.held.values()) <= 20_000 // 2 + 40_000
+
+
 def test_short_and_long_merges_agree():
     rng, v = random.Random(8), bpe.Vocabulary(open(VOCABULARY, "rb").read())
     for n in (1, 2, 3, 17, 90, 300):
@@ -317,6 +401,14 @@ def test_urls(spark):
     assert url_filter.judge(pages.limit(0), rules).count() == 0
 
 
+def test_very_long_urls(spark):
+    rules = spark.createDataFrame([("example.com", "/a/b/", "block"), ("", "/deep/", "block"), ("x.y.z", "/", "allow")], "host string, path string, verdict string")
+    urls = ["http://w.example.com/a/b/" + "c/" * 100_000, "http://" + "w." * 5_000 + "example.com/a/b/c", "http://other.org/deep/" + "/" * 50_000, "http://a.b/" + "/" * 100_000]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: (r["verdict"], r["rule"]) for r in url_filter.judge(pages, rules).collect()}
+    assert got == {0: ("block", "example.com/a/b/"), 1: ("block", "example.com/a/b/"), 2: ("block", "/deep/"), 3: ("allow", None)}
+
+
 def test_many_rules_join_by_a_shuffle(spark, monkeypatch):
     monkeypatch.setattr(url_filter, "BROADCAST_RULES", 1)
     rules = spark.createDataFrame([(f"h{i}.com", "/", "block") for i in range(50)], "host string, path string, verdict string")
