@@ -7,6 +7,7 @@ Python integer, one bit per token.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 
@@ -30,10 +31,10 @@ def _columns_by_token(tokens: list[str]) -> dict[str, int]:
     return places
 
 
-def _rows(rows: list[str], width: int, places: dict[str, int]):
-    """Yield, after each row token, the bits that are 0 where the LCS length steps up."""
+def _rows(rows: list[str], width: int, places: dict[str, int], state: int | None = None):
+    """Yield, after each row token, the bits that are 0 where the LCS length steps up; ``state`` is that of the row before."""
     full = (1 << width) - 1
-    state = full
+    state = full if state is None else state
     for token in rows:
         hits = state & places.get(token, 0)
         if hits:
@@ -52,6 +53,17 @@ def lcs_length(a: list[str], b: list[str]) -> int:
     return len(b) - state.bit_count()
 
 
+def _condensed(candidate: list[str], shared: set[str]) -> list[str | None]:
+    """The candidate with each run of tokens that are not ``shared`` as one None: the tracing below only asks whether it stands behind a match."""
+    out: list[str | None] = []
+    for token in candidate:
+        if token in shared:
+            out.append(token)
+        elif not out or out[-1] is not None:
+            out.append(None)
+    return out
+
+
 def lcs_reference_positions(
     reference: list[str], candidate: list[str], places: dict[str, int] | None = None
 ) -> set[int]:
@@ -59,26 +71,54 @@ def lcs_reference_positions(
 
     Traced from the end: equal tokens are taken, otherwise step back in the candidate only
     if that keeps a strictly longer subsequence than stepping back in the reference.
+
+    Reference tokens that the candidate lacks are never taken and change no length, so only the others are rows of the table. Of
+    its m rows every sqrt(m)-th is kept; the rows between two of them are made again when the trace gets there, so the memory is
+    that of 2 sqrt(m) rows.
     """
-    if not reference or not candidate:
+    known = places.keys() if places is not None else set(candidate)
+    rows = [i for i, token in enumerate(reference) if token in known]
+    if not rows:
         return set()
-    places = _columns_by_token(candidate) if places is None else places
-    states = [(1 << len(candidate)) - 1, *_rows(reference, len(candidate), places)]
-
-    def length(i: int, j: int) -> int:
-        return j - (states[i] & ((1 << j) - 1)).bit_count()
+    tokens = [reference[i] for i in rows]
+    shared = set(tokens)
+    if len(shared) == 1 and len(rows) == 1:
+        return {rows[0]}
+    columns = _condensed(candidate, shared)
+    hits = _columns_by_token(columns)
+    hits.pop(None, None)
+    step = max(1, math.isqrt(len(rows)))
+    first = (1 << len(columns)) - 1
+    kept = [first]
+    for i, state in enumerate(_rows(tokens, len(columns), hits), 1):
+        if i % step == 0:
+            kept.append(state)
+    block, states = -1, []
+
+    def state_of(i: int) -> int:
+        nonlocal block, states
+        if i // step != block:
+            block = i // step
+            start = kept[block]
+            states = [start, *_rows(tokens[block * step:(block + 1) * step - 1], len(columns), hits, start)]
+        return states[i - block * step]
 
     taken: set[int] = set()
-    i, j = len(reference), len(candidate)
-    here = length(i, j)
+    i, j = len(rows), len(columns)
+    now = state_of(i)
+    here = j - now.bit_count()
     while here:
-        if reference[i - 1] == candidate[j - 1]:
-            i, j, here = i - 1, j - 1, here - 1
-            taken.add(i)
-        elif length(i - 1, j) < here and length(i, j - 1) == here:
+        above = state_of(i - 1)
+        above_here = j - (above & ((1 << j) - 1)).bit_count()
+        # Back in the candidate while this row loses nothing by it and the row above is shorter.
+        while columns[j - 1] != tokens[i - 1] and above_here < here and now >> (j - 1) & 1:
+            above_here -= 1 - (above >> (j - 1) & 1)
+            j -= 1
+        if columns[j - 1] == tokens[i - 1]:
+            taken.add(rows[i - 1])
             j -= 1
-        else:
-            i -= 1
+            above_here -= 1 - (above >> j & 1)
+        i, now, here = i - 1, above, above_here
     return taken
 
 

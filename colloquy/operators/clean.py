@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.functions import fixed_values as fixed
 from colloquy.functions.text import normalize_ws, quality_flag, seeded_key
+from colloquy.operators.joins import mark_keys
 
 
 @dataclass(frozen=True)
@@ -63,21 +65,36 @@ def key_digest(keys: list[str]) -> Column:
     return F.sha2(F.concat(*parts).cast("binary"), 256)
 
 
-def dedup_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """Keep the row with the lowest ``order`` of each distinct key; one of them if several have it.
+def _first_of_each(
+    df: DataFrame, keys: list[str], order: str, prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> DataFrame:
+    """``prepare(df)`` without the rows that another of the same key and a lower ``order`` makes redundant.
 
-    The lowest order is found on digests, so neither a sort nor an aggregate compares texts:
-    a hash aggregate that combines on the map side, then a semi join of the rows.
+    ``prepare`` may drop rows and rewrite columns, but not ``order``. Digests and orders, a narrow table, tell which orders may have to go (or are repeated); a map
+    of them, a bit each, is broadcast. Other rows pass through where they lie; only those are dealt out by digest and looked up.
     """
-    rows = df.withColumn("__digest", key_digest(keys))
-    lowest = rows.groupBy("__digest").agg(F.min(order).alias("__lowest"))
-    kept = rows.join(
-        lowest.withColumnRenamed("__digest", "__d"),
-        (F.col("__digest") == F.col("__d")) & F.col(order).eqNullSafe(F.col("__lowest")), "left_semi",
+    narrow = prepare(df).select(key_digest(keys).alias("__digest"), F.col(order).alias("__order"))
+    groups = narrow.groupBy("__digest", "__order").agg(F.count(F.lit(1)).alias("__times"))
+    lowest = groups.groupBy("__digest").agg(F.min("__order").alias("__lowest"), F.sum("__times").alias("__rows")).where("__rows > 1")
+    several = groups.join(lowest, "__digest").where("not (__order <=> __lowest) or __times > 1")
+    several = several.select("__digest", "__order", F.col("__order").eqNullSafe(F.col("__lowest")).alias("__stays"))
+    marked = mark_keys(df.withColumn("__order", F.col(order)), several.select("__order"), "__order", "__may").drop("__order")
+    apart = prepare(marked.where(~F.col("__may")).drop("__may"))
+    looked_up = prepare(marked.where("__may").drop("__may")).withColumns({"__digest": key_digest(keys), "__order": F.col(order)})
+    found = looked_up.join(
+        several.select(F.col("__digest").alias("__d"), F.col("__order").alias("__o"), "__stays"),
+        (F.col("__digest") == F.col("__d")) & F.col("__order").eqNullSafe(F.col("__o")), "left",
     )
-    # The join has dealt and sorted the rows by digest and order already.
-    first = F.row_number().over(Window.partitionBy("__digest", order).orderBy(F.lit(0)))
-    return kept.withColumn("__first", first).where("__first = 1").select(*df.columns)
+    single = found.where("__stays is null")
+    # Rows that repeat key and order are interchangeable: one of them stays.
+    repeated = found.where("__stays").dropDuplicates(["__digest", "__order"])
+    columns = apart.columns
+    return apart.unionByName(single.select(*columns)).unionByName(repeated.select(*columns))
+
+
+def dedup_first(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Keep the row with the lowest ``order`` of each distinct key; one of them if several have it."""
+    return _first_of_each(df, keys, order)
 
 
 def clean_stateless(df: DataFrame, config: CleanConfig = CleanConfig()) -> DataFrame:
@@ -92,8 +109,11 @@ def clean_stateless(df: DataFrame, config: CleanConfig = CleanConfig()) -> DataF
 
 
 def clean(df: DataFrame, config: CleanConfig = CleanConfig()) -> DataFrame:
-    """Drop incomplete and short rows, tidy white space, flag quality, drop duplicates."""
-    return dedup_first(clean_stateless(df, config), list(config.keys), config.order)
+    """Drop incomplete and short rows, tidy white space, flag quality, drop duplicates.
+
+    Texts are tidied for the table of digests and, those rows that stay or are looked up, once for the result.
+    """
+    return _first_of_each(df, list(config.keys), config.order, lambda rows: clean_stateless(rows, config))
 
 
 def clean_audit(df: DataFrame, config: CleanConfig = CleanConfig()) -> DataFrame:

@@ -3,33 +3,34 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Token positions per block; a block is at most this many vectors.
 BLOCK = 1024
 
-_BEST = T.StructType([
-    T.StructField("cand", T.ArrayType(T.DoubleType())), T.StructField("ref", T.ArrayType(T.DoubleType())),
-])
-
-
 def _unit(vectors: np.ndarray) -> np.ndarray:
     norms = np.linalg.norm(vectors, axis=1, keepdims=True)
     return np.divide(vectors, norms, out=np.zeros_like(vectors), where=norms > 0)
 
 
-@F.pandas_udf(_BEST)
-def _best_in_blocks(cand: pd.Series, ref: pd.Series) -> pd.DataFrame:
-    """Highest cosine of every vector of one block within the other block."""
-    best_c, best_r = [], []
-    for c, r in zip(cand, ref):
-        cosines = _unit(np.stack(c).astype("float64")) @ _unit(np.stack(r).astype("float64")).T
-        best_c.append(cosines.max(axis=1))
-        best_r.append(cosines.max(axis=0))
-    return pd.DataFrame({"cand": best_c, "ref": best_r})
+def _matrix(vectors: pa.Scalar) -> np.ndarray:
+    rows = vectors.values
+    return rows.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(len(rows), -1)
+
+
+def _best_in_blocks(batches):
+    """For each pair of blocks the highest cosine of every vector of one within the other: (pair, side, block, at, cosine)."""
+    for batch in batches:
+        pair, c, r, c_vectors, r_vectors = batch.columns
+        for i in range(batch.num_rows):
+            cosines = _unit(_matrix(c_vectors[i])) @ _unit(_matrix(r_vectors[i])).T
+            n, m = cosines.shape
+            yield pa.RecordBatch.from_arrays([
+                pa.repeat(pair[i], n + m), pa.array(["c"] * n + ["r"] * m), pa.array([c[i].as_py()] * n + [r[i].as_py()] * m, pa.int64()),
+                pa.array(np.concatenate([np.arange(n), np.arange(m)])), pa.array(np.concatenate([cosines.max(axis=1), cosines.max(axis=0)])),
+            ], names=["pair", "side", "block", "at", "cosine"])
 
 
 def _blocks(tokens: DataFrame, pair: str, position: str, vector: str, block: int, side: str) -> DataFrame:
@@ -57,14 +58,15 @@ def greedy_match(
         t.select(pair, F.floor(F.col(position) / block).alias(s)).distinct() for t, s in ((cand, "c"), (ref, "r"))
     )
     cells = c_ids.join(r_ids, pair).join(c, [pair, "c"]).join(r, [pair, "r"])
-    best = cells.select(pair, "c", "r", _best_in_blocks("c_vectors", "r_vectors").alias("__best"))
-
-    def side_mean(block_id: str, field: str, into: str) -> DataFrame:
-        tokens = best.select(pair, block_id, F.posexplode(F.col("__best")[field]).alias("at", "cosine"))
-        top = tokens.groupBy(pair, block_id, "at").agg(F.max("cosine").alias("cosine"))
-        return top.groupBy(pair).agg(F.avg("cosine").alias(into))
-
-    scores = side_mean("c", "cand", "precision").join(side_mean("r", "ref", "recall"), pair)
+    kind = cells.schema[pair].dataType.simpleString()
+    best = cells.select(F.col(pair).alias("pair"), "c", "r", "c_vectors", "r_vectors").mapInArrow(
+        _best_in_blocks, f"pair {kind}, side string, block bigint, at bigint, cosine double"
+    )
+    # The highest of the blocks' highest: maxima merge, so both sides come out of one pass.
+    top = best.groupBy("pair", "side", "block", "at").agg(F.max("cosine").alias("cosine"))
+    scores = top.groupBy(F.col("pair").alias(pair)).agg(
+        F.avg(F.when(F.col("side") == "c", F.col("cosine"))).alias("precision"), F.avg(F.when(F.col("side") == "r", F.col("cosine"))).alias("recall")
+    )
     pairs = c_ids.select(pair).union(r_ids.select(pair)).distinct()
     both = F.col("precision") + F.col("recall")
     return pairs.join(scores, pair, "left").select(

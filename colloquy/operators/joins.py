@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # A key is hot if it holds more than this share of the rows; so there are fewer than
@@ -12,12 +12,34 @@ HOT_SHARE = 0.001
 HOT_ROWS = 200_000
 
 
-def hot_keys(facts: DataFrame, key: str, share: float = HOT_SHARE, rows: int = HOT_ROWS) -> DataFrame:
-    """The keys holding more than ``share`` of the rows, with their count ``__n``; at most ``1 / share`` of them."""
-    present = facts.where(F.col(key).isNotNull())
-    total = present.agg(F.count(F.lit(1))).scalar()
-    counts = present.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    return counts.where(F.col("__n") > F.greatest(total * F.lit(share), F.lit(rows)))
+# Keys that the sketch follows; it may be short of a key's count by 3.5 / TRACKED of the rows, well below HOT_SHARE.
+TRACKED = 16_384
+
+
+def hot_salts(facts: DataFrame, keys: list[str], share: float = HOT_SHARE, rows: int = HOT_ROWS) -> dict[str, Column]:
+    """For each key column a map from its hot keys (as text) to their number of salts, one per ``rows`` of them: scalars, read when a result is.
+
+    A key is hot if it holds more than ``share`` of the rows that have a key, and more than ``rows``. A mergeable heavy-hitter sketch names at most
+    ``2 / share`` candidates per column in one pass over the keys; an exact count of those, the other keys together, decides in a second.
+    """
+    most = int(2 / share)
+    texts = facts.select(*[F.col(k).cast("string").alias(f"__{i}") for i, k in enumerate(keys)])
+    candidates = texts.agg(*[
+        F.expr(f"transform(approx_top_k(__{i}, {most}, {max(TRACKED, most)}), x -> x.item)").alias(f"__{i}") for i in range(len(keys))
+    ]).select(F.struct("*")).scalar()
+    each = F.array(*[
+        F.struct(F.lit(i).alias("place"), F.col(f"__{i}").alias("key"), F.array_contains(candidates[f"__{i}"], F.col(f"__{i}")).alias("named")) for i in range(len(keys))
+    ])
+    counted = texts.select(F.inline(each)).where("key is not null").groupBy("place", F.when(F.col("named"), F.col("key")).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    totals = counted.groupBy("place").agg(
+        F.sum("n").alias("total"), F.collect_list(F.when(F.col("key").isNotNull(), F.struct("key", "n"))).alias("named")
+    )
+    hot = F.filter("named", lambda x: x["n"] > F.greatest(F.col("total") * F.lit(share), F.lit(rows)))
+    salts = F.map_from_entries(F.transform(hot, lambda x: F.struct(x["key"], F.ceil(x["n"] / F.lit(max(rows, 1))).cast("bigint"))))
+    maps = totals.select("place", salts.alias("salts")).agg(
+        *[F.first(F.when(F.col("place") == i, F.col("salts")), ignorenulls=True).alias(f"__{i}") for i in range(len(keys))]
+    ).select(F.struct("*")).scalar()
+    return {k: maps[f"__{i}"] for i, k in enumerate(keys)}
 
 
 def lookup_join(
@@ -28,7 +50,7 @@ def lookup_join(
     into: str,
     share: float = HOT_SHARE,
     rows: int = HOT_ROWS,
-    counted: DataFrame | None = None,
+    salts: Column | None = None,
 ) -> DataFrame:
     """Left join of a table of facts to a table with one row per key.
 
@@ -36,24 +58,35 @@ def lookup_join(
     state rows for one key the least counts, so no fact is ever doubled. Facts of a hot key
     are spread by a hash of their id over one salt per ``rows`` of them, and the state row of
     that key is repeated once per salt. Facts without a key are spread by that hash.
-    ``counted`` names a cheaper table with the same keys to count, where ``facts`` is itself
-    the result of a join.
+    ``salts`` is the map of :func:`hot_salts`, where several lookups share one.
     """
-    source = facts if counted is None else counted
-    salts = F.ceil(F.col("__n") / F.lit(max(rows, 1))).cast("bigint")
-    hot = F.broadcast(hot_keys(source, key, share, rows).select(key, salts.alias("__salts")))
+    salts = hot_salts(facts, [key], share, rows)[key] if salts is None else salts
+    own = F.try_element_at(salts, F.col(key).cast("string"))
     spread = F.xxhash64(row_id)
-    left = facts.join(hot, key, "left").withColumn(
-        "__salt",
-        F.when(F.col(key).isNull(), spread).when(F.col("__salts").isNotNull(), F.pmod(spread, F.col("__salts"))).otherwise(F.lit(0)),
+    left = facts.withColumn(
+        "__salt", F.when(F.col(key).isNull(), spread).otherwise(F.coalesce(F.pmod(spread, own), F.lit(0))),
     )
     others = [c for c in state.columns if c != key]
     unique = state.groupBy(key).agg(F.min(F.struct(*(others or [key]))).alias("__state"))
     unique = unique.select(key, *[F.col("__state")[c].alias(c) for c in others])
-    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("__salts") - 1, F.lit(0).cast("bigint")))
-    right = (
-        unique.join(hot, key, "left")
-        .withColumn("__salt", F.explode(copies))
-        .select(key, "__salt", F.struct(*state.columns).alias(into))
-    )
+    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce(own - 1, F.lit(0).cast("bigint")))
+    right = unique.withColumn("__salt", F.explode(copies)).select(key, "__salt", F.struct(*state.columns).alias(into))
     return left.join(right, [key, "__salt"], "left").select(*facts.columns, into)
+
+
+# Bits of a key map: 2**17 numbers of 64 bits at most, so the map is broadcast whatever the data.
+MAP_BITS = 1 << 23
+
+
+def mark_keys(df: DataFrame, keys: DataFrame, key: str, into: str) -> DataFrame:
+    """``df`` and whether its ``key`` may be among those of ``keys`` (one column of that name, null being a key).
+
+    The map has a bit for each hash of a key. A key that is among them is always marked; where the map is full, every key is,
+    and nothing but the saving is lost.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(MAP_BITS))
+    bit = F.expr("shiftleft(1L, cast(__place % 64 as int))")
+    words = keys.select(place.alias("__place")).select(F.expr("__place div 64").alias("__word"), bit.alias("__bit"))
+    words = words.groupBy("__word").agg(F.bit_or("__bit").alias("__bits"))
+    placed = df.withColumn("__place", place).withColumn("__word", F.expr("__place div 64")).join(F.broadcast(words), "__word", "left")
+    return placed.select(*df.columns, F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False)).alias(into))

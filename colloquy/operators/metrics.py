@@ -157,9 +157,7 @@ def latency_stats(
         return df.groupBy(*by).agg(
             F.avg(col).alias("avg_latency_ms"), F.percentile_approx(col, 0.95).alias("p95_latency_ms")
         )
-    means = df.groupBy(*by).agg(F.avg(col).alias("avg_latency_ms"))
-    high = order_statistics(df, col, by, {"p95_latency_ms": linear_position(0.95)}).drop("n")
-    return attach(means, high, by)
+    return order_statistics(df, col, by, {"p95_latency_ms": linear_position(0.95)}, also=[F.avg(col).alias("avg_latency_ms")]).drop("n")
 
 
 def attach(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
@@ -191,33 +189,31 @@ def latency_summary(
         rate = F.sum(tokens) / F.nullif(F.sum(latency) / 1000.0, F.lit(0.0))
     else:
         rate = F.avg(F.col(tokens) / seconds)
-    plain = df.groupBy(*by).agg(
+    plain = [
         F.count(F.lit(1)).alias("n_prompts"),
         F.avg(latency).alias("avg_latency_ms"),
         F.min(latency).alias("min_latency_ms"),
         F.max(latency).alias("max_latency_ms"),
         rate.alias("avg_tokens_per_sec"),
         F.avg(tokens).alias("avg_response_tokens"),
-    )
-    ranks = order_statistics(
-        df, latency, by,
-        {"median_latency_ms": linear_position(0.5), "p95_latency_ms": rank_position(0.95)},
-    ).drop("n")
-    return attach(plain, ranks, by)
+    ]
+    ranks = {"median_latency_ms": linear_position(0.5), "p95_latency_ms": rank_position(0.95)}
+    return order_statistics(df, latency, by, ranks, also=plain).drop("n")
 
 
 def latency_details(df: DataFrame, latency: str = "latency_ms", tokens: str = "response_tokens",
                     keep: tuple[str, ...] = ("prompt", "response")) -> DataFrame:
     """Per-prompt rows with the latency rounded for a report."""
-    return df.select(*keep, F.round(latency, 1).alias("latency_ms"), F.col(tokens).alias("response_tokens"))
+    return without_nan(df, latency).select(*keep, F.round(latency, 1).alias("latency_ms"), F.col(tokens).alias("response_tokens"))
 
 
 def perplexity(
     df: DataFrame, loss: str, by: list[str] | None = None, weight: str | None = None
 ) -> DataFrame:
-    """exp of the mean loss; ``weight`` (say, tokens per text) makes it a weighted mean."""
+    """exp of the mean loss; ``weight`` (say, tokens per text) makes it a weighted mean. NaN counts as null."""
     by = by or []
-    mean = F.avg(loss) if weight is None else F.sum(F.col(loss) * F.col(weight)) / F.sum(weight)
+    df = without_nan(df, loss)
+    mean = F.avg(loss) if weight is None else F.sum(F.col(loss) * F.col(weight)) / F.sum(F.when(F.col(loss).isNotNull(), F.col(weight)))
     return df.groupBy(*by).agg(F.exp(mean).alias("perplexity"))
 
 
@@ -238,19 +234,18 @@ def metrics_for(
     has_latency = latency in df.columns
     rows = df.select(*by, pred, ref, *([latency] if has_latency else []))
     rows = with_bleu_counts(with_rouge_n(with_rouge_lcs(rows, pred, ref), pred, ref), pred, ref)
-    means = rows.groupBy(*by).agg(
+    means = [
         F.count(F.lit(1)).alias("n_samples"),
         *_bleu_sums(),
         *[F.avg(c).alias(c) for c in ("rouge1", "rouge2", "rougeL", "rougeLsum")],
         *_length_aggregates(pred, ref),
-        *([F.avg(latency).alias("avg_latency_ms")] if has_latency else []),
-    )
+    ]
     if has_latency:
-        high = order_statistics(df, latency, by, {"p95_latency_ms": linear_position(0.95)}).drop("n")
-        means = attach(means, high, by)
+        means.append(F.avg(latency).alias("avg_latency_ms"))
+        means = order_statistics(df, latency, by, {"p95_latency_ms": linear_position(0.95)}, also=means, also_from=rows).drop("n")
     else:
         absent = F.lit(None).cast("double")
-        means = means.withColumns({"avg_latency_ms": absent, "p95_latency_ms": absent})
+        means = rows.groupBy(*by).agg(*means).withColumns({"avg_latency_ms": absent, "p95_latency_ms": absent})
     return means.select(
         *by,
         F.lit(label).alias("label"),

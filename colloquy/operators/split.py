@@ -6,33 +6,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions.text import seeded_fraction, seeded_key
-from colloquy.operators.ranking import rank_in_buckets
-from colloquy.session import durable
+from colloquy.operators.ranking import cut_keys
 
-# Up to this many rows a sample is a plain top-n; a larger one is ranked in buckets.
-TOP_N_LIMIT = 10_000
-# Leading hexadecimal digits of the seeded key that form a bucket (16 ** 3 buckets).
-KEY_DIGITS = 3
+# One row per stratum is broadcast up to this many strata, which is checked while the split runs.
+MAX_STRATA = 200_000
 
 
 def _seats(counts: DataFrame, strata: str, n: str, total: Column, into: str) -> DataFrame:
-    """Share ``total`` seats over strata in proportion to ``n``, largest remainder first."""
-    rows = counts.agg(F.sum(n)).scalar()
-    wide = counts.select(
-        "*", rows.alias("__all"), total.alias("__total"),
-    ).withColumn("__product", F.col(n).cast("decimal(19,0)") * F.col("__total").cast("decimal(19,0)"))
-    shared = wide.select(
-        *counts.columns,
-        "__total",
-        F.expr("cast(floor(__product / __all) as bigint)").alias("__base"),
-        F.expr("__product % __all").alias("__rest"),
-        F.expr("cast(-floor(1024 * (cast(__product % __all as double) / __all)) as bigint)").alias("__bucket"),
+    """Share ``total`` seats over strata in proportion to ``n``, largest remainder first, ties by stratum name.
+
+    ``counts`` has one row per stratum; the window over all of them sees no other rows.
+    """
+    every = Window.partitionBy(F.lit(0))
+    shared = counts.withColumn("__all", F.sum(n).over(every)).withColumn("__total", total).withColumn(
+        "__product", F.col(n).cast("decimal(19,0)") * F.col("__total").cast("decimal(19,0)")
+    ).select(
+        "*", F.expr("cast(floor(__product / __all) as bigint)").alias("__base"), F.expr("__product % __all").alias("__rest"),
     )
-    spare = shared.agg(F.max("__total") - F.sum("__base")).scalar()
-    ranked = rank_in_buckets(shared, [], "__bucket", [F.desc("__rest"), F.col(strata)], "__rank")
-    return ranked.withColumn("__spare", spare).select(
-        *counts.columns,
-        (F.col("__base") + (F.col("__rank") <= F.col("__spare")).cast("bigint")).alias(into),
+    spare = F.col("__total") - F.sum("__base").over(every)
+    rank = F.row_number().over(every.orderBy(F.desc("__rest"), F.col(strata)))
+    return shared.select("*", spare.alias("__spare"), rank.alias("__rank")).select(
+        *counts.columns, (F.col("__base") + (F.col("__rank") <= F.col("__spare")).cast("bigint")).alias(into),
     )
 
 
@@ -40,18 +34,21 @@ def split_quotas(df: DataFrame, strata: str, held_out: float = 0.2, test_share:
     """``strata, n, n_held_out, n_test`` per stratum.
 
     The held-out part has ceil(held_out * N) rows and the test part ceil(test_share * held
-    out); both are shared by largest remainder. The counts are taken once and kept, so the
-    table is read one time however many steps follow.
+    out); both are shared by largest remainder. One pass over the stratum column.
     """
-    counts = durable(df.groupBy(strata).agg(F.count(F.lit(1)).alias("n")))
+    every = Window.partitionBy(F.lit(0))
 
     def share(of: str, fraction: float) -> Column:
-        return F.ceil(counts_now.agg(F.sum(of)).scalar().cast("double") * F.lit(fraction)).cast("bigint")
+        return F.ceil(F.sum(of).over(every).cast("double") * F.lit(fraction)).cast("bigint")
 
-    counts_now = counts
+    counts = df.groupBy(strata).agg(F.count(F.lit(1)).alias("n"))
     first = _seats(counts, strata, "n", share("n", held_out), "n_held_out")
-    counts_now = first
-    return durable(_seats(first, strata, "n_held_out", share("n_held_out", test_share), "n_test"))
+    return _seats(first, strata, "n_held_out", share("n_held_out", test_share), "n_test")
+
+
+def _seeded(order: str, seed: int) -> tuple[Column, list[Column]]:
+    """A number that rises with the seeded key, and the whole sort key."""
+    return seeded_fraction(order, seed), [seeded_key(order, seed), F.col(order)]
 
 
 def stratified_split(
@@ -62,12 +59,13 @@ def stratified_split(
     test_share: float = 0.5,
     order: str = "example_id",
     method: str = "exact",
+    many_strata: bool = False,
 ) -> DataFrame:
     """Add ``split``: train, validation or test, in proportion within every stratum.
 
-    ``exact`` meets the quotas of :func:`split_quotas` to the row. Rows are ranked by seeded
-    key within (stratum, leading key digits), so a large stratum is sorted by thousands of
-    tasks. ``hash_threshold`` needs no shuffle at all and gives approximate sizes.
+    ``exact`` meets the quotas of :func:`split_quotas` to the row (rows that repeat an id stay together): the seeded keys of the last test and the last held-out
+    row of each stratum are selected on (stratum, key) alone, and every row is compared with its stratum's two keys where it lies. Those are broadcast, one row a stratum,
+    at most ``MAX_STRATA``; with ``many_strata`` they are joined however many there are. ``hash_threshold`` needs no shuffle at all and gives approximate sizes.
     """
     if method == "hash_threshold":
         at = seeded_fraction(order, seed)
@@ -80,25 +78,35 @@ def stratified_split(
     if method != "exact":
         raise ValueError(f"unknown split method: {method}")
     quotas = split_quotas(df, strata, held_out, test_share).drop("n")
-    keyed = df.withColumn("__key", seeded_key(order, seed))
-    keyed = keyed.withColumn("__bucket", F.substring("__key", 1, KEY_DIGITS))
-    ranked = rank_in_buckets(keyed, [strata], "__bucket", ["__key", order], "__rank", carry=quotas)
+    fraction, key = _seeded(order, seed)
+    cuts = cut_keys(df, [strata], fraction, key, {"__test": F.col("n_test"), "__held_out": F.col("n_held_out")}, carry=quotas)
+    cuts = cuts.select(F.struct(strata).alias("__stratum"), "__test", "__held_out")
+    if not many_strata:
+        few = F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))) <= MAX_STRATA
+        checked = cuts.withColumn("__few", few).where(F.assert_true("__few", "too many strata to broadcast; pass many_strata=True").isNull())
+        cuts = F.broadcast(checked.drop("__few"))
+    own = F.struct(*[k.alias(f"__k{i}") for i, k in enumerate(key)])
     split = (
-        F.when(F.col("__rank") <= F.col("n_test"), "test")
-        .when(F.col("__rank") <= F.col("n_held_out"), "validation")
+        F.when(own <= F.col("__test"), "test")
+        .when(own <= F.col("__held_out"), "validation")
         .otherwise("train")
     )
-    return ranked.select(*df.columns, split.alias("split"))
+    return df.withColumn("__stratum", F.struct(strata)).join(cuts, "__stratum", "left").select(*df.columns, split.alias("split"))
+
+
+def _first_keys(df: DataFrame, n: int, seed: int, order: str) -> Column:
+    """Whether a row is among the ``n`` with the least seeded keys of ``df``; true for any other table's row with such an id."""
+    fraction, key = _seeded(order, seed)
+    cut = cut_keys(df.select(order), [], fraction, key, {"cut": F.lit(n)}).select("cut").scalar()
+    return F.coalesce(F.struct(*[k.alias(f"__k{i}") for i, k in enumerate(key)]) <= cut, F.lit(False))
 
 
 def sample_n(df: DataFrame, n: int, seed: int = 42, order: str = "example_id") -> DataFrame:
-    """``n`` seeded random rows, or all rows if there are no more than that."""
-    if n <= TOP_N_LIMIT:
-        return df.orderBy(seeded_key(order, seed), order).limit(n)
-    keyed = df.withColumn("__key", seeded_key(order, seed))
-    keyed = keyed.withColumn("__bucket", F.substring("__key", 1, KEY_DIGITS))
-    ranked = rank_in_buckets(keyed, [], "__bucket", ["__key", order], "__rank")
-    return ranked.where(F.col("__rank") <= n).select(*df.columns)
+    """``n`` seeded random rows, or all rows if there are no more than that; rows that repeat an id stay together.
+
+    The key of the last row is selected on the ids alone; the rows are only compared with it.
+    """
+    return df.where(_first_keys(df, n, seed, order))
 
 
 def sample_aligned(
@@ -107,20 +115,18 @@ def sample_aligned(
 ) -> DataFrame:
     """The same seeded sample of two tables, joined on the row id.
 
-    ``shared`` columns are taken from ``a``; other columns of both get a suffix. Up to
-    ``TOP_N_LIMIT`` sampled rows are broadcast, which bounds the broadcast by ``n``.
+    ``shared`` columns are taken from ``a``; other columns of both get a suffix. The key of the last row sampled from ``a`` bounds both
+    tables, so each gives about ``n`` rows to the join.
     """
-    picked = sample_n(a, n, seed, order)
-    left = picked.select(
+    sampled = _first_keys(a, n, seed, order)
+    left = a.where(sampled).select(
         order, *shared,
         *[F.col(c).alias(f"{c}_{suffixes[0]}") for c in a.columns if c != order and c not in shared],
     )
-    right = b.select(
+    right = b.where(sampled).select(
         order,
         *[F.col(c).alias(f"{c}_{suffixes[1]}") for c in b.columns if c != order and c not in shared],
     )
-    if n <= TOP_N_LIMIT:
-        left = F.broadcast(left)
     return right.join(left, order).select(*left.columns, *[c for c in right.columns if c != order])
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from colloquy.functions import fixed_values as fixed
 from colloquy.functions.text import fill, json_object
-from colloquy.operators.joins import lookup_join
+from colloquy.operators.joins import hot_salts, lookup_join
 
 Rules = list[tuple[Column, str]]
 
@@ -182,7 +182,7 @@ def _refund_rules() -> Rules:
 # ---------------------------------------------------------------- state and helpers
 
 
-def _with_order(requests: DataFrame, orders: DataFrame) -> DataFrame:
+def _with_order(requests: DataFrame, orders: DataFrame, salts: Column | None = None) -> DataFrame:
     """Attach the order; a delivered one gets its date, a day before the estimate, unless
     the table already has it."""
     if "delivered_date" not in orders.columns:
@@ -190,13 +190,11 @@ def _with_order(requests: DataFrame, orders: DataFrame) -> DataFrame:
             "delivered_date",
             F.when(F.col("status") == "delivered", F.date_sub("estimated_delivery", 1)),
         )
-    return lookup_join(requests, orders, "order_id", "request_id", "__order")
+    return lookup_join(requests, orders, "order_id", "request_id", "__order", salts=salts)
 
 
-def _with_account(
-    requests: DataFrame, accounts: DataFrame, counted: DataFrame | None = None
-) -> DataFrame:
-    return lookup_join(requests, accounts, "email", "request_id", "__account", counted=counted)
+def _with_account(requests: DataFrame, accounts: DataFrame, salts: Column | None = None) -> DataFrame:
+    return lookup_join(requests, accounts, "email", "request_id", "__account", salts=salts)
 
 
 def _errors(uses: str, **by_code: Column) -> Column:
@@ -218,6 +216,44 @@ def _errors(uses: str, **by_code: Column) -> Column:
     return chain
 
 
+def _address_errors() -> Column:
+    return _errors("order", already_shipped=_text("address_already_shipped", F.col(_STATUS)))
+
+
+def _cancel_errors() -> Column:
+    return _errors("order", already_shipped=_text("cancel_already_shipped", F.col(_STATUS)), already_cancelled=_text("already_cancelled"))
+
+
+def _return_errors(day: Column) -> Column:
+    days = _days_since_delivery(day).cast("string")
+    return _errors("order", not_delivered=_text("not_delivered", F.col(_STATUS)), window_expired=_text("window_expired", days))
+
+
+def _unlock_errors() -> Column:
+    return _errors("account", account_cancelled=_text("unlock_cancelled"))
+
+
+def _plan_errors() -> Column:
+    stored = F.coalesce("__account.subscription_plan", F.lit("None"))
+    return _errors(
+        "account",
+        invalid_plan=_text("invalid_plan", F.coalesce("new_plan", F.lit("None"))),
+        account_blocked=_text("plan_blocked", F.col(_ACCOUNT_STATUS)),
+        same_plan=_text("same_plan", F.col("new_plan")),
+        unknown_stored_plan=F.concat(F.lit("Unknown plan on the account: "), stored),
+    )
+
+
+def _subscription_errors() -> Column:
+    return _errors("account", already_cancelled=_text("subscription_already_cancelled"))
+
+
+def _refund_errors() -> Column:
+    return _errors(
+        "account", refund_not_positive=_text("refund_not_positive"), escalated=_text("refund_escalated", _money("amount").cast("string"))
+    )
+
+
 def _ok(value: Column) -> Column:
     return F.when(F.col("code") == "ok", value)
 
@@ -259,7 +295,7 @@ def address_change(requests: DataFrame, orders: DataFrame) -> DataFrame:
     refused = F.col("code") == "already_shipped"
     return _outcome(
         _with_order(requests, orders), requests, _address_rules(),
-        _errors("order", already_shipped=_text("address_already_shipped", F.col(_STATUS))),
+        _address_errors(),
         carrier=F.when(refused, F.col("__order.carrier")),
         tracking_number=F.when(refused, F.col("__order.tracking_number")),
         old_address=_ok(F.col("__order.shipping_address")),
@@ -271,11 +307,7 @@ def cancel_order(requests: DataFrame, orders: DataFrame, as_of: str | Column) ->
     """Requests (``request_id, order_id``); an accepted one refunds the order total."""
     return _outcome(
         _with_order(requests, orders), requests, _cancel_rules(),
-        _errors(
-            "order",
-            already_shipped=_text("cancel_already_shipped", F.col(_STATUS)),
-            already_cancelled=_text("already_cancelled"),
-        ),
+        _cancel_errors(),
         cancelled_at=_ok(_stamp(_as_column(as_of))),
         refund_amount=_ok(F.col("__order.total")),
         refund_method=_ok(F.lit(fixed.ORDER_REFUND_METHOD)),
@@ -288,11 +320,7 @@ def return_eligibility(requests: DataFrame, orders: DataFrame, as_of: str | Colu
     day = _as_column(as_of).cast("date")
     return _outcome(
         _with_order(requests, orders), requests, _return_rules(day),
-        _errors(
-            "order",
-            not_delivered=_text("not_delivered", F.col(_STATUS)),
-            window_expired=_text("window_expired", _days_since_delivery(day).cast("string")),
-        ),
+        _return_errors(day),
         return_label_url=_ok(F.concat(F.lit(fixed.RETURN_LABEL_URL), F.col("order_id"))),
         return_instructions=_ok(F.lit(fixed.RETURN_INSTRUCTIONS)),
         refund_eta=_ok(F.lit(fixed.RETURN_REFUND_ETA)),
@@ -316,7 +344,7 @@ def account_unlock(requests: DataFrame, accounts: DataFrame, as_of: str | Column
     """Requests (``request_id, email``); a suspended account may be unlocked."""
     return _outcome(
         _with_account(requests, accounts), requests, _unlock_rules(),
-        _errors("account", account_cancelled=_text("unlock_cancelled")),
+        _unlock_errors(),
         message=_ok(_text("unlock_ok")),
         action_taken=_ok(F.lit(fixed.UNLOCK_ACTION)),
         timestamp=_ok(_stamp(_as_column(as_of))),
@@ -334,30 +362,28 @@ def _dollars(amount: Column) -> Column:
     return F.concat(F.lit("$"), amount.cast("string"))
 
 
+def _plan_terms() -> dict[str, Column]:
+    """What an accepted change of plan comes to."""
+    old, new, month = F.col("__account.subscription_plan"), F.col("new_plan"), F.lit("/month")
+    up = _price(new) > _price(old)
+    return {
+        "old_plan": old,
+        "new_plan": new,
+        "old_price": F.concat(_dollars(_price(old)), month),
+        "new_price": F.concat(_dollars(_price(new)), month),
+        "effective_date": F.when(up, fixed.EFFECTIVE_UPGRADE).otherwise(fixed.EFFECTIVE_DOWNGRADE),
+        "proration_credit": F.when(up, _dollars((_price(new) - _price(old)).cast("decimal(10,2)"))).otherwise("N/A"),
+        "message": F.when(up, _text("plan_upgraded", old, new)).otherwise(_text("plan_downgraded", old, new)),
+    }
+
+
 def plan_change(requests: DataFrame, accounts: DataFrame) -> DataFrame:
     """Requests (``request_id, email, new_plan``). An upgrade takes effect at once and
     credits the price difference; a downgrade waits for the next cycle."""
-    old = F.col("__account.subscription_plan")
-    new = F.col("new_plan")
-    up = _price(new) > _price(old)
-    month = F.lit("/month")
     return _outcome(
         _with_account(requests, accounts), requests, _plan_rules(),
-        _errors(
-            "account",
-            invalid_plan=_text("invalid_plan", F.coalesce("new_plan", F.lit("None"))),
-            account_blocked=_text("plan_blocked", F.col(_ACCOUNT_STATUS)),
-            same_plan=_text("same_plan", new),
-            unknown_stored_plan=F.concat(F.lit("Unknown plan on the account: "), F.coalesce(old, F.lit("None"))),
-        ),
-        old_plan=_ok(old),
-        old_price=_ok(F.concat(_dollars(_price(old)), month)),
-        new_price=_ok(F.concat(_dollars(_price(new)), month)),
-        effective_date=_ok(F.when(up, fixed.EFFECTIVE_UPGRADE).otherwise(fixed.EFFECTIVE_DOWNGRADE)),
-        proration_credit=_ok(
-            F.when(up, _dollars((_price(new) - _price(old)).cast("decimal(10,2)"))).otherwise("N/A")
-        ),
-        message=_ok(F.when(up, _text("plan_upgraded", old, new)).otherwise(_text("plan_downgraded", old, new))),
+        _plan_errors(),
+        **{name: _ok(value) for name, value in _plan_terms().items() if name != "new_plan"},
     )
 
 
@@ -366,7 +392,7 @@ def cancel_subscription(requests: DataFrame, accounts: DataFrame, as_of: str | C
     until = F.date_format("__account.next_billing_date", "yyyy-MM-dd")
     return _outcome(
         _with_account(requests, accounts), requests, _subscription_rules(),
-        _errors("account", already_cancelled=_text("subscription_already_cancelled")),
+        _subscription_errors(),
         cancellation_date=_ok(F.date_format(_as_column(as_of), "yyyy-MM-dd")),
         access_until=_ok(until),
         message=_ok(_text("subscription_cancelled", until)),
@@ -390,11 +416,7 @@ def refund_routing(requests: DataFrame, accounts: DataFrame, as_of: str | Column
     method = F.col("__account.payment_method")
     return _outcome(
         _with_account(requests, accounts), requests, _refund_rules(),
-        _errors(
-            "account",
-            refund_not_positive=_text("refund_not_positive"),
-            escalated=_text("refund_escalated", amount),
-        ),
+        _refund_errors(),
         escalated=F.when(F.col("code") == "escalated", True),
         refund_id=_ok(_refund_id()),
         refund=_ok(F.concat(F.lit("$"), amount)),
@@ -405,18 +427,118 @@ def refund_routing(requests: DataFrame, accounts: DataFrame, as_of: str | Column
     )
 
 
-# ---------------------------------------------------------------- mixed batches
+# ---------------------------------------------------------------- answers as text
 
 
-def adjudicate(
-    requests: DataFrame, orders: DataFrame, accounts: DataFrame, as_of: str | Column
-) -> DataFrame:
-    """Decide a batch of mixed requests with one join per state table.
+def _quoted(text: Column) -> Column:
+    """A text as JSON, everything beyond ASCII as escapes; null as null."""
+    plain = F.regexp_extract(F.to_json(F.struct(text.alias("x"))), r'(?s)^\{"x":(".*")\}$', 1)
+    one = F.transform(F.array(plain), lambda t: F.when(t.rlike(r"^[\x00-\x7F]*$"), t).otherwise(F.array_join(F.transform(
+        F.split(t, ""), lambda c: F.when(c.rlike(r"^[\x00-\x7F]*$"), c).otherwise(F.regexp_replace(F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(.{4})", r"\\u$1"))
+    ), "")))
+    return F.when(text.isNull(), F.lit("null")).otherwise(F.element_at(one, 1))
 
-    ``requests``: ``request_id, action, order_id, email, new_plan, amount``; ``action`` is a
-    tool name. Adds ``success, code, refund_amount``.
-    """
-    day = _as_column(as_of).cast("date")
+
+def _money_text(value: Column) -> Column:
+    return value.cast("decimal(18,2)").cast("string")
+
+
+def _text_field(name: str, value: Column) -> Column:
+    return F.struct(F.lit(name).alias("name"), value.cast("string").alias("value"), F.lit(True).alias("quoted"))
+
+
+def _raw_field(name: str, value: Column) -> Column:
+    """A field whose value is JSON already; it is left out where that is null."""
+    return F.struct(F.lit(name).alias("name"), value.cast("string").alias("value"), F.lit(False).alias("quoted"))
+
+
+def _object_text(fields: Column) -> Column:
+    """An array of fields as an object, indented by two spaces."""
+    present = F.filter(fields, lambda f: f["quoted"] | f["value"].isNotNull())
+    lines = F.transform(present, lambda f: F.concat(F.lit('  "'), f["name"], F.lit('": '), F.when(f["quoted"], _quoted(f["value"])).otherwise(f["value"])))
+    return F.concat(F.lit("{\n"), F.array_join(lines, ",\n"), F.lit("\n}"))
+
+
+def _items_text(items: Column) -> Column:
+    """The items of an order: a list of objects, indented as part of an answer."""
+    def one(x: Column) -> Column:
+        return F.concat(
+            F.lit('    {\n      "name": '), _quoted(x["name"]), F.lit(',\n      "quantity": '), F.coalesce(x["quantity"].cast("string"), F.lit("null")),
+            F.lit(',\n      "price": '), F.coalesce(_money_text(x["price"]), F.lit("null")), F.lit("\n    }"),
+        )
+
+    return F.when(F.size(items) > 0, F.concat(F.lit("[\n"), F.array_join(F.transform(items, one), ",\n"), F.lit("\n  ]"))).otherwise(F.lit("[]"))
+
+
+def _answers(as_of: Column, account_columns: list[str]) -> dict[str, Column]:
+    """For each tool the fields of its whole answer, in terms of a request, its ``code`` and the state it was joined to."""
+    day, stamp = as_of.cast("date"), _stamp(as_of)
+    malformed, text, raw = F.col("code").isin(MALFORMED), _text_field, _raw_field
+    counts = [c for c in ("total_orders", "loyalty_points") if c in account_columns]
+
+    def order(name: str) -> Column:
+        return text(name, F.col(f"__order.{name}"))
+
+    def account(name: str) -> Column:
+        return text(name, F.col(f"__account.{name}"))
+
+    def given(name: str) -> Column:
+        return text(name, F.col(name))
+
+    def told(error: Column, accepted: list[Column], *when_refused: Column) -> Column:
+        refused = [raw("success", F.when(~malformed, F.lit("false"))), text("error", error), *when_refused]
+        return F.when(F.col("code") == "ok", F.array(*accepted)).otherwise(F.array(*refused))
+
+    def done(*fields: Column) -> list[Column]:
+        return [raw("success", F.lit("true")), *fields]
+
+    shipped = F.col("code") == "already_shipped"
+    delivered, until = F.col("__order.delivered_date"), F.date_format("__account.next_billing_date", "yyyy-MM-dd")
+    amount, method = _money("amount").cast("string"), F.col("__account.payment_method")
+    total = F.coalesce(_money_text(F.col("__order.total")), F.lit("null"))
+    return {
+        "lookup_order": told(_errors("order"), [
+            given("order_id"), order("status"), order("order_date"), order("estimated_delivery"), order("carrier"), order("tracking_number"),
+            raw("items", _items_text(F.col("__order.items"))), raw("total", total), order("shipping_address"),
+            raw("delivered_date", F.concat(F.lit('"'), delivered.cast("string"), F.lit('"'))),
+        ]),
+        "update_shipping_address": told(_address_errors(), done(
+            given("order_id"), text("old_address", F.col("__order.shipping_address")), given("new_address"), text("message", _text("address_ok")),
+        ), *[raw(n, F.when(shipped, _quoted(F.col(f"__order.{n}")))) for n in ("carrier", "tracking_number")]),
+        "cancel_order": told(_cancel_errors(), done(
+            given("order_id"), text("cancelled_at", stamp), raw("refund_amount", total), text("refund_method", F.lit(fixed.ORDER_REFUND_METHOD)),
+            text("refund_eta", F.lit(fixed.REFUND_ETA)), given("reason"),
+        )),
+        "get_return_label": told(_return_errors(day), done(
+            given("order_id"), text("item", F.col("item_name")), given("return_reason"),
+            text("return_label_url", F.concat(F.lit(fixed.RETURN_LABEL_URL), F.col("order_id"))), text("return_instructions", F.lit(fixed.RETURN_INSTRUCTIONS)),
+            text("refund_eta", F.lit(fixed.RETURN_REFUND_ETA)), text("carrier", F.lit(fixed.RETURN_CARRIER)),
+        )),
+        "get_account_info": told(_errors("account"), [
+            given("email"), account("account_status"), account("subscription_plan"), account("member_since"),
+            *[raw(c, F.coalesce(F.col(f"__account.{c}").cast("string"), F.lit("null"))) for c in counts], account("payment_method"), account("billing_cycle"), account("next_billing_date"),
+        ]),
+        "unlock_account": told(_unlock_errors(), done(
+            given("email"), text("message", _text("unlock_ok")), text("action_taken", F.lit(fixed.UNLOCK_ACTION)), text("timestamp", stamp),
+        )),
+        "update_subscription": told(_plan_errors(), done(given("email"), *[text(name, value) for name, value in _plan_terms().items()])),
+        "cancel_subscription": told(_subscription_errors(), done(
+            given("email"), text("cancellation_date", day), text("access_until", until), given("reason"),
+            text("message", _text("subscription_cancelled", until)), text("reactivation_info", F.lit(fixed.REACTIVATION_INFO)),
+        )),
+        "process_refund": told(_refund_errors(), done(
+            text("refund_id", _refund_id()), given("order_id"), given("email"), text("amount", F.concat(F.lit("$"), amount)), text("method", method),
+            given("reason"), text("eta", F.lit(fixed.REFUND_ETA)), text("timestamp", stamp), text("message", _text("refund_ok", amount, method)),
+        ), raw("escalated", F.when(F.col("code") == "escalated", F.lit("true")))),
+    }
+
+
+# ---------------------------------------------------------------- mixed batches
+
+
+def _adjudicated(requests: DataFrame, orders: DataFrame, accounts: DataFrame, as_of: Column) -> DataFrame:
+    """Requests joined to both state tables, with their ``code``."""
+    day = as_of.cast("date")
     by_action = {
         "lookup_order": _order_rules(),
         "update_shipping_address": _address_rules(),
@@ -432,12 +554,24 @@ def adjudicate(
     for action, rules in by_action.items():
         hit = F.col("action") == action
         code = F.when(hit, _code(rules)) if code is None else code.when(hit, _code(rules))
-    joined = _with_account(_with_order(requests, orders), accounts, counted=requests)
-    decided = joined.withColumn("code", code.otherwise("unknown_action"))
+    # Both lookups take their hot keys from the requests, in one sketch.
+    salts = hot_salts(requests, ["order_id", "email"])
+    joined = _with_account(_with_order(requests, orders, salts["order_id"]), accounts, salts["email"])
+    return joined.withColumn("code", code.otherwise("unknown_action"))
+
+
+def adjudicate(
+    requests: DataFrame, orders: DataFrame, accounts: DataFrame, as_of: str | Column
+) -> DataFrame:
+    """Decide a batch of mixed requests with one join per state table.
+
+    ``requests``: ``request_id, action, order_id, email, new_plan, amount``; ``action`` is a
+    tool name. Adds ``success, code, refund_amount``.
+    """
     refund = F.when(F.col("action") == "cancel_order", F.col("__order.total")).when(
-        F.col("action") == "process_refund", F.col("amount")
+        F.col("action") == "process_refund", _money("amount")
     )
-    return decided.select(
+    return _adjudicated(requests, orders, accounts, _as_column(as_of)).select(
         *requests.columns, _success().alias("success"), "code",
         _ok(refund.cast("decimal(18,2)")).alias("refund_amount"),
     )
@@ -454,32 +588,39 @@ def adjudication_summary(outcomes: DataFrame) -> DataFrame:
 
 
 def requests_from_calls(calls: DataFrame) -> DataFrame:
-    """Extracted calls (``request_id, tool, args``) as requests for :func:`adjudicate`.
+    """Extracted calls (``request_id, tool, args``) as requests for :func:`adjudicate`; other columns come along.
 
     An argument a call lacks is null; an amount that is no number is null.
     """
     def given(name: str) -> Column:
         return F.try_element_at("args", F.lit(name))
 
+    others = [c for c in calls.columns if c not in ("request_id", "tool", "args", "text", "code", "error")]
     return calls.where(F.col("tool").isNotNull()).select(
-        "request_id", F.col("tool").alias("action"), given("order_id").alias("order_id"), given("customer_email").alias("email"),
+        "request_id", *others, F.col("tool").alias("action"), given("order_id").alias("order_id"), given("customer_email").alias("email"),
         given("new_plan").alias("new_plan"), given("amount").try_cast("decimal(18,2)").alias("amount"),
-        given("new_address").alias("new_address"),
+        given("new_address").alias("new_address"), given("reason").alias("reason"), given("item_name").alias("item_name"),
+        given("return_reason").alias("return_reason"),
     )
 
 
 def call_outcomes(calls: DataFrame, orders: DataFrame, accounts: DataFrame, as_of: str | Column) -> DataFrame:
-    """``request_id, tool, code, tool_result``: what each call comes to, as the text of a tool result.
+    """``request_id, tool, code, tool_result``: what each call comes to, as the text of a tool result; other columns of ``calls`` but the text come along.
 
-    The text is a JSON object with success, code and refund_amount as far as they are known, or
-    with the error of a call that names no known tool or has the wrong arguments. It can be
+    The text is the tool's whole answer as a JSON object, indented by two spaces: the order, account, dates, prices and messages of an accepted call, or
+    the error of a refused one, or that of a call that names no known tool or has the wrong arguments. Money has two decimals. The rows can be
     given to :func:`colloquy.operators.turns.history_rows`. No tool is executed.
     """
+    at = _as_column(as_of)
     checked = check_tool_calls(calls)
+    others = [c for c in calls.columns if c not in ("request_id", "tool", "args", "text")]
     bad = checked.where(F.col("code") != "ok").select(
-        "request_id", "tool", "code", F.to_json(F.struct("error")).alias("tool_result")
+        "request_id", *others, "tool", "code", F.concat(F.lit('{"error": '), _quoted(F.col("error")), F.lit("}")).alias("tool_result")
     )
-    decided = adjudicate(requests_from_calls(checked.where(F.col("code") == "ok")), orders, accounts, as_of)
-    return decided.select(
-        "request_id", F.col("action").alias("tool"), "code", F.to_json(F.struct("success", "code", "refund_amount")).alias("tool_result")
-    ).unionByName(bad)
+    decided = _adjudicated(requests_from_calls(checked.where(F.col("code") == "ok")), orders, accounts, at)
+    fields = None
+    for action, answer in _answers(at, accounts.columns).items():
+        hit = F.col("action") == action
+        fields = F.when(hit, answer) if fields is None else fields.when(hit, answer)
+    told = decided.select("request_id", *others, F.col("action").alias("tool"), "code", _object_text(fields).alias("tool_result"))
+    return told.unionByName(bad)

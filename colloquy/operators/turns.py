@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions import fixed_values as fixed
+from colloquy.operators.ranking import rank_in_buckets
 
 # Turn numbers handled together in one window group.
 SPAN = 4096
@@ -69,8 +70,8 @@ def history_rows(
     The system text comes first (turn -1), then the stored turns including the new user
     message. ``tool_results`` (``conv_id, response, tool_result``) adds the assistant's
     call and the result turn after the last stored turn, each call directly followed by its
-    result; several of one conversation go by ``call`` if there is such a column, then by
-    their texts.
+    result; several of one conversation go by ``call`` (a number, for conversations of any
+    size) if there is such a column, then by their texts.
     """
     stored = turns.select(conv, F.col(turn).cast("bigint").alias(turn), "role", F.col("text").alias("content"))
     ends = stored.groupBy(conv).agg(F.max(turn).alias("__last"))
@@ -85,8 +86,13 @@ def history_rows(
         F.lit(fixed.TOOL_RESULT_TURN.split("{tool_result}")[0]), F.col("tool_result"),
         F.lit(fixed.TOOL_RESULT_TURN.split("{tool_result}")[1]),
     )
-    order = [c for c in ("call",) if c in tool_results.columns] + ["response", "tool_result"]
-    numbered = tool_results.withColumn("__call", F.row_number().over(Window.partitionBy(conv).orderBy(*order)))
+    if "call" in tool_results.columns:
+        # Calls are numbered in spans of their numbers, so those of one conversation may be any part of the table.
+        spans = tool_results.withColumn("__span", F.expr(f"call div {SPAN}"))
+        numbered = rank_in_buckets(spans, [conv], "__span", ["call", "response", "tool_result"], "__call")
+    else:
+        inside = Window.partitionBy(conv).orderBy("response", "tool_result")
+        numbered = tool_results.withColumn("__call", F.row_number().over(inside))
     added = numbered.join(ends, conv).select(
         conv,
         F.posexplode(

@@ -16,7 +16,7 @@ def _q(text: str) -> str:
 
 VIEWS: dict[str, tuple[list[str], str]] = {
     "pairs": ([], """
-        SELECT conv_id * 1000000 + turn AS example_id, text AS instruction, nt AS response,
+        SELECT conv_id * (SELECT max(turn) + 1 FROM conversations) + turn AS example_id, text AS instruction, nt AS response,
                'intent_' || (conv_id % 7) AS intent, 'category_' || (conv_id % 3) AS category, conv_id, turn
         FROM (SELECT conv_id, turn, role, text,
                      lead(role) OVER (PARTITION BY conv_id ORDER BY turn) AS nr,
@@ -36,7 +36,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
     "doc_predictions": (["dialogues"], """
         SELECT *, substr(response, 1, length(response) // 2) AS prediction FROM dialogues"""),
     "latency": ([], """
-        SELECT event_id, event_type AS label, value AS latency_ms,
+        SELECT event_id, event_type AS label, CASE WHEN event_id % 997 <> 5 THEN value END AS latency_ms,
                CAST(json_extract_string(props, '$.k') AS BIGINT) AS response_tokens, props AS prompt FROM events"""),
     "kevents": ([], """
         SELECT event_id AS example_id, event_type AS label,
@@ -51,13 +51,14 @@ VIEWS: dict[str, tuple[list[str], str]] = {
                ['FedEx', 'UPS', 'USPS', 'DHL'][o_orderkey % 4 + 1] AS carrier,
                upper(substr(['FedEx', 'UPS', 'USPS', 'DHL'][o_orderkey % 4 + 1], 1, 2))
                  || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS tracking_number,
-               o_orderpriority || 'x1' AS items, o_totalprice AS total, o_custkey || ' Main St' AS shipping_address
+               o_orderpriority AS item, o_orderpriority || 'x1' AS items, o_totalprice AS total, o_custkey || ' Main St' AS shipping_address
         FROM orders"""),
     "accounts_state": ([], """
         SELECT lower(c_name) || '@x' AS sid,
                CASE c_custkey % 5 WHEN 3 THEN 'suspended' WHEN 4 THEN 'cancelled' ELSE 'active' END AS account_status,
-               ['Basic', 'Standard', 'Premium'][c_custkey % 3 + 1] AS subscription_plan,
+               CASE WHEN c_custkey % 31 = 0 THEN 'Legacy' ELSE ['Basic', 'Standard', 'Premium'][c_custkey % 3 + 1] END AS subscription_plan,
                DATE '1998-01-01' - CAST(c_custkey % 900 AS INTEGER) AS member_since,
+               c_custkey % 50 + 1 AS total_orders, c_custkey * 37 % 5001 AS loyalty_points,
                'Card ' || c_mktsegment AS payment_method, 'monthly' AS billing_cycle,
                DATE '1998-02-01' + CAST(c_custkey % 28 AS INTEGER) AS next_billing_date
         FROM customer"""),
@@ -73,16 +74,43 @@ VIEWS: dict[str, tuple[list[str], str]] = {
                     ELSE 'customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') || '@x' END AS email,
                ['Basic', 'Standard', 'Premium', 'Platinum'][o_orderkey % 4 + 1] AS new_plan,
                CASE WHEN o_orderkey % 100 = 0 THEN 0.0::DOUBLE WHEN o_orderkey % 101 = 0 THEN 500.0::DOUBLE
+                    WHEN o_orderkey % 103 = 0 THEN NULL
                     ELSE floor(o_totalprice / 5.0::DOUBLE) / 100.0::DOUBLE END AS amount,
-               o_orderpriority || ' Road' AS new_address
+               o_orderpriority || ' Road' AS new_address, 'status ' || o_orderstatus AS reason,
+               'the "' || o_orderpriority || '" one' AS item_name, 'priority ' || o_orderpriority AS return_reason
         FROM orders"""),
     "agent_texts": (["requests"], """
-        SELECT request_id,
-               CASE WHEN request_id % 11 = 0 OR request_id % 13 = 0 THEN NULL ELSE action END AS tool,
-               CASE WHEN request_id % 7 = 0 THEN NULL WHEN request_id % 5 = 0 THEN 'customer_email'
-                    ELSE 'order_id' END AS arg,
-               CASE WHEN request_id % 5 = 0 THEN email ELSE order_id END AS val
-        FROM requests"""),
+        SELECT *, CASE WHEN tool IS NULL THEN NULL WHEN tool = 'reset_router' THEN 'unknown_tool' WHEN fits THEN 'ok' ELSE 'bad_arguments' END AS call_code,
+               CASE WHEN request_id % 11 = 0 THEN 'Our returns desk is open.' || chr(10) || 'Anything else?'
+                    WHEN request_id % 13 = 0 THEN 'TOOL_CALL: ' || action
+                    ELSE 'Let me check that.' || chr(10) || '  TOOL_CALL: ' || action || '(' || CASE
+                        WHEN request_id % 7 = 0 THEN '{broken' WHEN request_id % 17 = 0 THEN '{"order_number": "' || order_id || '"}'
+                        WHEN request_id % 23 = 0 THEN '{' || json || '}{' || json || '}' WHEN request_id % 29 = 0 THEN '{' || json || '}) (as asked'
+                        ELSE '{' || json || '}' END || ')' || CASE WHEN request_id % 19 = 0 THEN ' please' ELSE '' END || chr(10) || 'One moment.' END AS text
+        FROM (SELECT *, CASE WHEN request_id % 11 = 0 OR request_id % 13 = 0 THEN NULL ELSE action END AS tool,
+                     request_id % 7 <> 0 AND request_id % 17 <> 0 AND request_id % 23 <> 0 AND request_id % 29 <> 0 AS fits,
+                     request_id % 7 <> 0 AND request_id % 17 = 0 AS misnamed,
+                     CASE action
+                       WHEN 'lookup_order' THEN oid WHEN 'update_shipping_address' THEN oid || ', "new_address": "' || new_address || '"'
+                       WHEN 'cancel_order' THEN oid || why
+                       WHEN 'get_return_label' THEN oid || ', "item_name": "' || replace(item_name, '"', chr(92) || '"') || '", "return_reason": "' || return_reason || '"'
+                       WHEN 'get_account_info' THEN mail WHEN 'unlock_account' THEN mail
+                       WHEN 'update_subscription' THEN mail || ', "new_plan": "' || new_plan || '"' WHEN 'cancel_subscription' THEN mail || why
+                       WHEN 'process_refund' THEN mail || ', ' || oid || ', "amount": ' || coalesce(printf('%.2f', amount), '"NaN"') || ', "reason": "' || reason || '"'
+                       ELSE oid END AS json
+              FROM (SELECT *, '"order_id": "' || order_id || '"' AS oid, '"customer_email": "' || email || '"' AS mail,
+                           CASE WHEN request_id % 3 = 0 THEN ', "reason": "' || reason || '"' ELSE '' END AS why FROM requests))"""),
+    "asked": (["agent_texts"], """
+        SELECT request_id, tool, fits, misnamed,
+               CASE WHEN fits AND tool IN ('lookup_order', 'update_shipping_address', 'cancel_order', 'get_return_label', 'process_refund', 'reset_router') THEN order_id END AS order_id,
+               CASE WHEN fits AND tool IN ('get_account_info', 'unlock_account', 'update_subscription', 'cancel_subscription', 'process_refund') THEN email END AS email,
+               CASE WHEN fits AND tool = 'update_subscription' THEN new_plan END AS new_plan,
+               CASE WHEN fits AND tool = 'process_refund' THEN amount END AS amount, CASE WHEN fits AND tool = 'process_refund' AND amount IS NULL THEN 'NaN' END AS no_amount,
+               CASE WHEN fits AND tool = 'update_shipping_address' THEN new_address END AS new_address,
+               CASE WHEN fits AND (tool = 'process_refund' OR tool IN ('cancel_order', 'cancel_subscription') AND request_id % 3 = 0) THEN reason END AS reason,
+               CASE WHEN fits AND tool = 'get_return_label' THEN item_name END AS item_name,
+               CASE WHEN fits AND tool = 'get_return_label' THEN return_reason END AS return_reason, order_id AS whole_order_id
+        FROM agent_texts WHERE tool IS NOT NULL"""),
     "with_order": (["requests", "orders_state"], """
         SELECT r.*, s.*, CASE WHEN NOT starts_with(r.order_id, 'ORD-') THEN 'invalid_order_id'
                               WHEN s.sid IS NULL THEN 'order_not_found' END AS bad_order
@@ -92,13 +120,13 @@ VIEWS: dict[str, tuple[list[str], str]] = {
                               WHEN s.sid IS NULL THEN 'account_not_found' END AS bad_account
         FROM requests r LEFT JOIN accounts_state s ON s.sid = r.email"""),
     "rating": (["kevents"], """
-        SELECT example_id, label, k % 10 = 0 AS bad,
-               CASE WHEN k % 10 <> 0 THEN CAST(k % 5 + 1 AS DOUBLE) END AS helpfulness,
-               CASE WHEN k % 10 <> 0 THEN CAST((k + 1) % 5 + 1 AS DOUBLE) END AS accuracy,
-               CASE WHEN k % 10 <> 0 THEN CAST((k + 2) % 5 + 1 AS DOUBLE) END AS professionalism,
-               CASE WHEN k % 10 = 0 THEN 'error' ELSE 'k' || k END AS reasoning,
-               CASE WHEN k % 10 = 0 THEN NULL WHEN k % 2 = 0 THEN 'A' ELSE 'B' END AS winner
-        FROM kevents"""),
+        SELECT example_id, label, bad,
+               CASE WHEN NOT bad THEN CAST(k % 5 + 1 AS DOUBLE) END AS helpfulness,
+               CASE WHEN NOT bad THEN CAST((k + 1) % 5 + 1 AS DOUBLE) END AS accuracy,
+               CASE WHEN NOT bad THEN CAST((k + 2) % 5 + 1 AS DOUBLE) END AS professionalism,
+               CASE WHEN bad THEN 'error' ELSE 'k' || k END AS reasoning,
+               CASE WHEN bad THEN NULL WHEN k % 2 = 0 THEN 'A' ELSE 'B' END AS winner
+        FROM (SELECT *, k % 10 IN (0, 3, 6) AS bad FROM kevents)"""),
     "judged": (["rating"], """
         SELECT label, avg(helpfulness) AS avg_helpfulness, avg(accuracy) AS avg_accuracy,
                avg(professionalism) AS avg_professionalism,
@@ -107,7 +135,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         FROM rating GROUP BY label HAVING count(*) FILTER (NOT bad) > 0"""),
     "details": (["pairs"], """
         SELECT *, row_number() OVER (ORDER BY example_id) - 1 AS position, example_id % 97 AS k,
-               example_id % 97 % 10 <> 0 AS good FROM pairs"""),
+               example_id % 97 % 10 NOT IN (0, 3, 6) AS good FROM pairs"""),
     "preferred": (["details"], """
         SELECT *, CASE WHEN NOT good THEN NULL WHEN k % 2 = 0 THEN 'A' ELSE 'B' END AS winner,
                CASE WHEN (good AND k % 2 = 0) = (position % 2 = 0) THEN 'base' ELSE 'finetuned' END AS preference
@@ -213,6 +241,54 @@ def _lcs_ctes(source: str, tag: str) -> str:
             THEN 2.0::DOUBLE * list_max(dp) / (len(p) + len(q)) ELSE 0.0 END AS f FROM dp_{tag} WHERE i = len(p))"""
 
 
+def _lsum_ctes(source: str, tag: str) -> str:
+    """The line-wise union LCS; ends in ``lsum_{tag}``.
+
+    Lines that both sides have are found whole. Of the others, each pair of lines with a word in common gets the full table, one row of it per recursion step,
+    and is then walked back from its end; reference words that the other line lacks are never taken and change no length, so they have no row.
+    """
+    def lines(column: str) -> str:
+        return (
+            f"SELECT example_id, l, {_rouge_tokens('line')} AS t FROM (SELECT example_id, unnest(string_split({column}, chr(10))) AS line, "
+            f"generate_subscripts(string_split({column}, chr(10)), 1) AS l FROM {source}) WHERE line <> ''"
+        )
+
+    step = "list_transform(range(1, len(p) + 1), lambda j: greatest(last[j + 1], CASE WHEN p[j] = qs[i + 1] THEN last[j] + 1 ELSE 0 END))"
+    return f"""
+        ql_{tag} AS ({lines('response')}),
+        pl_{tag} AS ({lines('prediction')}),
+        same_{tag} AS (SELECT DISTINCT q.example_id, q.l FROM ql_{tag} q JOIN pl_{tag} p ON p.example_id = q.example_id AND p.t = q.t),
+        rest_{tag} AS (SELECT * FROM ql_{tag} q ANTI JOIN same_{tag} s ON s.example_id = q.example_id AND s.l = q.l),
+        met_{tag} AS (SELECT DISTINCT q.example_id, q.l, q.t AS q, p.t AS p FROM rest_{tag} q JOIN pl_{tag} p ON p.example_id = q.example_id AND list_has_any(q.t, p.t)),
+        uniq_{tag} AS MATERIALIZED (SELECT row_number() OVER () AS id, q, p, qp, list_transform(qp, lambda k: q[k]) AS qs
+            FROM (SELECT q, p, list_filter(range(1, len(q) + 1), lambda k: list_contains(p, q[k])) AS qp FROM (SELECT DISTINCT q, p FROM met_{tag}))),
+        tab_{tag} AS (
+            SELECT id, 0 AS i, list_transform(range(0, len(p) + 1), lambda j: 0::BIGINT) AS last FROM uniq_{tag} WHERE len(qp) > 1
+            UNION ALL
+            SELECT id, i + 1, [0::BIGINT] || list_transform(range(1, len(p) + 1), lambda j: list_max(best[1:j]))
+            FROM (SELECT t.id, t.i, u.p, {step} AS best FROM tab_{tag} t JOIN uniq_{tag} u ON u.id = t.id WHERE t.i < len(u.qs))),
+        whole_{tag} AS MATERIALIZED (SELECT id, list(last ORDER BY i) AS tab FROM tab_{tag} GROUP BY id),
+        walk_{tag} AS (
+            SELECT id, len(qs) AS i, len(p) AS j, 0::BIGINT AS taken FROM uniq_{tag} WHERE len(qp) > 1
+            UNION ALL
+            SELECT id, i - (hit OR NOT back)::INT, j - (hit OR back)::INT, CASE WHEN hit THEN i ELSE 0 END
+            FROM (SELECT w.id, w.i, w.j, u.qs[w.i] = u.p[w.j] AS hit, h.tab[w.i + 1][w.j] > h.tab[w.i][w.j + 1] AS back
+                  FROM walk_{tag} w JOIN uniq_{tag} u ON u.id = w.id JOIN whole_{tag} h ON h.id = w.id WHERE w.i > 0 AND w.j > 0)),
+        found_{tag} AS (
+            SELECT u.q, u.p, u.qp[w.taken] AS k FROM walk_{tag} w JOIN uniq_{tag} u ON u.id = w.id WHERE w.taken > 0
+            UNION ALL SELECT q, p, qp[1] FROM uniq_{tag} WHERE len(qp) = 1),
+        union_{tag} AS (
+            SELECT DISTINCT m.example_id, m.l, f.k, m.q[f.k] AS word FROM met_{tag} m JOIN found_{tag} f ON f.q = m.q AND f.p = m.p
+            UNION ALL SELECT q.example_id, q.l, unnest(range(1, len(q.t) + 1)), unnest(q.t) FROM ql_{tag} q JOIN same_{tag} s ON s.example_id = q.example_id AND s.l = q.l),
+        side_{tag} AS (SELECT example_id, word, count(*) AS n FROM (SELECT example_id, unnest(t) AS word FROM pl_{tag}) GROUP BY ALL),
+        hits_{tag} AS (SELECT u.example_id, sum(least(u.n, s.n)) AS hits FROM (SELECT example_id, word, count(*) AS n FROM union_{tag} GROUP BY ALL) u
+                       JOIN side_{tag} s ON s.example_id = u.example_id AND s.word = u.word GROUP BY u.example_id),
+        lsum_{tag} AS (SELECT x.example_id, CASE WHEN coalesce(hits, 0) > 0 THEN 2.0::DOUBLE * hits / (coalesce(np, 0) + coalesce(nq, 0)) ELSE 0.0 END AS f
+            FROM {source} x LEFT JOIN hits_{tag} h ON h.example_id = x.example_id
+            LEFT JOIN (SELECT example_id, sum(len(t)) AS np FROM pl_{tag} GROUP BY example_id) a ON a.example_id = x.example_id
+            LEFT JOIN (SELECT example_id, sum(len(t)) AS nq FROM ql_{tag} GROUP BY example_id) b ON b.example_id = x.example_id)"""
+
+
 def _rouge_value(source: str, n: int) -> str:
     """One mean score as a query of its own."""
     return sql(f"SELECT avg(f) AS f FROM ({_rouge_rows(n)})", source,
@@ -283,7 +359,7 @@ QUOTAS = """
 # ---------------------------------------------------------------- support outcomes
 
 MALFORMED = ("invalid_order_id", "order_not_found", "invalid_email", "account_not_found", "invalid_plan",
-             "refund_not_positive", "unknown_action")
+             "refund_not_positive", "unknown_action", "unknown_stored_plan")
 SUCCESS = "CASE WHEN code = 'ok' THEN true WHEN code NOT IN (" + ", ".join(map(_q, MALFORMED)) + ") THEN false END"
 
 
@@ -342,13 +418,14 @@ PLAN_CODE = (
     "CASE WHEN new_plan NOT IN ('Basic', 'Standard', 'Premium') THEN 'invalid_plan' "
     "WHEN bad_account IS NOT NULL THEN bad_account "
     "WHEN account_status IN ('suspended', 'cancelled') THEN 'account_blocked' "
+    "WHEN subscription_plan NOT IN ('Basic', 'Standard', 'Premium') THEN 'unknown_stored_plan' "
     "WHEN subscription_plan = new_plan THEN 'same_plan' ELSE 'ok' END"
 )
 SUBSCRIPTION_CODE = (
     "CASE WHEN bad_account IS NOT NULL THEN bad_account WHEN account_status = 'cancelled' THEN 'already_cancelled' ELSE 'ok' END"
 )
 REFUND_CODE = (
-    "CASE WHEN amount <= 0 THEN 'refund_not_positive' WHEN amount > 500 THEN 'escalated' "
+    "CASE WHEN amount IS NULL OR amount <= 0 THEN 'refund_not_positive' WHEN amount > 500 THEN 'escalated' "
     "WHEN bad_account IS NOT NULL THEN bad_account ELSE 'ok' END"
 )
 PRICE = "CAST(CASE {0} WHEN 'Basic' THEN 9.99 WHEN 'Standard' THEN 19.99 WHEN 'Premium' THEN 39.99 END AS DECIMAL(10,2))"
@@ -357,7 +434,8 @@ MONEY = "printf('%.2f', amount)"
 REFUND_NUMBER = "('0x' || substr(md5(order_id || email), 1, 8))::BIGINT % 1000000"
 
 DECIDED = f"""
-    both_sides AS (SELECT o.*, a.account_status, a.subscription_plan, a.bad_account
+    both_sides AS (SELECT o.*, a.account_status, a.subscription_plan, a.bad_account, a.member_since, a.total_orders, a.loyalty_points,
+                          a.payment_method, a.billing_cycle, a.next_billing_date
                    FROM with_order o JOIN with_account a ON a.request_id = o.request_id),
     decided AS (SELECT *, CASE action
         WHEN 'lookup_order' THEN coalesce(bad_order, 'ok')
@@ -374,6 +452,101 @@ DECIDED = f"""
                                 WHEN code = 'ok' AND action = 'process_refund' THEN CAST(amount AS DECIMAL(18,2))
                            END AS refund_amount FROM decided)"""
 
+# ---------------------------------------------------------------- answers of tools
+
+
+def _js(expression: str) -> str:
+    """A text as JSON: the data have no control characters but line feeds, and the messages one dash beyond ASCII."""
+    for old, new in (("chr(92)", "chr(92) || chr(92)"), ("'\"'", "chr(92) || '\"'"), ("chr(10)", "chr(92) || 'n'"), ("'—'", "chr(92) || 'u2014'")):
+        expression = f"replace({expression}, {old}, {new})"
+    return f"'\"' || {expression} || '\"'"
+
+
+def _object(fields: dict[str, str]) -> str:
+    lines = ", ".join(f"'  \"{name}\": ' || {value}" for name, value in fields.items())
+    return f"'{{' || chr(10) || concat_ws(',' || chr(10), {lines}) || chr(10) || '}}'"
+
+
+def _told(errors: str, accepted: dict[str, str], refused: dict[str, str] = {}) -> str:
+    no = f"CASE WHEN NOT {SUCCESS} THEN 'false' END"
+    return f"CASE WHEN code = 'ok' THEN {_object(accepted)} ELSE {_object({'success': no, 'error': _js(f'CASE code {errors} END'), **refused})} END"
+
+
+def _cents(expression: str) -> str:
+    return f"printf('%.2f', {expression})"
+
+
+_DATE = "'\"' || CAST({0} AS VARCHAR) || '\"'"
+_DONE = {"success": "'true'"}
+_REASON = "coalesce({0}, 'null')".format(_js("CASE WHEN action = 'process_refund' OR request_id % 3 = 0 THEN reason END"))
+ADDRESS_ERRORS = f"{ORDER_ERRORS} WHEN 'already_shipped' THEN {_say('address_already_shipped', 'status')}"
+CANCEL_ERRORS = f"{ORDER_ERRORS} WHEN 'already_shipped' THEN {_say('cancel_already_shipped', 'status')} WHEN 'already_cancelled' THEN {_say('already_cancelled')}"
+RETURN_ERRORS = (
+    f"{ORDER_ERRORS} WHEN 'not_delivered' THEN {_say('not_delivered', 'status')} "
+    f"WHEN 'window_expired' THEN {_say('window_expired', f'CAST({AGO} AS VARCHAR)')}"
+)
+UNLOCK_ERRORS = f"{ACCOUNT_ERRORS} WHEN 'account_cancelled' THEN {_say('unlock_cancelled')}"
+PLAN_ERRORS = (
+    f"{ACCOUNT_ERRORS} WHEN 'invalid_plan' THEN {_say('invalid_plan', 'new_plan')} "
+    f"WHEN 'account_blocked' THEN {_say('plan_blocked', 'account_status')} WHEN 'same_plan' THEN {_say('same_plan', 'new_plan')} "
+    "WHEN 'unknown_stored_plan' THEN 'Unknown plan on the account: ' || subscription_plan "
+)
+SUBSCRIPTION_ERRORS = f"{ACCOUNT_ERRORS} WHEN 'already_cancelled' THEN {_say('subscription_already_cancelled')}"
+REFUND_ERRORS = f"{ACCOUNT_ERRORS} WHEN 'refund_not_positive' THEN {_say('refund_not_positive')} WHEN 'escalated' THEN {_say('refund_escalated', MONEY)}"
+PLAN_TERMS = {
+    "old_plan": "subscription_plan", "new_plan": "new_plan", "old_price": f"'$' || {OLD} || '/month'", "new_price": f"'$' || {NEW} || '/month'",
+    "effective_date": f"CASE WHEN {NEW} > {OLD} THEN 'immediately' ELSE 'next billing cycle' END",
+    "proration_credit": f"CASE WHEN {NEW} > {OLD} THEN '$' || ({NEW} - {OLD}) ELSE 'N/A' END",
+    "message": f"CASE WHEN {NEW} > {OLD} THEN {_say('plan_upgraded', 'subscription_plan', 'new_plan')} ELSE {_say('plan_downgraded', 'subscription_plan', 'new_plan')} END",
+}
+_ITEMS = (
+    """'[' || chr(10) || '    {' || chr(10) || '      "name": ' || """ + _js("item") + """ || ',' || chr(10) || '      "quantity": 1,' || chr(10) || '      "price": ' || """
+    + _cents("total") + """ || chr(10) || '    }' || chr(10) || '  ]'"""
+)
+ANSWERS = {
+    "lookup_order": _told(ORDER_ERRORS, {
+        "order_id": _js("order_id"), "status": _js("status"), "order_date": _DATE.format("order_date"), "estimated_delivery": _DATE.format("estimated_delivery"),
+        "carrier": _js("carrier"), "tracking_number": _js("tracking_number"), "items": _ITEMS, "total": _cents("total"), "shipping_address": _js("shipping_address"),
+        "delivered_date": "CASE WHEN status = 'delivered' THEN " + _DATE.format("delivered") + " END",
+    }),
+    "update_shipping_address": _told(ADDRESS_ERRORS, {
+        **_DONE, "order_id": _js("order_id"), "old_address": _js("shipping_address"), "new_address": _js("new_address"), "message": _js(_say("address_ok")),
+    }, {"carrier": f"CASE WHEN code = 'already_shipped' THEN {_js('carrier')} END", "tracking_number": f"CASE WHEN code = 'already_shipped' THEN {_js('tracking_number')} END"}),
+    "cancel_order": _told(CANCEL_ERRORS, {
+        **_DONE, "order_id": _js("order_id"), "cancelled_at": _js(STAMP), "refund_amount": _cents("total"), "refund_method": _js(_q(fixed.ORDER_REFUND_METHOD)),
+        "refund_eta": _js(_q(fixed.REFUND_ETA)), "reason": _REASON,
+    }),
+    "get_return_label": _told(RETURN_ERRORS, {
+        **_DONE, "order_id": _js("order_id"), "item": _js("item_name"), "return_reason": _js("return_reason"), "return_label_url": _js(_q(fixed.RETURN_LABEL_URL) + " || order_id"),
+        "return_instructions": _js(_q(fixed.RETURN_INSTRUCTIONS)), "refund_eta": _js(_q(fixed.RETURN_REFUND_ETA)), "carrier": _js(_q(fixed.RETURN_CARRIER)),
+    }),
+    "get_account_info": _told(ACCOUNT_ERRORS, {
+        "email": _js("email"), "account_status": _js("account_status"), "subscription_plan": _js("subscription_plan"), "member_since": _DATE.format("member_since"),
+        "total_orders": "total_orders", "loyalty_points": "loyalty_points", "payment_method": _js("payment_method"), "billing_cycle": _js("billing_cycle"),
+        "next_billing_date": _DATE.format("next_billing_date"),
+    }),
+    "unlock_account": _told(UNLOCK_ERRORS, {
+        **_DONE, "email": _js("email"), "message": _js(_say("unlock_ok")), "action_taken": _js(_q(fixed.UNLOCK_ACTION)), "timestamp": _js(STAMP),
+    }),
+    "update_subscription": _told(PLAN_ERRORS, {**_DONE, "email": _js("email"), **{name: _js(value) for name, value in PLAN_TERMS.items()}}),
+    "cancel_subscription": _told(SUBSCRIPTION_ERRORS, {
+        **_DONE, "email": _js("email"), "cancellation_date": _js("'1998-01-31'"), "access_until": _DATE.format("next_billing_date"), "reason": _REASON,
+        "message": _js(_say("subscription_cancelled", "CAST(next_billing_date AS VARCHAR)")), "reactivation_info": _js(_q(fixed.REACTIVATION_INFO)),
+    }),
+    "process_refund": _told(REFUND_ERRORS, {
+        **_DONE, "refund_id": _js(f"'REF-' || lpad(CAST({REFUND_NUMBER} AS VARCHAR), 6, '0')"), "order_id": _js("order_id"), "email": _js("email"),
+        "amount": _js(f"'$' || {MONEY}"), "method": _js("payment_method"), "reason": _REASON, "eta": _js(_q(fixed.REFUND_ETA)), "timestamp": _js(STAMP),
+        "message": _js(_say("refund_ok", MONEY, "payment_method")),
+    }, {"escalated": "CASE WHEN code = 'escalated' THEN 'true' END"}),
+}
+TOLD = DECIDED + f""",
+    told AS (SELECT t.request_id, t.tool, t.text AS response, CASE WHEN t.call_code = 'ok' THEN o.code ELSE t.call_code END AS code,
+                    CASE t.call_code WHEN 'unknown_tool' THEN '{{"error": "Unknown tool: ' || t.tool || '"}}'
+                         WHEN 'bad_arguments' THEN '{{"error": "Tool call failed"}}' ELSE o.answer END AS tool_result
+             FROM agent_texts t JOIN (SELECT *, CASE action {' '.join(f"WHEN '{tool}' THEN {text}" for tool, text in ANSWERS.items())} END AS answer FROM outcomes) o
+               ON o.request_id = t.request_id
+             WHERE t.tool IS NOT NULL)"""
+
 # ---------------------------------------------------------------- prompts
 
 SYSTEM = _q(fixed.SYSTEM_PROMPT)
@@ -420,20 +593,16 @@ GREEDY = f"""
     greedy AS (SELECT prec.pair_id, p AS precision, q AS recall, 2 * p * q / (p + q) AS f1
                FROM prec JOIN rec ON prec.pair_id = rec.pair_id)"""
 
-HISTORY_STEPS = """
+HISTORY_STEPS = TOLD + """,
     stored AS (SELECT conv_id, turn, role, text AS content FROM conversations),
     ends AS (SELECT conv_id, max(turn) AS last FROM stored GROUP BY conv_id),
-    calls AS (SELECT o_orderkey AS conv_id,
-                'TOOL_CALL: lookup_order({"order_id": "ORD-' || o_orderkey || '"})' AS response,
-                '{"order_id": "ORD-' || o_orderkey || '", "status": "delivered"}' AS result
-              FROM orders WHERE o_orderstatus = 'F'),
     history AS (
         SELECT conv_id, -1 AS turn, 'system' AS role, %s AS content FROM ends
         UNION ALL SELECT * FROM stored
-        UNION ALL SELECT c.conv_id, last + 1, 'assistant', response FROM calls c JOIN ends e ON e.conv_id = c.conv_id
-        UNION ALL SELECT c.conv_id, last + 2, 'user', 'Tool result:' || chr(10) || result || chr(10) || chr(10)
+        UNION ALL SELECT conv_id, last + 1, 'assistant', response FROM told JOIN ends ON conv_id = request_id
+        UNION ALL SELECT conv_id, last + 2, 'user', 'Tool result:' || chr(10) || tool_result || chr(10) || chr(10)
                || 'Please respond to the customer based on this information.'
-        FROM calls c JOIN ends e ON e.conv_id = c.conv_id)""" % AGENT_SYSTEM
+        FROM told JOIN ends ON conv_id = request_id)""" % AGENT_SYSTEM
 
 
 def _delta_rows(names: list[str], left: str, right: str) -> str:
@@ -523,9 +692,9 @@ ORACLES: dict[str, str] = {
     "assemble_history": sql(
         """SELECT conv_id, count(*) AS n_messages,
                   string_agg(role || '=' || content, '|' ORDER BY turn) AS messages FROM history GROUP BY conv_id""",
-        extra=HISTORY_STEPS),
+        "agent_texts", "with_order", "with_account", extra=HISTORY_STEPS),
     "history_turns": sql(
-        "SELECT conv_id, CAST(turn AS BIGINT) AS turn, role, content FROM history", extra=HISTORY_STEPS),
+        "SELECT conv_id, CAST(turn AS BIGINT) AS turn, role, content FROM history", "agent_texts", "with_order", "with_account", extra=HISTORY_STEPS),
     "render_transcript":
         """SELECT conv_id, 'SYSTEM: Be brief.' || chr(10) ||
                   string_agg(upper(role) || ': ' || text, chr(10) ORDER BY turn) || chr(10) || 'ASSISTANT:' AS transcript
@@ -575,6 +744,7 @@ ORACLES: dict[str, str] = {
             FROM ({_rouge_rows(1)}) a JOIN ({_rouge_rows(2)}) b ON a.example_id = b.example_id""", "pred_base",
         extra=_gram_ctes("pred_base", "example_id", _rouge_tokens, [1, 2])),
     "rouge_l": sql(f"SELECT {r('avg(f)', 'rougeL')} FROM lcs_base", "pred_base", extra=_lcs_ctes("pred_base", "base")),
+    "rouge_lsum": sql(f"SELECT {r('avg(f)', 'rougeLsum')} FROM lsum_base", "pred_base", extra=_lsum_ctes("pred_base", "base")),
     "compare_full": sql(
         f"""SELECT metric, {r('b', 'base')}, {r('c', 'candidate')}, {r('c - b', 'delta')},
                    round(CASE WHEN b <> 0 THEN (c - b) / b * 100 ELSE 0 END, {DIGITS}) AS pct,
@@ -595,24 +765,24 @@ ORACLES: dict[str, str] = {
             FROM (SELECT category, avg(len(regexp_extract_all(prediction, '{WORDS}'))) AS p,
                          avg(len(regexp_extract_all(response, '{WORDS}'))) AS q FROM pred_base GROUP BY category)""",
         "pred_base"),
-    "latency_stats":
-        f"SELECT {r('avg(value)', 'avg_latency_ms')}, {r('quantile_cont(value, 0.95)', 'p95_latency_ms')} FROM events",
-    "latency_stats_by_label":
-        f"""SELECT event_type AS label, {r('avg(value)', 'avg_latency_ms')},
-                   {r('quantile_cont(value, 0.95)', 'p95_latency_ms')} FROM events GROUP BY event_type""",
+    "latency_stats": sql(
+        f"SELECT {r('avg(latency_ms)', 'avg_latency_ms')}, {r('quantile_cont(latency_ms, 0.95)', 'p95_latency_ms')} FROM latency", "latency"),
+    "latency_stats_by_label": sql(
+        f"""SELECT label, {r('avg(latency_ms)', 'avg_latency_ms')}, {r('quantile_cont(latency_ms, 0.95)', 'p95_latency_ms')}
+            FROM latency GROUP BY label""", "latency"),
     "latency_summary": sql(
         f"""SELECT label, count(*) AS n_prompts, {r('avg(latency_ms)', 'avg_latency_ms')},
                    {r('min(latency_ms)', 'min_latency_ms')}, {r('max(latency_ms)', 'max_latency_ms')},
                    {r('avg(response_tokens / (nullif(latency_ms, 0) / 1000.0::DOUBLE))', 'avg_tokens_per_sec')},
                    {r('avg(response_tokens)', 'avg_response_tokens')}, {r('median(latency_ms)', 'median_latency_ms')},
-                   {r('list_sort(list(latency_ms))[CAST(floor(0.95::DOUBLE * count(*)) AS BIGINT) + 1]', 'p95_latency_ms')}
+                   {r('list_sort(list(latency_ms) FILTER (latency_ms IS NOT NULL))[CAST(floor(0.95::DOUBLE * count(latency_ms)) AS BIGINT) + 1]', 'p95_latency_ms')}
             FROM latency GROUP BY label""", "latency"),
     "latency_details": sql(
         """SELECT event_id, prompt, label AS response, round(latency_ms, 1) AS latency_ms, response_tokens
            FROM latency""", "latency"),
     "perplexity": sql(f"SELECT label, {r('exp(avg(latency_ms / 100))', 'perplexity')} FROM latency GROUP BY label", "latency"),
     "perplexity_weighted": sql(
-        f"""SELECT label, {r('exp(sum(latency_ms / 100 * response_tokens) / sum(response_tokens))', 'perplexity')}
+        f"""SELECT label, {r('exp(sum(latency_ms / 100 * response_tokens) / sum(response_tokens) FILTER (latency_ms IS NOT NULL))', 'perplexity')}
             FROM latency GROUP BY label""", "latency"),
     "greedy_match": sql(
         f"SELECT pair_id, {r('precision', 'precision')}, {r('recall', 'recall')}, {r('f1', 'f1')} FROM greedy", extra=GREEDY),
@@ -715,36 +885,19 @@ ORACLES: dict[str, str] = {
            FROM errors WHERE kind IS NOT NULL GROUP BY kind""", "errors"),
 
     "tool_calls": sql(
-        """SELECT request_id, tool, CASE WHEN tool IS NULL THEN NULL WHEN arg IS NULL THEN '' ELSE arg || '=' || val END AS args
-           FROM agent_texts""", "agent_texts"),
+        """SELECT request_id, tool, CASE WHEN misnamed THEN 'order_number=' || whole_order_id ELSE concat_ws(',',
+                    'amount=' || coalesce(CAST(amount AS VARCHAR), no_amount), 'customer_email=' || email, 'item_name=' || item_name, 'new_address=' || new_address,
+                    'new_plan=' || new_plan, 'order_id=' || order_id, 'reason=' || reason, 'return_reason=' || return_reason) END AS args FROM asked
+           UNION ALL SELECT request_id, NULL, NULL FROM agent_texts WHERE tool IS NULL""", "asked"),
     "tool_usage": sql("SELECT tool, count(*) AS n_calls FROM agent_texts WHERE tool IS NOT NULL GROUP BY tool", "agent_texts"),
     "tool_call_validity": sql(
-        """SELECT request_id, tool, code, CASE code WHEN 'unknown_tool' THEN 'Unknown tool: ' || tool
-                  WHEN 'bad_arguments' THEN 'Tool call failed' END AS error FROM checked""", "agent_texts",
-        extra="""checked AS (SELECT request_id, tool, CASE WHEN tool = 'reset_router' THEN 'unknown_tool'
-                   WHEN arg = 'order_id' AND tool IN ('lookup_order', 'cancel_order') THEN 'ok'
-                   WHEN arg = 'customer_email' AND tool IN ('get_account_info', 'unlock_account', 'cancel_subscription') THEN 'ok'
-                   ELSE 'bad_arguments' END AS code FROM agent_texts WHERE tool IS NOT NULL)"""),
+        """SELECT request_id, tool, call_code AS code, CASE call_code WHEN 'unknown_tool' THEN 'Unknown tool: ' || tool
+                  WHEN 'bad_arguments' THEN 'Tool call failed' END AS error FROM agent_texts WHERE tool IS NOT NULL""", "agent_texts"),
     "call_requests": sql(
-        """SELECT request_id, tool AS action, CASE WHEN arg = 'order_id' THEN val END AS order_id,
-                  CASE WHEN arg = 'customer_email' THEN val END AS email FROM agent_texts WHERE tool IS NOT NULL""", "agent_texts"),
-    "call_outcomes": sql(
-        f"""SELECT t.request_id, tool, CASE WHEN bad IS NULL THEN code ELSE bad END AS code,
-                   CASE bad WHEN 'unknown_tool' THEN '{{"error":"Unknown tool: ' || tool || '"}}'
-                            WHEN 'bad_arguments' THEN '{{"error":"Tool call failed"}}'
-                   ELSE '{{' || CASE WHEN {SUCCESS} IS NULL THEN '' ELSE '"success":' || {SUCCESS} || ',' END || '"code":"' || code || '"'
-                        || CASE WHEN refund_amount IS NULL THEN '' ELSE ',"refund_amount":' || refund_amount END || '}}' END AS tool_result
-            FROM (SELECT *, CASE WHEN tool = 'reset_router' THEN 'unknown_tool'
-                            WHEN arg = 'order_id' AND tool IN ('lookup_order', 'cancel_order') THEN NULL
-                            WHEN arg = 'customer_email' AND tool IN ('get_account_info', 'unlock_account', 'cancel_subscription') THEN NULL
-                            ELSE 'bad_arguments' END AS bad FROM agent_texts WHERE tool IS NOT NULL) t
-            JOIN outcomes o ON o.request_id = t.request_id""", "agent_texts", "with_order", "with_account", extra=DECIDED),
+        """SELECT request_id, tool AS action, order_id, email, new_plan, new_address, reason, item_name, return_reason, amount AS asked FROM asked""", "asked"),
+    "call_outcomes": sql("SELECT request_id, tool, code, tool_result FROM told", "agent_texts", "with_order", "with_account", extra=TOLD),
     "invalid_tool_calls": sql(
-        "SELECT request_id, tool, code FROM checked WHERE code <> 'ok'", "agent_texts",
-        extra="""checked AS (SELECT request_id, tool, CASE WHEN tool = 'reset_router' THEN 'unknown_tool'
-                   WHEN arg = 'order_id' AND tool IN ('lookup_order', 'cancel_order') THEN 'ok'
-                   WHEN arg = 'customer_email' AND tool IN ('get_account_info', 'unlock_account', 'cancel_subscription') THEN 'ok'
-                   ELSE 'bad_arguments' END AS code FROM agent_texts WHERE tool IS NOT NULL)"""),
+        "SELECT request_id, tool, call_code AS code FROM agent_texts WHERE tool IS NOT NULL AND call_code <> 'ok'", "agent_texts"),
 
     "order_lookup": sql(
         f"""SELECT request_id, order_id, code, CASE code {ORDER_ERRORS} END AS error, status, order_date, estimated_delivery,
@@ -771,7 +924,7 @@ ORACLES: dict[str, str] = {
             {ok(_q(fixed.RETURN_REFUND_ETA), 'refund_eta')}, {ok(_q(fixed.RETURN_CARRIER), 'carrier')}"""),
     "account_lookup": sql(
         f"""SELECT request_id, email, code, CASE code {ACCOUNT_ERRORS} END AS error, account_status, subscription_plan,
-                   member_since, payment_method, billing_cycle, next_billing_date FROM d""", "with_account",
+                   member_since, total_orders, loyalty_points, payment_method, billing_cycle, next_billing_date FROM d""", "with_account",
         extra="d AS (SELECT *, coalesce(bad_account, 'ok') AS code FROM with_account)"),
     "account_unlock": _accounted(
         UNLOCK_CODE, "email", f"WHEN 'account_cancelled' THEN {_say('unlock_cancelled')}",
@@ -780,7 +933,8 @@ ORACLES: dict[str, str] = {
         PLAN_CODE, "email, new_plan",
         f"""WHEN 'invalid_plan' THEN {_say('invalid_plan', 'new_plan')}
             WHEN 'account_blocked' THEN {_say('plan_blocked', 'account_status')}
-            WHEN 'same_plan' THEN {_say('same_plan', 'new_plan')}""",
+            WHEN 'same_plan' THEN {_say('same_plan', 'new_plan')}
+            WHEN 'unknown_stored_plan' THEN 'Unknown plan on the account: ' || subscription_plan""",
         f"""{ok('subscription_plan', 'old_plan')}, {ok(f"'$' || {OLD} || '/month'", 'old_price')},
             {ok(f"'$' || {NEW} || '/month'", 'new_price')},
             {ok(f"CASE WHEN {NEW} > {OLD} THEN 'immediately' ELSE 'next billing cycle' END", 'effective_date')},

@@ -253,7 +253,7 @@ def sample_n(spark, d):
 @query
 def sample_n_ranked(spark, d):
     events = views.table(spark, d, "events")
-    return split.sample_n(events, split.TOP_N_LIMIT + 1, 7, "event_id").select("event_id", "event_type")
+    return split.sample_n(events, 10_001, 7, "event_id").select("event_id", "event_type")
 
 
 @query
@@ -587,7 +587,8 @@ def tool_call_validity(spark, d):
 @query
 def call_requests(spark, d):
     calls = support.with_tool_call(views.agent_texts(spark, d))
-    return support.requests_from_calls(calls).select("request_id", "action", "order_id", "email")
+    out = support.requests_from_calls(calls)
+    return out.select("*", F.col("amount").cast("double").alias("asked")).drop("amount")
 
 
 @query

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from colloquy.functions import fixed_values as fixed
+from colloquy.operators import support
 from colloquy.operators.turns import pairs_from_turns
 from colloquy.sources.tables import read_table
 
@@ -19,9 +21,12 @@ def table(spark: SparkSession, folder: str, name: str, spread: bool = False) ->
 
 
 def pairs(spark: SparkSession, folder: str) -> DataFrame:
-    found = pairs_from_turns(table(spark, folder, "conversations"))
+    turns = table(spark, folder, "conversations")
+    found = pairs_from_turns(turns)
+    # One number for conversation and turn: as many places a conversation as the longest one needs.
+    width = turns.agg(F.max("turn") + 1).scalar()
     return found.select(
-        (F.col("conv_id") * 1000000 + F.col("turn")).alias("example_id"),
+        (F.col("conv_id") * width + F.col("turn")).alias("example_id"),
         "instruction", "response",
         F.concat(F.lit("intent_"), (F.col("conv_id") % 7).cast("string")).alias("intent"),
         F.concat(F.lit("category_"), (F.col("conv_id") % 3).cast("string")).alias("category"),
@@ -70,8 +75,9 @@ def _k(col: str = "props") -> F.Column:
 
 
 def latency(spark: SparkSession, folder: str) -> DataFrame:
+    measured = F.when(F.col("event_id") % 997 == 5, F.lit(float("nan"))).otherwise(F.col("value"))
     return table(spark, folder, "events").select(
-        "event_id", F.col("event_type").alias("label"), F.col("value").alias("latency_ms"),
+        "event_id", F.col("event_type").alias("label"), measured.alias("latency_ms"),
         _k().alias("response_tokens"), F.col("props").alias("prompt"), F.col("event_type").alias("response"),
     )
 
@@ -84,7 +90,10 @@ def _rating(k: F.Column, shift: int) -> F.Column:
         F.lit('{"helpfulness": '), score(0), F.lit(', "accuracy": '), score(1),
         F.lit(', "professionalism": '), score(2), F.lit(', "reasoning": "k'), k.cast("string"), F.lit('"}'),
     )
-    return F.when(k % 10 == 0, "not json").otherwise(text)
+    return (
+        F.when(k % 10 == 0, "not json").when(k % 10 == 3, F.concat(text, F.lit(" That is all.")))
+        .when(k % 10 == 6, F.concat(text, text)).otherwise(text)
+    )
 
 
 def _winner(k: F.Column) -> F.Column:
@@ -92,7 +101,10 @@ def _winner(k: F.Column) -> F.Column:
         F.lit('{"winner": "'), F.when(k % 2 == 0, "A").otherwise("B"), F.lit('", "reasoning": "k'),
         k.cast("string"), F.lit('"}'),
     )
-    return F.when(k % 10 == 0, "no verdict").otherwise(text)
+    return (
+        F.when(k % 10 == 0, "no verdict").when(k % 10 == 3, F.concat(text, F.lit("]")))
+        .when(k % 10 == 6, F.concat(text, F.lit("\n"), text)).otherwise(text)
+    )
 
 
 def replies(spark: SparkSession, folder: str) -> DataFrame:
@@ -143,8 +155,10 @@ def account_state(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "customer").select(
         F.concat(F.lower("c_name"), F.lit("@x")).alias("email"),
         F.when(key % 5 == 3, "suspended").when(key % 5 == 4, "cancelled").otherwise("active").alias("account_status"),
-        F.element_at(plans, (key % 3 + 1).cast("int")).alias("subscription_plan"),
+        F.when(key % 31 == 0, "Legacy").otherwise(F.element_at(plans, (key % 3 + 1).cast("int"))).alias("subscription_plan"),
         F.date_sub(F.lit("1998-01-01").cast("date"), (key % 900).cast("int")).alias("member_since"),
+        (key % 50 + 1).alias("total_orders"),
+        (key * 37 % 5001).alias("loyalty_points"),
         F.concat(F.lit("Card "), F.col("c_mktsegment")).alias("payment_method"),
         F.lit("monthly").alias("billing_cycle"),
         F.date_add(F.lit("1998-02-01").cast("date"), (key % 28).cast("int")).alias("next_billing_date"),
@@ -173,21 +187,43 @@ def requests(spark: SparkSession, folder: str) -> DataFrame:
         F.when(key % 40 == 0, mail).when(key % 37 == 0, F.concat(mail, F.lit("@y")))
         .otherwise(F.concat(mail, F.lit("@x"))).alias("email"),
         F.element_at(plans, (key % 4 + 1).cast("int")).alias("new_plan"),
-        F.when(key % 100 == 0, 0.0).when(key % 101 == 0, 500.0)
+        F.when(key % 100 == 0, 0.0).when(key % 101 == 0, 500.0).when(key % 103 == 0, float("nan"))
         .otherwise(F.floor(F.col("o_totalprice") / 5.0) / 100.0).alias("amount"),
         F.concat(F.col("o_orderpriority"), F.lit(" Road")).alias("new_address"),
+        F.concat(F.lit("status "), F.col("o_orderstatus")).alias("reason"),
+        F.concat(F.lit('the "'), F.col("o_orderpriority"), F.lit('" one')).alias("item_name"),
+        F.concat(F.lit("priority "), F.col("o_orderpriority")).alias("return_reason"),
     )
 
 
+def _call_arguments() -> F.Column:
+    """The arguments of each request's tool as a JSON object, in the order of the catalogue; a reason is optional for cancellations."""
+    def text(name: str, value: F.Column) -> F.Column:
+        return F.concat(F.lit(f'"{name}": "'), F.replace(value, F.lit('"'), F.lit('\\"')), F.lit('"'))
+
+    written = {
+        "order_id": text("order_id", F.col("order_id")), "customer_email": text("customer_email", F.col("email")),
+        "amount": F.when(F.isnan("amount"), F.lit('"amount": "NaN"')).otherwise(F.concat(F.lit('"amount": '), F.format_string("%.2f", "amount"))),
+        **{n: text(n, F.col(n)) for n in ("new_address", "new_plan", "reason", "item_name", "return_reason")},
+    }
+    out = text("order_id", F.col("order_id"))
+    for tool, (needed, optional) in fixed.TOOL_CATALOGUE.items():
+        parts = [written[n] for n in needed] + [F.when(F.col("request_id") % 3 == 0, written[n]) for n in optional]
+        out = F.when(F.col("action") == tool, F.concat_ws(", ", *parts)).otherwise(out)
+    return F.concat(F.lit("{"), out, F.lit("}"))
+
+
 def agent_texts(spark: SparkSession, folder: str) -> DataFrame:
-    """Assistant texts made from the requests; most call a tool, some badly."""
-    key = F.col("request_id")
+    """Assistant texts made from the requests; most call their tool with fitting arguments, some badly."""
+    key, fit = F.col("request_id"), _call_arguments()
     args = (
         F.when(key % 7 == 0, F.lit("{broken"))
-        .when(key % 5 == 0, F.concat(F.lit('{"customer_email": "'), F.col("email"), F.lit('"}')))
-        .otherwise(F.concat(F.lit('{"order_id": "'), F.col("order_id"), F.lit('"}')))
+        .when(key % 17 == 0, F.concat(F.lit('{"order_number": "'), F.col("order_id"), F.lit('"}')))
+        .when(key % 23 == 0, F.concat(fit, fit))
+        .when(key % 29 == 0, F.concat(fit, F.lit(") (as asked")))
+        .otherwise(fit)
     )
-    call = F.concat(F.lit("  TOOL_CALL: "), F.col("action"), F.lit("("), args, F.lit(")"))
+    call = F.concat(F.lit("  TOOL_CALL: "), F.col("action"), F.lit("("), args, F.lit(")"), F.when(key % 19 == 0, " please").otherwise(""))
     text = (
         F.when(key % 11 == 0, F.lit("Our returns desk is open.\nAnything else?"))
         .when(key % 13 == 0, F.concat(F.lit("TOOL_CALL: "), F.col("action")))
@@ -197,13 +233,12 @@ def agent_texts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tool_results(spark: SparkSession, folder: str) -> DataFrame:
-    """Tool calls and results for some conversations, made from the orders."""
-    number = F.col("o_orderkey").cast("string")
-    return table(spark, folder, "orders").where(F.col("o_orderstatus") == "F").select(
-        F.col("o_orderkey").alias("conv_id"),
-        F.concat(F.lit('TOOL_CALL: lookup_order({"order_id": "ORD-'), number, F.lit('"})')).alias("response"),
-        F.concat(F.lit('{"order_id": "ORD-'), number, F.lit('", "status": "delivered"}')).alias("tool_result"),
-    )
+    """Tool calls and whole results of the conversations that a request belongs to (the one with its number)."""
+    texts = agent_texts(spark, folder).select("request_id", "text", F.col("text").alias("response"))
+    asked = table(spark, folder, "conversations").select(F.col("conv_id").alias("request_id"))
+    calls = support.with_tool_call(texts.join(asked, "request_id", "left_semi"))
+    outcomes = support.call_outcomes(calls, order_state(spark, folder), account_state(spark, folder), AS_OF)
+    return outcomes.select(F.col("request_id").alias("conv_id"), F.col("request_id").alias("call"), "response", "tool_result")
 
 
 def judge_errors(spark: SparkSession, folder: str) -> DataFrame:

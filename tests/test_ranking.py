@@ -52,11 +52,30 @@ def test_one_row_strata(spark):
     assert {r["split"]: r["count"] for r in counts} == {"train": 8, "validation": 1, "test": 1}
 
 
-def test_large_sample_equals_top_n(skewed, monkeypatch):
-    small = {r["example_id"] for r in split.sample_n(skewed, 700).collect()}
-    monkeypatch.setattr(split, "TOP_N_LIMIT", 10)
-    assert {r["example_id"] for r in split.sample_n(skewed, 700).collect()} == small
-    assert split.sample_n(skewed, 5000).count() == 3000
+def test_sample_is_the_top_n(skewed, spark):
+    for n in (0, 1, 700, 2999, 3000, 5000):
+        plain = skewed.orderBy(split.seeded_key("example_id", 42), "example_id").limit(n)
+        assert {r["example_id"] for r in split.sample_n(skewed, n).collect()} == {r["example_id"] for r in plain.collect()}, n
+    assert split.sample_n(skewed.where("false"), 3).count() == 0
+    big = spark.range(40_000).withColumnRenamed("id", "example_id").repartition(5)
+    plain = big.orderBy(split.seeded_key("example_id", 1), "example_id").limit(20_011)
+    assert {r[0] for r in split.sample_n(big, 20_011, seed=1).collect()} == {r[0] for r in plain.collect()}
+
+
+def test_split_and_samples_read_the_text_once(spark, tmp_path):
+    spark.range(500).select(F.col("id").alias("example_id"), (F.col("id") % 3).cast("string").alias("intent"), F.repeat(F.lit("x"), 9).alias("text")).write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    for out in (split.stratified_split(table), split.sample_n(table, 50)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert len([x for x in plan.split("\n") if "FileScan" in x and "text" in x.split("]")[0]]) == 1
+        assert not [x for x in plan.split("\n") if "Exchange hashpartitioning" in x and "text" in x]
+
+
+def test_too_many_strata_are_named(skewed, monkeypatch):
+    monkeypatch.setattr(split, "MAX_STRATA", 3)
+    with pytest.raises(Exception, match="too many strata"):
+        split.stratified_split(skewed).collect()
+    assert split.stratified_split(skewed, many_strata=True).count() == 3000
 
 
 def test_sample_per_group_limits_before_the_shuffle(skewed):
@@ -102,8 +121,18 @@ def test_salted_lookup_equals_plain_join(skewed, spark):
     salted = joins.lookup_join(facts, state, "key", "row_id", "st", rows=10).select("row_id", "st.value")
     assert {tuple(r) for r in salted.collect()} == {tuple(r) for r in plain.collect()}
     assert salted.count() == 3000
-    hot = joins.hot_keys(facts, "key", rows=500)
-    assert [r["key"] for r in hot.collect()] == ["hot"]
+    assert facts.limit(1).select(joins.hot_salts(facts, ["key"], rows=500)["key"].alias("m")).first()["m"] == {"hot": 4}
+
+
+def test_hot_keys_are_named_by_a_sketch_and_counted(spark):
+    rows = [("a",)] * 700 + [("b",)] * 300 + [(f"k{i}",) for i in range(2000)] + [(None,)] * 500
+    facts = spark.createDataFrame(rows, "key string").select("key", F.lit(7).alias("other")).repartition(6)
+    maps = joins.hot_salts(facts, ["key", "other"], share=0.05, rows=100)
+    got = facts.limit(1).select(*[maps[k].alias(k) for k in ("key", "other")]).first()
+    assert got["key"] == {"a": 7, "b": 3} and got["other"] == {"7": 35}
+    empty = facts.where("false")
+    state = spark.createDataFrame([("a", 1)], "key string, value int")
+    assert joins.lookup_join(empty.select("key", F.lit(1).alias("row_id")), state, "key", "row_id", "st").collect() == []
 
 
 def test_ranked_window_equals_plain_window(skewed):
@@ -115,14 +144,35 @@ def test_ranked_window_equals_plain_window(skewed):
     }
 
 
-def test_many_values_in_one_coarse_bucket(spark):
-    values = np.random.default_rng(3).permutation(100_000) / 1e9  # all below the first step of the coarse grid
-    df = spark.createDataFrame([(float(v),) for v in values], "v double")
-    coarse = df.select(ranking._value_bucket(F.col("v")).alias("b")).distinct().count()
-    at = {"p50": ranking.linear_position(0.5), "p95": ranking.linear_position(0.95)}
-    row = ranking.order_statistics(df, "v", [], at).first()
-    assert coarse == 1 and np.isclose(row["p50"], np.quantile(values, 0.5)) and np.isclose(row["p95"], np.quantile(values, 0.95))
-    near = df.select(F.lit(0).alias("__group"), F.lit(0.0).alias("__bucket"), F.col("v").alias("__value"), F.lit(1).alias("__times"),
-                     F.lit(0).alias("__before"), F.array(F.lit(50_000)).alias("__spots"))
-    kept = ranking._refined(near, F.exists("__spots", lambda p: (p >= F.col("__before")) & (p < F.col("__before") + F.col("__rows"))))
-    assert kept.count() < 100
+@pytest.mark.parametrize("shape", ["narrow band", "heavy ties", "two bands"])
+def test_large_groups_are_bracketed_twice(spark, shape):
+    rng = np.random.default_rng(3)
+    values = rng.permutation(100_000) / 1e9
+    if shape == "heavy ties":
+        values[:40_000] = 5e-5
+        values[40_000:60_000] = 9.5e-5
+    elif shape == "two bands":
+        values[:95_001] -= 1e6
+    rows = [(float(v), i % 2) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "v double, g int").repartition(7)
+    at = {f"p{q}": ranking.linear_position(q / 100) for q in (0, 1, 50, 95, 100)} | {"r95": ranking.rank_position(0.95)}
+    out = ranking.order_statistics(df, "v", [], at)
+    row = out.first()
+    for q in (0, 1, 50, 95, 100):
+        assert row[f"p{q}"] == pytest.approx(np.quantile(values, q / 100), rel=1e-12), q
+    assert row["r95"] == sorted(values)[95_000] and row["n"] == 100_000
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 3 and "Window" not in plan
+    by_group = {r["g"]: r for r in ranking.order_statistics(df, "v", ["g"], at).collect()}
+    for g in (0, 1):
+        assert by_group[g]["p95"] == pytest.approx(np.quantile([v for v, k in rows if k == g], 0.95), rel=1e-12)
+
+
+def test_further_aggregates_come_from_the_first_pass(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", None), ("b", float("nan"))], "g string, v double")
+    also = [F.count(F.lit(1)).alias("rows")]
+    got = {r["g"]: (r["rows"], r["n"], r["m"]) for r in ranking.order_statistics(df, "v", ["g"], {"m": ranking.linear_position(0.5)}, also).collect()}
+    assert got == {"a": (2, 2, 2.0), "b": (2, 0, None)}
+    empty = ranking.order_statistics(df.where("false"), "v", [], {"m": ranking.linear_position(0.5)}, also).collect()
+    assert [(r["rows"], r["n"], r["m"]) for r in empty] == [(0, 0, None)]
+    assert ranking.order_statistics(df.where("false"), "v", ["g"], {"m": ranking.linear_position(0.5)}, also).collect() == []
