@@ -267,7 +267,7 @@ WRITTEN = [
     ("the GNU General Public License v3", "gpl,gpl-3.0"), ("Apache License v2.0", "apache,apache-2.0"), ("version 2 of the GNU GPL", "gpl-2.0"), ("GPL-2.0+", "gpl-2.0-or-later"),
     ("EUPL v1.2", "eupl-1.2"), ("released under the BSD 3-clause licence", "bsd-3-clause"), ("MPL 2.0", "mpl-2.0"), ("under the MIT", "mit"), ("SPDX-License-Identifier: GPL-3.0-or-later", "gpl-3.0-or-later"),
     ("GNU Lesser General Public Licence version 2.1 or (at your option) any later version", "lgpl-2.1-or-later"), ("Apache 2.0 server", ""), ("we reply, see under the tree; general software of the project was released", ""),
-    ("2+3 licensed GPL 2+3", "gpl"), ("Kelvin \u212aK licence", ""), ("GPL 2 or, later, something", "gpl-2.0"),
+    ("2+3 licensed GPL 2+3", "gpl"), ("Kelvin \u212aK licence", ""), ("GPL 2 or, later, something", "gpl-2.0-or-later"),
 ]
 
 
