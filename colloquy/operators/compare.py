@@ -63,9 +63,12 @@ def leaderboard(
     metrics: DataFrame, judge: DataFrame | None = None,
     columns: tuple[str, ...] = ("perplexity", "rougeL", "bleu", "bertscore_f1", "avg_latency_ms"),
     judge_columns: tuple[str, ...] = ("avg_composite", "win_rate"),
-    display: bool = False,
+    display: bool = False, attributes: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per model label. A value that is missing is null, or ``N/A`` for display."""
+    """One row per model label. A value that is missing is null, or ``N/A`` for display.
+
+    ``attributes`` (see :func:`run_attributes`) adds what the runs were made with, for the labels on the board.
+    """
     absent = F.lit(None).cast("double")
     board = metrics.select(
         "label", *[(F.col(c).cast("double") if c in metrics.columns else absent).alias(c) for c in columns]
@@ -75,33 +78,48 @@ def leaderboard(
         scores = judge.select("label", *[F.col(c).cast("double").alias(c) for c in judge_columns])
         board = board.join(scores, "label", "full_outer")
         names += judge_columns
+    if attributes is not None:
+        more = [c for c in attributes.columns if c != "label"]
+        board = board.join(attributes, "label", "left").select(*board.columns, *more)
+        names += more
     if display:
         board = board.select("label", *[F.coalesce(F.col(c).cast("string"), F.lit("N/A")).alias(c) for c in names])
     return board
 
 
+def run_attributes(configs: DataFrame, paths: dict[str, str], config: str = "config") -> DataFrame:
+    """``label`` and a column for each path into its run's nested configuration.
+
+    ``configs`` has ``label`` and a JSON text, read as a semi-structured value, so runs may differ in what they set. ``paths`` maps a column to a path and a type,
+    as in ``{"rank": "$.lora.r bigint"}``; what a configuration lacks, or has in another type, is null, and so is a text that is not JSON.
+    """
+    parsed = configs.select("label", F.try_parse_json(config).alias("__config"))
+    return parsed.select("label", *[F.try_variant_get("__config", *path.split(" ", 1)).alias(name) for name, path in paths.items()])
+
+
 def leaderboard_by_metric(board: DataFrame, labels: list[str]) -> DataFrame:
-    """The leaderboard turned round: one row per metric, one column per listed label."""
-    names = [c for c in board.columns if c != "label"]
-    long = board.unpivot(["label"], names, "metric", "value")
+    """The leaderboard turned round: one row per number on it, one column per listed label."""
+    numbers = ("double", "float", "bigint", "int")
+    names = [c for c, kind in board.dtypes if c != "label" and (kind in numbers or kind.startswith("decimal"))]
+    long = board.select("label", *[F.col(c).cast("double").alias(c) for c in names]).unpivot(["label"], names, "metric", "value")
     return long.groupBy("metric").pivot("label", labels).agg(F.first("value", ignorenulls=True))
 
 
-def compare_judge(base: DataFrame, candidate: DataFrame) -> DataFrame:
-    """``metric, base, candidate, delta, verdict`` of two judge aggregates.
+def compare_judge(base: DataFrame, candidate: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """``metric, base, candidate, delta, verdict`` of two judge aggregates; with ``by``, of each candidate row with the one base row.
 
     A missing average counts as 0, and no change counts as worse.
     """
-    metrics = fixed.JUDGE_METRICS
-    both = _long(base, metrics, [], "base").join(
-        _long(candidate, metrics, [], "candidate"), "metric", "full_outer"
+    metrics, by = fixed.JUDGE_METRICS, by or []
+    both = _long(candidate, metrics, by, "candidate").join(
+        _long(base, metrics, [], "base"), "metric", "left" if by else "full_outer"
     )
     filled = both.select(
-        "metric", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("base", "candidate")]
+        *by, "metric", *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("base", "candidate")]
     )
     delta = F.col("candidate") - F.col("base")
     return filled.select(
-        "metric", "base", "candidate", delta.alias("delta"),
+        *by, "metric", "base", "candidate", delta.alias("delta"),
         F.when(delta > 0, "better").otherwise("worse").alias("verdict"),
     )
 

@@ -79,9 +79,9 @@ def greedy_match(
     )
 
 
-def greedy_match_means(scores: DataFrame) -> DataFrame:
-    """The means over pairs, named as in a metrics record."""
-    return scores.agg(
+def greedy_match_means(scores: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """The means over pairs, named as in a metrics record; one row, or one per group."""
+    return scores.groupBy(*(by or [])).agg(
         F.avg("precision").alias("bertscore_precision"),
         F.avg("recall").alias("bertscore_recall"),
         F.avg("f1").alias("bertscore_f1"),

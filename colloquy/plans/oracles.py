@@ -30,6 +30,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
                END AS flags
         FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id"""),
     "pred_base": (["pairs"], "SELECT *, instruction AS prediction, length(response) * 2.5::DOUBLE AS latency_ms FROM pairs"),
+    "runs": (["pred_base"], "SELECT *, ['click', 'error', 'purchase', 'signup', 'view'][example_id % 5 + 1] AS run FROM pred_base"),
     "pred_ft": (["pairs"], """
         SELECT *, substr(response, 1, length(response) // 2) AS prediction,
                length(instruction) * 12.5::DOUBLE AS latency_ms FROM pairs"""),
@@ -611,6 +612,39 @@ def _delta_rows(names: list[str], left: str, right: str) -> str:
     )
 
 
+def _scored_rows(source: str, n: int) -> str:
+    return sql(f"SELECT example_id, f FROM ({_rouge_rows(n)})", source, extra=_gram_ctes(source, "example_id", _rouge_tokens, [n]))
+
+
+def _record(source: str, tag: str, by: str | None) -> str:
+    """The CTEs of a whole metrics record, one row or one per ``by``; ends in ``full_{tag}``, not rounded."""
+    bleu = _bleu_sql(source, by).replace(f", {DIGITS}) AS bleu", ", 15) AS bleu")
+    group, key = (f"GROUP BY x.{by}", f"x.{by}, ") if by else ("", "")
+    return ",".join([_lcs_ctes(source, tag), _lsum_ctes(source, tag)]) + f""",
+        bleu_all_{tag} AS ({bleu}),
+        full_{tag} AS (
+            SELECT {key}count(*) AS n_samples, (SELECT any_value(bleu) FROM bleu_all_{tag} b {f'WHERE b.{by} = x.{by}' if by else ''}) AS bleu,
+                   avg(r1.f) AS rouge1, avg(r2.f) AS rouge2, avg(l.f) AS "rougeL", avg(u.f) AS "rougeLsum",
+                   avg(len(regexp_extract_all(prediction, '{WORDS}'))) AS avg_pred_length, avg(len(regexp_extract_all(response, '{WORDS}'))) AS avg_ref_length,
+                   avg(latency_ms) AS avg_latency_ms, quantile_cont(latency_ms, 0.95) AS p95_latency_ms
+            FROM {source} x JOIN ({_scored_rows(source, 1)}) r1 ON r1.example_id = x.example_id JOIN ({_scored_rows(source, 2)}) r2 ON r2.example_id = x.example_id
+            JOIN lcs_{tag} l ON l.example_id = x.example_id JOIN lsum_{tag} u ON u.example_id = x.example_id {group})"""
+
+
+RECORD_COLUMNS = ["bleu", "rouge1", "rouge2", '"rougeL"', '"rougeLsum"', "avg_pred_length", "avg_ref_length", "avg_latency_ms", "p95_latency_ms"]
+FULL = ", ".join(f"round({c}, {DIGITS}) AS {c}" for c in RECORD_COLUMNS) + f", {r('avg_pred_length / greatest(avg_ref_length, 1)', 'length_ratio')}"
+LABELS = "['click', 'error', 'purchase', 'signup', 'view']"
+BOARD = f"""
+    {_record("runs", "runs", "run").strip()},
+    losses AS (SELECT label, exp(avg(latency_ms / 100)) AS perplexity FROM latency GROUP BY label), {GREEDY.strip()},
+    matched_runs AS (SELECT {LABELS}[pair_id % 5 + 1] AS label, avg(f1) AS bertscore_f1 FROM greedy GROUP BY ALL),
+    made AS (SELECT {LABELS}[r_regionkey % 5 + 1] AS label, r_name AS base_model, CAST(4 * 2 ** r_regionkey AS BIGINT) AS rank, 'q_proj' AS first_module,
+                    CASE WHEN r_regionkey <> 3 THEN round(0.0002::DOUBLE / (r_regionkey + 1), 6) END AS learning_rate FROM region),
+    board AS (SELECT coalesce(f.run, j.label) AS label, perplexity, f."rougeL", f.bleu, bertscore_f1, f.avg_latency_ms, avg_composite, base_model, rank, first_module, learning_rate
+              FROM full_runs f FULL JOIN judged j ON j.label = f.run LEFT JOIN losses l ON l.label = f.run LEFT JOIN matched_runs m ON m.label = f.run
+              LEFT JOIN made a ON a.label = coalesce(f.run, j.label))"""
+
+
 ORACLES: dict[str, str] = {
     "scan_table": "SELECT doc_id, lang, source, n_chars FROM documents",
     "profile_basic": sql(
@@ -745,6 +779,9 @@ ORACLES: dict[str, str] = {
         extra=_gram_ctes("pred_base", "example_id", _rouge_tokens, [1, 2])),
     "rouge_l": sql(f"SELECT {r('avg(f)', 'rougeL')} FROM lcs_base", "pred_base", extra=_lcs_ctes("pred_base", "base")),
     "rouge_lsum": sql(f"SELECT {r('avg(f)', 'rougeLsum')} FROM lsum_base", "pred_base", extra=_lsum_ctes("pred_base", "base")),
+    "metrics_for": sql(f"SELECT 'base' AS label, 'models/base' AS model_path, n_samples, {FULL} FROM full_base", "pred_base", extra=_record("pred_base", "base", None)),
+    "metrics_by_slice": sql(
+        f"SELECT category, 'base' AS label, 'models/base' AS model_path, n_samples, {FULL} FROM full_base", "pred_base", extra=_record("pred_base", "base", "category")),
     "compare_full": sql(
         f"""SELECT metric, {r('b', 'base')}, {r('c', 'candidate')}, {r('c - b', 'delta')},
                    round(CASE WHEN b <> 0 THEN (c - b) / b * 100 ELSE 0 END, {DIGITS}) AS pct,
@@ -801,36 +838,31 @@ ORACLES: dict[str, str] = {
                    {r('(SELECT avg_pred_length / greatest(avg_ref_length, 1) FROM rec_ft)', 'finetuned_length_ratio')}""",
         "pred_base", "pred_ft", extra=TWO_RECORDS),
     "metrics_extended": sql(
-        f"""SELECT 'base' AS label, bleu, {r('avg_pred_length', 'avg_pred_length')}, {r('avg_ref_length', 'avg_ref_length')},
-                   {r('avg_pred_length / greatest(avg_ref_length, 1)', 'length_ratio')}, {r('avg_latency_ms', 'avg_latency_ms')},
-                   {r('p95_latency_ms', 'p95_latency_ms')},
+        f"""SELECT 'base' AS label, 'models/base' AS model_path, n_samples, {FULL},
                    (SELECT {r('exp(avg(latency_ms / 100))', 'p')} FROM latency) AS perplexity,
                    (SELECT {r('avg(precision)', 'p')} FROM greedy) AS bertscore_precision,
                    (SELECT {r('avg(recall)', 'p')} FROM greedy) AS bertscore_recall, (SELECT {r('avg(f1)', 'p')} FROM greedy) AS bertscore_f1
-            FROM rec_base""", "pred_base", "pred_ft", "latency", extra=TWO_RECORDS + "," + GREEDY),
+            FROM full_base""", "pred_base", "latency", extra=_record("pred_base", "base", None) + "," + GREEDY),
     "metrics_rounded": sql(
         """SELECT round(bleu, 4) AS bleu, round(avg_pred_length, 1) AS avg_pred_length, round(avg_ref_length, 1) AS avg_ref_length,
                   round(avg_pred_length / greatest(avg_ref_length, 1), 3) AS length_ratio, round(avg_latency_ms, 1) AS avg_latency_ms,
                   round(p95_latency_ms, 1) AS p95_latency_ms, 'base' AS label
            FROM rec_base""", "pred_base", "pred_ft", extra=TWO_RECORDS),
     "leaderboard": sql(
-        f"""SELECT coalesce(m.label, j.label) AS label, NULL::DOUBLE AS perplexity, NULL::DOUBLE AS "rougeL", bleu,
-                   NULL::DOUBLE AS bertscore_f1, {r('avg_latency_ms', 'avg_latency_ms')}, {r('avg_composite', 'avg_composite')}
-            FROM (SELECT 'click' AS label, * FROM rec_base UNION ALL SELECT 'view', * FROM rec_ft) m
-            FULL JOIN judged j ON j.label = m.label""", "pred_base", "pred_ft", "judged", extra=TWO_RECORDS),
+        "SELECT label, base_model, rank, first_module, " + ", ".join(f"round({c}, {DIGITS}) AS {c}" for c in (
+            "perplexity", '"rougeL"', "bleu", "bertscore_f1", "avg_latency_ms", "avg_composite", "learning_rate")) + " FROM board",
+        "runs", "latency", "judged", extra=BOARD),
     "leaderboard_by_metric": sql(
-        f"""SELECT metric, {r('b', 'click')}, {r('c', 'view')} FROM (
-              {_delta_rows(['bleu', 'avg_latency_ms'], 'rec_base', 'rec_ft')}
-              UNION ALL SELECT 'avg_composite', (SELECT avg_composite FROM judged WHERE label = 'click'),
-                               (SELECT avg_composite FROM judged WHERE label = 'view')
-              UNION ALL SELECT unnest(['perplexity', 'rougeL', 'bertscore_f1']), NULL, NULL)""",
-        "pred_base", "pred_ft", "judged", extra=TWO_RECORDS),
+        f"""SELECT metric, {', '.join(f"round(max(value) FILTER (label = '{x}'), {DIGITS}) AS {x}" for x in ('click', 'error', 'purchase', 'signup', 'view'))}
+            FROM ({' UNION ALL '.join(f"SELECT label, '{m}' AS metric, CAST({c} AS DOUBLE) AS value FROM board" for m, c in (
+                ('perplexity', 'perplexity'), ('rougeL', '"rougeL"'), ('bleu', 'bleu'), ('bertscore_f1', 'bertscore_f1'), ('avg_latency_ms', 'avg_latency_ms'),
+                ('avg_composite', 'avg_composite'), ('rank', 'rank'), ('learning_rate', 'learning_rate')))}) GROUP BY metric""",
+        "runs", "latency", "judged", extra=BOARD),
     "compare_judge": sql(
-        f"""SELECT metric, {r('b', 'base')}, {r('c', 'candidate')}, {r('c - b', 'delta')},
-                   CASE WHEN c - b > 0 THEN 'better' ELSE 'worse' END AS verdict FROM (
-              SELECT metric, coalesce(b, 0) AS b, coalesce(c, 0) AS c FROM (
-                {_delta_rows(fixed.JUDGE_METRICS, "(SELECT * FROM judged WHERE label = 'click')",
-                             "(SELECT * FROM judged WHERE label = 'view')")}))""", "judged"),
+        f"""SELECT label, metric, {r('b', 'base')}, {r('c', 'candidate')}, {r('c - b', 'delta')},
+                   CASE WHEN c - b > 0 THEN 'better' ELSE 'worse' END AS verdict FROM ({' UNION ALL '.join(
+                       f"SELECT label, '{m}' AS metric, coalesce((SELECT {m} FROM judged WHERE label = 'click'), 0) AS b, coalesce({m}, 0) AS c FROM judged WHERE label <> 'click'"
+                       for m in fixed.JUDGE_METRICS)})""", "judged"),
     "example_sheet": sql(
         """SELECT b.instruction, b.prediction AS base_prediction, f.prediction AS ft_prediction, b.response, b.intent, b.category
            FROM s b JOIN pred_ft f ON f.example_id = b.example_id""", "pred_base", "pred_ft",

@@ -382,11 +382,11 @@ def metrics_rounded(spark, d):
 
 @query
 def metrics_extended(spark, d):
-    """A record with perplexity and the greedy-match means beside the text metrics."""
+    """A whole record with perplexity and the greedy-match means beside the text metrics."""
     losses = views.latency(spark, d).withColumn("loss", F.col("latency_ms") / 100)
     cand, ref = views.token_vectors(spark, d)
     return _record_columns(metrics.with_model_scores(
-        _simple_record(views.pred_base(spark, d), "base"), metrics.perplexity(losses, "loss"),
+        metrics.metrics_for(views.pred_base(spark, d), "base", "models/base"), metrics.perplexity(losses, "loss"),
         embeddings.greedy_match_means(embeddings.greedy_match(cand, ref)),
     ))
 
@@ -440,12 +440,23 @@ def combine_records(spark, d):
     )
 
 
+# What the board shows of a run's configuration.
+ATTRIBUTES = {"base_model": "$.model.base string", "rank": "$.lora.r bigint", "first_module": "$.lora.target_modules[0] string", "learning_rate": "$.training.learning_rate double"}
+
+
 def _board(spark, d) -> DataFrame:
-    records = compare.stack_records(
-        _simple_record(views.pred_base(spark, d), "click"), _simple_record(views.pred_ft(spark, d), "view")
+    """Every label is a run: a fifth of the pairs, its losses, its token vectors, its judged replies and its configuration."""
+    rows = views.pred_base(spark, d).withColumn("run", views.label_of(F.col("example_id")))
+    records = metrics.metrics_for(rows, "run", "models/run", ["run"]).drop("label").withColumnRenamed("run", "label")
+    losses = views.latency(spark, d).withColumn("loss", F.col("latency_ms") / 100)
+    cand, ref = views.token_vectors(spark, d)
+    match = embeddings.greedy_match(cand, ref).withColumn("label", views.label_of(F.col("pair_id")))
+    records = metrics.with_model_scores(
+        records, metrics.perplexity(losses, "loss", ["label"]), embeddings.greedy_match_means(match, ["label"]), ["label"]
     )
     scored = _judged(spark, d, ["label"]).select("label", "avg_composite")
-    return compare.leaderboard(records, scored, judge_columns=("avg_composite",))
+    attributes = compare.run_attributes(views.run_configs(spark, d), ATTRIBUTES)
+    return compare.leaderboard(records, scored, judge_columns=("avg_composite",), attributes=attributes)
 
 
 def _judged(spark, d, by) -> DataFrame:
@@ -455,20 +466,18 @@ def _judged(spark, d, by) -> DataFrame:
 
 @query
 def leaderboard(spark, d):
-    return near(_board(spark, d), "bleu", "avg_latency_ms", "avg_composite")
+    return _record_columns(_board(spark, d))
 
 
 @query
 def leaderboard_by_metric(spark, d):
-    return near(compare.leaderboard_by_metric(_board(spark, d), ["click", "view"]), "click", "view")
+    return near(compare.leaderboard_by_metric(_board(spark, d), views.LABELS), *views.LABELS)
 
 
 @query
 def compare_judge(spark, d):
     scored = _judged(spark, d, ["label"])
-    out = compare.compare_judge(
-        scored.where(F.col("label") == "click"), scored.where(F.col("label") == "view")
-    )
+    out = compare.compare_judge(scored.where("label = 'click'"), scored.where("label != 'click'"), ["label"])
     return near(out, "base", "candidate", "delta")
 
 

@@ -241,6 +241,25 @@ def tool_results(spark: SparkSession, folder: str) -> DataFrame:
     return outcomes.select(F.col("request_id").alias("conv_id"), F.col("request_id").alias("call"), "response", "tool_result")
 
 
+# The labels of the events, which stand for runs.
+LABELS = ["click", "error", "purchase", "signup", "view"]
+
+
+def label_of(number: F.Column) -> F.Column:
+    return F.element_at(F.array(*map(F.lit, LABELS)), (F.pmod(number, F.lit(len(LABELS))) + 1).cast("int"))
+
+
+def run_configs(spark: SparkSession, folder: str) -> DataFrame:
+    """A nested configuration for each run, made from the regions; one run does not set its rate."""
+    key = F.col("r_regionkey").cast("bigint")
+    training = F.when(key != 3, F.format_string('{"learning_rate": %.6f, "epochs": 3}', 0.0002 / (key + 1))).otherwise('{"epochs": 1}')
+    config = F.concat(
+        F.lit('{"model": {"base": "'), F.col("r_name"), F.lit('"}, "lora": {"r": '), F.expr("cast(shiftleft(4L, cast(r_regionkey as int)) as string)"),
+        F.lit(', "target_modules": ["q_proj", "v_proj"]}, "training": '), training, F.lit("}"),
+    )
+    return table(spark, folder, "region").select(label_of(key).alias("label"), config.alias("config"))
+
+
 def judge_errors(spark: SparkSession, folder: str) -> DataFrame:
     """Error texts of a remote judge, made from the events."""
     k = F.col("k")
