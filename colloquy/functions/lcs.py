@@ -24,14 +24,52 @@ def tokens_of(text: str) -> list[str]:
     return _TOKENS.findall(text)
 
 
-def _columns_by_token(tokens: list[str]) -> dict[str, int]:
+# Up to this many tokens a line keeps a bit row for each token; of a longer one only tokens with so many places do, others are made when asked for.
+SHORT_LINE, MANY_PLACES = 2048, 1024
+
+
+class _Places:
+    """The places of each token of a long line, as a bit row on request."""
+
+    def __init__(self, tokens: list[str | None]):
+        self.width = len(tokens)
+        self.places: dict[str | None, list[int]] = {}
+        for j, token in enumerate(tokens):
+            self.places.setdefault(token, []).append(j)
+        self.rows = {t: self._row(at) for t, at in self.places.items() if len(at) >= MANY_PLACES}
+
+    def _row(self, at: list[int]) -> int:
+        if len(at) == 1:
+            return 1 << at[0]
+        bits = bytearray(self.width // 8 + 1)
+        for j in at:
+            bits[j >> 3] |= 1 << (j & 7)
+        return int.from_bytes(bits, "little")
+
+    def get(self, token: str, default: int = 0) -> int:
+        row = self.rows.get(token)
+        if row is None and token in self.places:
+            row = self._row(self.places[token])
+        return default if row is None else row
+
+    def keys(self):
+        return self.places.keys()
+
+    def pop(self, token: str | None, default: None = None) -> None:
+        self.places.pop(token, default)
+        self.rows.pop(token, default)
+
+
+def _columns_by_token(tokens: list[str]) -> dict[str, int] | _Places:
+    if len(tokens) > SHORT_LINE:
+        return _Places(tokens)
     places: dict[str, int] = {}
     for j, token in enumerate(tokens):
         places[token] = places.get(token, 0) | (1 << j)
     return places
 
 
-def _rows(rows: list[str], width: int, places: dict[str, int], state: int | None = None):
+def _rows(rows: list[str], width: int, places: dict[str, int] | _Places, state: int | None = None):
     """Yield, after each row token, the bits that are 0 where the LCS length steps up; ``state`` is that of the row before."""
     full = (1 << width) - 1
     state = full if state is None else state
@@ -65,7 +103,7 @@ def _condensed(candidate: list[str], shared: set[str]) -> list[str | None]:
 
 
 def lcs_reference_positions(
-    reference: list[str], candidate: list[str], places: dict[str, int] | None = None
+    reference: list[str], candidate: list[str], places: dict[str, int] | _Places | None = None
 ) -> set[int]:
     """Positions in ``reference`` of one LCS.
 
@@ -74,7 +112,7 @@ def lcs_reference_positions(
 
     Reference tokens that the candidate lacks are never taken and change no length, so only the others are rows of the table. Of
     its m rows every sqrt(m)-th is kept; the rows between two of them are made again when the trace gets there, so the memory is
-    that of 2 sqrt(m) rows.
+    that of 2 sqrt(m) rows and, for long lines, of the bit rows of its few frequent tokens.
     """
     known = places.keys() if places is not None else set(candidate)
     rows = [i for i, token in enumerate(reference) if token in known]

@@ -1,3 +1,6 @@
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,3 +113,27 @@ def test_histogram_edges(spark):
     same = spark.createDataFrame([("abc",), ("xyz",)], "t string")
     assert [tuple(r) for r in profile.histogram(same, "t", 5).collect()] == [(0, 3.0, 3.0, 2)]
     assert profile.histogram(df.where("false"), "t", 5).count() == 0
+
+
+def test_dedup_equals_brute_force(spark):
+    rng = random.Random(5)
+    rows = [(rng.choice([None, *range(40)]), rng.choice("abc") * rng.choice([1, 2]), rng.choice(["x", "y", None])) for _ in range(300)]
+    df = spark.createDataFrame([(*r, n) for n, r in enumerate(rows)], "example_id long, instruction string, response string, n long").repartition(5)
+    got = Counter((r["instruction"], r["response"], r["example_id"]) for r in clean.dedup_first(df, ["instruction", "response"], "example_id").collect())
+    least = {}
+    for order, a, b in rows:
+        if order is not None:
+            least[a, b] = min(order, least.get((a, b), order))
+    assert got == Counter((a, b, order) for (a, b), order in least.items())
+
+
+def test_rows_that_cannot_lose_are_not_shuffled(spark, tmp_path):
+    spark.range(2000).select(F.col("id").alias("example_id"), F.concat(F.lit("question number "), (F.col("id") % 1990).cast("string")).alias("instruction"),
+                             F.repeat(F.lit("a long enough answer "), 20).alias("response")).write.parquet(f"{tmp_path}/t")
+    out = clean.dedup_first(spark.read.parquet(f"{tmp_path}/t"), ["instruction", "response"], "example_id")
+    assert out.count() == 1990
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    # The first branch of the union, the rows that pass through, meets nothing but the broadcast map; the others also the narrow table of losers.
+    branches = plan.split("\n:- ")[0], *plan.split("\n:- ")[1:]
+    through = branches[1].split("\n+- ")[0]
+    assert plan.startswith("Union") and "strategy=broadcast" in through

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from colloquy.functions import fixed_values as fixed
 from colloquy.operators import compare, judge
 
 SCORES = "helpfulness double, accuracy double, professionalism double"
@@ -160,3 +161,33 @@ def test_nan_is_skipped(spark):
     base = spark.createDataFrame([(float("nan"), 1.0)], "bleu double, rouge1 double")
     tuned = spark.createDataFrame([(0.5, 2.0)], "bleu double, rouge1 double")
     assert [r["metric"] for r in compare.compare(base, tuned).collect()] == ["rouge1"]
+
+
+def test_run_attributes_of_nested_configurations(spark):
+    configs = spark.createDataFrame([
+        ("a", '{"lora": {"r": 16, "modules": ["q", "v"]}, "lr": 2e-4}'), ("b", '{"lora": {}, "lr": "high"}'), ("c", "not json"), ("d", None)], "label string, config string")
+    paths = {"rank": "$.lora.r bigint", "second": "$.lora.modules[1] string", "rate": "$.lr double"}
+    rows = {r["label"]: (r["rank"], r["second"], r["rate"]) for r in compare.run_attributes(configs, paths).collect()}
+    assert rows == {"a": (16, "v", 0.0002), "b": (None, None, None), "c": (None, None, None), "d": (None, None, None)}
+    board = compare.leaderboard(record(spark, bleu=0.1).withColumn("label", F.lit("a")), attributes=compare.run_attributes(configs, paths))
+    assert board.first()["rank"] == 16
+    turned = {r["metric"]: r["a"] for r in compare.leaderboard_by_metric(board, ["a"]).collect()}
+    assert turned["rank"] == 16.0 and "second" not in turned
+
+
+def test_each_candidate_with_the_base(spark):
+    scores = spark.createDataFrame([("a", 4.0, 4.0, 4.0, 4.0), ("b", 5.0, 3.0, 4.0, 4.0), ("c", None, 1.0, 1.0, 1.0)], "label string, " + ", ".join(f"{m} double" for m in fixed.JUDGE_METRICS))
+    rows = compare.compare_judge(scores.where("label = 'a'"), scores.where("label != 'a'"), ["label"]).collect()
+    got = {(r["label"], r["metric"]): (r["base"], r["candidate"], r["verdict"]) for r in rows}
+    assert len(got) == 8 and got["b", "avg_helpfulness"] == (4.0, 5.0, "better") and got["c", "avg_helpfulness"] == (4.0, 0.0, "worse")
+
+
+def test_nothing_runs_while_positions_are_planned(spark):
+    context = spark.sparkContext
+    context.setJobGroup("planning", "no job may run")
+    try:
+        aligned = judge.align_predictions(predictions(spark, "b"), predictions(spark, "f"))
+        jobs = context.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        context._jsc.clearJobGroup()
+    assert list(jobs) == [] and aligned.count() == predictions(spark, "b").count()

@@ -1,6 +1,8 @@
 import datetime as dt
+import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from colloquy.operators import support
 
@@ -206,3 +208,55 @@ def test_money_nan_and_unknown_stored_plan(spark):
     rows = {r["request_id"]: r for r in support.plan_change(plans, accounts).collect()}
     assert len(rows) == 2 and rows[2]["code"] == "ok"
     assert (rows[1]["code"], rows[1]["success"]) == ("unknown_stored_plan", None)
+
+
+def test_answers_are_whole_and_as_json_dumps_writes_them(spark):
+    orders = spark.createDataFrame(
+        [("ORD-1", "shipped", "1998-01-02", "1998-01-08", "UPS", "UP1", [("a \"b\"", 2, 1.5)], 3.0, "1 é St"), ("ORD-2", "delivered", "1998-01-02", "1998-01-08", "DHL", "DH2", [], 9.99, "2 St")],
+        "order_id string, status string, order_date string, estimated_delivery string, carrier string, tracking_number string, "
+        "items array<struct<name string, quantity int, price double>>, total double, shipping_address string",
+    ).withColumns({c: F.col(c).cast("date") for c in ("order_date", "estimated_delivery")})
+    accounts = spark.createDataFrame([("a@x", "active", "Basic", "Card"), ("b@x", "suspended", "Basic", "Card")], "email string, account_status string, subscription_plan string, payment_method string").withColumns(
+        {"member_since": F.lit("1990-05-06").cast("date"), "billing_cycle": F.lit("monthly"), "next_billing_date": F.lit("1998-02-03").cast("date")})
+    calls = [
+        ('lookup_order({"order_id": "ORD-1"})', {"order_id": "ORD-1", "status": "shipped", "order_date": "1998-01-02", "estimated_delivery": "1998-01-08", "carrier": "UPS", "tracking_number": "UP1",
+                                               "items": [{"name": 'a "b"', "quantity": 2, "price": 1.5}], "total": 3.0, "shipping_address": "1 é St"}),
+        ('cancel_order({"order_id": "ORD-1"})', {"success": False, "error": "Cannot cancel — order is already shipped. Please use our return process once the package arrives."}),
+        ('lookup_order({"order_id": "ORD-2"})', {"order_id": "ORD-2", "status": "delivered", "order_date": "1998-01-02", "estimated_delivery": "1998-01-08", "carrier": "DHL", "tracking_number": "DH2",
+                                               "items": [], "total": 9.99, "shipping_address": "2 St", "delivered_date": "1998-01-07"}),
+        ('update_subscription({"customer_email": "a@x", "new_plan": "Premium"})', {
+            "success": True, "email": "a@x", "old_plan": "Basic", "new_plan": "Premium", "old_price": "$9.99/month", "new_price": "$39.99/month", "effective_date": "immediately",
+            "proration_credit": "$30.00", "message": "Upgraded from Basic to Premium. New features are available now."}),
+        ('update_subscription({"customer_email": "b@x", "new_plan": "Premium"})', {"success": False, "error": "Cannot change plan — account is suspended."}),
+        ('process_refund({"customer_email": "a@x", "order_id": "ORD-1", "amount": 501, "reason": "r"})', {
+            "success": False, "error": "Refund of $501.00 exceeds the automated limit ($500). A senior agent will review and process this within 24 hours.", "escalated": True}),
+        ('cancel_subscription({"customer_email": "a@x"})', {
+            "success": True, "email": "a@x", "cancellation_date": "1998-01-10", "access_until": "1998-02-03", "reason": None,
+            "message": "Subscription cancelled. You'll retain access until 1998-02-03. No further charges will be made.", "reactivation_info": "You can reactivate your subscription at any time."}),
+        ('unlock_account({"customer_email": "nobody"})', {"error": "Invalid email address: nobody"}),
+        ('fly({})', {"error": "Unknown tool: fly"}), ('lookup_order({"x": 1})', {"error": "Tool call failed"}),
+    ]
+    table = spark.createDataFrame([(i, "TOOL_CALL: " + c) for i, (c, _) in enumerate(calls)], "request_id long, text string").withColumn("extra", F.lit("kept"))
+    rows = {r["request_id"]: r for r in support.call_outcomes(support.with_tool_call(table), orders, accounts, "1998-01-10 10:00:00").collect()}
+    for i, (_, want) in enumerate(calls):
+        text = rows[i]["tool_result"]
+        assert json.loads(text) == want and rows[i]["extra"] == "kept" and list(json.loads(text)) == list(want)
+        if "total" not in want and "Tool" not in str(want) and "tool" not in str(want):
+            assert text == json.dumps(want, indent=2)
+
+
+def test_mixed_batches_scan_little_and_stand_a_hot_key(spark, tmp_path):
+    requests = spark.range(900).select(
+        F.col("id").alias("request_id"), F.lit("lookup_order").alias("action"), F.when(F.col("id") % 3 == 0, "ORD-1").otherwise(F.concat(F.lit("ORD-"), F.col("id"))).alias("order_id"),
+        F.lit("a@x").alias("email"), F.lit("Basic").alias("new_plan"), F.lit(1.0).alias("amount"))
+    orders = spark.range(600).select(F.concat(F.lit("ORD-"), F.col("id")).alias("order_id"), F.lit("shipped").alias("status"), F.lit(2.0).alias("total"), F.lit("1998-01-01").cast("date").alias("estimated_delivery"))
+    accounts = spark.createDataFrame([("a@x", "active", "Basic", "Card")], "email string, account_status string, subscription_plan string, payment_method string")
+    tables = []
+    for name, df in (("r", requests), ("o", orders), ("a", accounts)):
+        df.write.parquet(f"{tmp_path}/{name}")
+        tables.append(spark.read.parquet(f"{tmp_path}/{name}"))
+    out = support.adjudicate(*tables, "1998-01-31")
+    codes = {r["request_id"]: r["code"] for r in out.collect()}
+    assert len(codes) == 900 and all(codes[i] == ("ok" if i % 3 == 0 or i < 600 else "order_not_found") for i in codes)
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") <= 5, final.count("FileScan")

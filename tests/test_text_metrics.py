@@ -1,12 +1,14 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from colloquy.functions import fixed_values as fixed
 from colloquy.functions import lcs
 from colloquy.functions.text import bleu_tokens, rouge_tokens, word_count
 from colloquy.operators import embeddings, metrics
@@ -248,3 +250,36 @@ def test_greedy_match_against_brute_force(spark, block):
         assert got[p]["recall"] == pytest.approx(recall, abs=1e-6)
         assert got[p]["f1"] == pytest.approx(2 * precision * recall / (precision + recall), abs=1e-6)
     assert tuple(got[3])[1:] == tuple(got[4])[1:] == (0.0, 0.0, 0.0)
+
+
+def _by_rules(text):
+    for pattern, new in fixed.BLEU_13A_RULES:
+        text = re.sub(pattern, new.replace("$1", r"\1").replace("$2", r"\2"), text)
+    return text.split()
+
+
+def test_13a_tokens_equal_the_rules_on_generated_texts(spark):
+    rng = random.Random(13)
+    parts = [".", ",", "-", "5", "42", "a", "B", " ", "\n", "-\n", "'", "!", "$", "/", "&amp;", "&lt;", "<skipped>", "é", "中", "\u00a0", "_", "~", "..", "3.14", "1,000", "e.g."]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(6000)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id long, t string").select("id", bleu_tokens("t").alias("k")).collect()
+    wrong = [(texts[r["id"]], r["k"], _by_rules(texts[r["id"]])) for r in rows if r["k"] != _by_rules(texts[r["id"]])]
+    assert not wrong, wrong[:3]
+
+
+def test_13a_tokens_of_the_documents_equal_the_rules(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text", bleu_tokens("text").alias("k"))
+    assert all(r["k"] == _by_rules(r["text"] or "") for r in docs.collect())
+
+
+def test_long_lines_keep_few_states():
+    rng = random.Random(2)
+    a = [str(rng.randint(0, 40_000)) for _ in range(40_000)]
+    b = [t for t in a if rng.random() < 0.7] + [str(rng.randint(0, 40_000)) for _ in range(12_000)]
+    tracemalloc.start()
+    taken = lcs.lcs_reference_positions(a, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(taken) == lcs.lcs_length(a, b)
+    # All states of the table would be m * n / 8 bytes, about 200 MB.
+    assert peak < 25_000_000
