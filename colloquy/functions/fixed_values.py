@@ -91,6 +91,9 @@ BLEU_13A_RULES = [
     (r"([0-9])(-)", "$1 $2 "),
 ]
 
+# The label of an example that is picked to be shown.
+EXAMPLE_LABEL = "**Intent:** `{intent}`  ·  **Category:** `{category}`"
+
 # Metrics shown in a comparison, in order, with the ones where a lower value is better.
 COMPARED_METRICS = ["bleu", "rouge1", "rouge2", "rougeL", "avg_pred_length", "avg_latency_ms"]
 LOWER_IS_BETTER = ["avg_pred_length", "avg_latency_ms", "p95_latency_ms"]

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.functions import fixed_values as fixed
-from colloquy.functions.text import normalize_ws, quality_flag, seeded_key
+from colloquy.functions.text import fill, normalize_ws, quality_flag, seeded_key
 from colloquy.operators.joins import mark_keys
 
 
@@ -164,8 +164,5 @@ def pick_example(
 ) -> DataFrame:
     """One seeded random row of an intent (``None`` = all) with a label; empty if none."""
     pool = df if intent is None else df.where(F.col("intent") == intent)
-    label = F.concat(
-        F.lit("**Intent:** `"), F.col("intent"), F.lit("`  ·  **Category:** `"), F.col("category"),
-        F.lit("`"),
-    )
+    label = fill(fixed.EXAMPLE_LABEL, intent=F.col("intent"), category=F.col("category"))
     return pool.orderBy(seeded_key(order, seed), order).limit(1).withColumn("label", label)

@@ -52,7 +52,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("exact_dedup", exact), ("near_dedup", near), ("pii", redaction), ("packing", pack)]
 
-# Thresholds from sketches, signatures, boosted trees and token ids are beyond SQL; tests compare the stages with brute force.
+# Signatures, boosted trees and token ids are beyond SQL; a test compares every stage with brute force on its own input.
 ORACLE_SQL = None
 
 
