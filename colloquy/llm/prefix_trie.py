@@ -33,7 +33,7 @@ from colloquy.llm.arrays import batch_of, map_batches
 from colloquy.session import durable
 
 SPAN = 1024
-LIMIT = 4096
+LIMIT = 1024
 # Nodes a task splits together, whole components only.
 AT_ONCE = 1 << 16
 # Conversation ids that agree but for their last RUN_BITS bits are joined to one text; a node's texts are hashed in order.
