@@ -106,3 +106,13 @@ def test_transcript_and_pair(row):
     ).first()
     assert out[0] == "SYSTEM: S\nUSER:   Is it 100% {new}? \nASSISTANT: Yes\n\nASSISTANT:"
     assert out[1] == "User:   Is it 100% {new}? \nAssistant: Yes\n"
+
+
+def test_calls_of_one_conversation_go_by_their_numbers(spark):
+    table = spark.createDataFrame([(1, 0, "user", "hello"), (2, 0, "user", "hi")], "conv_id long, turn int, role string, text string")
+    numbers = [9000, 3, 4097, 4096, 5]
+    tools = spark.createDataFrame([(1, n, f"call {n}", f"result {n}") for n in numbers], "conv_id long, call long, response string, tool_result string")
+    rows = turns.history_rows(table, "SYS", tools).where("conv_id = 1").orderBy("turn").collect()
+    assert [r["turn"] for r in rows] == list(range(-1, 1 + 2 * len(numbers)))
+    assert [r["content"] for r in rows[2::2]] == [f"call {n}" for n in sorted(numbers)]
+    assert all(f"result {n}\n" in r["content"] for n, r in zip(sorted(numbers), rows[3::2]))
