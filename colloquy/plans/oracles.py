@@ -35,7 +35,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         SELECT *, substr(response, 1, length(response) // 2) AS prediction,
                length(instruction) * 12.5::DOUBLE AS latency_ms FROM pairs"""),
     "doc_predictions": (["dialogues"], """
-        SELECT *, substr(response, 1, length(response) // 2) AS prediction FROM dialogues"""),
+        SELECT *, substr(response, 1, length(response) // 2) AS prediction, length(response) * 1.5::DOUBLE AS latency_ms FROM dialogues"""),
     "latency": ([], """
         SELECT event_id, event_type AS label, CASE WHEN event_id % 997 <> 5 THEN value END AS latency_ms,
                CAST(json_extract_string(props, '$.k') AS BIGINT) AS response_tokens, props AS prompt FROM events"""),
@@ -225,21 +225,23 @@ def _rouge_rows(n: int) -> str:
 
 
 def _lcs_ctes(source: str, tag: str) -> str:
-    """LCS by the usual table, one row of it per recursion step; ends in ``lcs_{tag}``."""
+    """LCS by the usual table, one row of it per recursion step; ends in ``lcs_{tag}``. Words that both texts begin with belong to some LCS, so they need no table."""
     step = (
         "list_transform(range(1, len(q) + 1), lambda j: greatest(dp[j + 1], "
         "CASE WHEN q[j] = p[i + 1] THEN dp[j] + 1 ELSE 0 END))"
     )
     return f"""
-        words_{tag} AS (SELECT example_id, {_rouge_tokens('prediction')} AS p, {_rouge_tokens('response')} AS q FROM {source}),
+        whole_words_{tag} AS (SELECT example_id, {_rouge_tokens('prediction')} AS p, {_rouge_tokens('response')} AS q FROM {source}),
+        words_{tag} AS (SELECT example_id, p[k + 1:] AS p, q[k + 1:] AS q, k, len(p) + len(q) AS n
+            FROM (SELECT *, coalesce(list_position(list_transform(range(1, least(len(p), len(q)) + 1), lambda j: p[j] = q[j]), false) - 1, least(len(p), len(q))) AS k
+                  FROM whole_words_{tag})),
         dp_{tag} AS (
-            SELECT example_id, p, q, 0 AS i, list_transform(range(0, len(q) + 1), lambda j: 0::BIGINT) AS dp FROM words_{tag}
+            SELECT example_id, p, q, k, n, 0 AS i, list_transform(range(0, len(q) + 1), lambda j: 0::BIGINT) AS dp FROM words_{tag}
             UNION ALL
-            SELECT example_id, p, q, i + 1,
+            SELECT example_id, p, q, k, n, i + 1,
                    [0::BIGINT] || list_transform(range(1, len(q) + 1), lambda j: list_max(best[1:j]))
             FROM (SELECT *, {step} AS best FROM dp_{tag} WHERE i < len(p))),
-        lcs_{tag} AS (SELECT example_id, CASE WHEN len(q) > 0 AND list_max(dp) > 0
-            THEN 2.0::DOUBLE * list_max(dp) / (len(p) + len(q)) ELSE 0.0 END AS f FROM dp_{tag} WHERE i = len(p))"""
+        lcs_{tag} AS (SELECT example_id, CASE WHEN k + list_max(dp) > 0 THEN 2.0::DOUBLE * (k + list_max(dp)) / n ELSE 0.0 END AS f FROM dp_{tag} WHERE i = len(p))"""
 
 
 def _lsum_ctes(source: str, tag: str) -> str:
@@ -266,8 +268,9 @@ def _lsum_ctes(source: str, tag: str) -> str:
         tab_{tag} AS (
             SELECT id, 0 AS i, list_transform(range(0, len(p) + 1), lambda j: 0::BIGINT) AS last FROM uniq_{tag} WHERE len(qp) > 1
             UNION ALL
-            SELECT id, i + 1, [0::BIGINT] || list_transform(range(1, len(p) + 1), lambda j: list_max(best[1:j]))
-            FROM (SELECT t.id, t.i, u.p, {step} AS best FROM tab_{tag} t JOIN uniq_{tag} u ON u.id = t.id WHERE t.i < len(u.qs))),
+            SELECT id, i + 1, [0::BIGINT] || list_transform(range(1, len(p) + 1), lambda j: greatest(list_max(tops[1:(j - 1) // 32]), list_max(best[(j - 1) // 32 * 32 + 1:j])))
+            FROM (SELECT *, list_transform(range(0, (len(p) + 31) // 32), lambda b: list_max(best[b * 32 + 1:b * 32 + 32])) AS tops
+                  FROM (SELECT t.id, t.i, u.p, {step} AS best FROM tab_{tag} t JOIN uniq_{tag} u ON u.id = t.id WHERE t.i < len(u.qs)))),
         whole_{tag} AS MATERIALIZED (SELECT id, list(last ORDER BY i) AS tab FROM tab_{tag} GROUP BY id),
         walk_{tag} AS (
             SELECT id, len(qs) AS i, len(p) AS j, 0::BIGINT AS taken FROM uniq_{tag} WHERE len(qp) > 1
@@ -998,3 +1001,9 @@ ORACLES: dict[str, str] = {
                   CASE WHEN length(instruction) % 5 = 0 THEN 'rate_limit' END AS kind,
                   CASE WHEN length(instruction) % 5 = 0 THEN 7.0::DOUBLE END AS wait_seconds FROM pairs""", "pairs"),
 }
+
+# Queries whose SQL is too slow for large tables (minutes at a thousand long texts); tests run it on small ones.
+SMALL_ORACLES: dict[str, str] = {
+    "metrics_documents": sql(
+        f"SELECT category, 'half' AS label, 'models/half' AS model_path, n_samples, {FULL} FROM full_docs", "doc_predictions", extra=_record("doc_predictions", "docs", "category")),
+}

@@ -6,6 +6,7 @@ import pytest
 from crosscheck import compare, duck
 
 import __spark_entry__ as entry_points
+from colloquy.plans.oracles import SMALL_ORACLES
 
 FOLDER = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
@@ -23,6 +24,12 @@ def test_query_equals_sql(name, spark, con):
     assert compare(name, spark, con, FOLDER, QUERIES, ORACLES) is None
 
 
+@pytest.mark.parametrize("name", sorted(SMALL_ORACLES))
+@pytest.mark.skipif(not FOLDER.endswith("sf0.001"), reason="too slow in SQL")
+def test_query_equals_slow_sql_on_small_tables(name, spark, con):
+    assert compare(name, spark, con, FOLDER, QUERIES, SMALL_ORACLES) is None
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
 def test_query_without_sql_runs(name, spark):
     assert QUERIES[name](spark, FOLDER).count() > 0
