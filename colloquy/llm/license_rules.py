@@ -19,6 +19,7 @@ whole. Columns other than the id and the text are not read.
 
 from __future__ import annotations
 
+import json
 import re
 from functools import reduce
 
@@ -186,7 +187,7 @@ BASE = [("gnu general public license", "gpl"), ("apache license", "apache"), ("c
 # A text without any of these stems has no keyword; keywords without one are stems themselves.
 STEMS = [
     "licen", "gpl", "spdx", "cc by", "cc0", "creative commons", "creativecommons", "public domain", "redistribut", "copyright", "prohibited", "permission", "warranty", "clause",
-    "proprietary", "this product includes", "this software", " apache", " mpl", " epl", "the mit", "the bsd", "mozilla org", "same terms as", "beer", "the fuck you", "purposes only",
+    "proprietary", "this product includes", "this software", " apache", " mpl", " epl", "the mit", "bsd", "mozilla org", "same terms as", "the fuck you", "purposes only",
 ]
 GRANT = "(this (work|software|file|program|project) is )?(licen[cs]ed|released|distributed|published|available|provided) under( the terms of)?( the| a| an)?"
 ENDING = "( international| unported| license| licence| public license){0,3}"
@@ -332,9 +333,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     100; base phrases count as 60.
     """
     rules = build_rules() if rules is None else rules
-    table = F.array(*[F.struct(
-        F.lit(g).alias("keyword"), F.lit(p).alias("pattern"), F.lit(label).alias("label"), F.lit(n).alias("priority")
-    ) for g, p, label, n in rules])
+    # Rules of one keyword stand together, so that a text is searched once for each keyword. The table is one literal, read when the plan is made.
+    by_keyword: dict[str, list[dict]] = {}
+    for place, (keyword, pattern, label, priority) in enumerate(rules):
+        by_keyword.setdefault(keyword, []).append({"place": place, "pattern": pattern, "label": label, "priority": priority})
+    kind = "array<struct<keyword:string,rules:array<struct<place:int,pattern:string,label:string,priority:int>>>>"
+    table = F.from_json(F.lit(json.dumps([{"keyword": keyword, "rules": own} for keyword, own in by_keyword.items()])), kind)
     any_of = lambda c, parts: reduce(lambda a, b: a | b, [c.contains(p) for p in parts], F.lit(False))
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("whole"))
     rows = rows.withColumn("text", plain(F.col("whole")))
@@ -350,7 +354,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     rows = rows.withColumn("ruled", F.when(any_of(F.col("text"), stems_of(rules)), plain(F.col("whole"), plus=True)))
     text = F.col("ruled")
     start = F.struct(F.array().cast("array<int>").alias("reach"), F.array().cast(_FOUND).alias("found"))
-    let_through = F.filter(table, lambda r: F.contains(text, r["keyword"]))
+    let_through = F.array_sort(F.flatten(F.transform(F.filter(table, lambda g: F.contains(text, g["keyword"])), lambda g: g["rules"])))
     found = F.aggregate(let_through, start, lambda state, rule: _apply(state, rule, text), lambda s: s["found"])
     rows = rows.withColumn("found", F.when(text.isNotNull(), found).otherwise(F.array().cast(_FOUND)))
     best = F.greatest(F.coalesce(F.array_max(F.transform("found", lambda x: x["priority"])), F.lit(0)), F.when(F.size("base") > 0, F.lit(60)).otherwise(F.lit(0)))
