@@ -57,12 +57,15 @@ def with_quality_flag(df: DataFrame, col: str = "flags", flags: str = fixed.QUAL
 
 
 def key_digest(keys: list[str]) -> Column:
-    """SHA-256 of several texts, each with its length in front so that moving a boundary changes it; null is a value."""
+    """SHA-256 of several texts, each with its length in front so that moving a boundary changes it; null is a value.
+
+    Never null, and the optimizer can see that: a join on a nullable digest makes it test every row for a null below the scan, at the price
+    of several more digests a row, and differently on either side of the join, so that neither uses what the other has made."""
     parts = []
     for k in keys:
         text = F.col(k).cast("string")
         parts += [F.coalesce(F.length(text).cast("string"), F.lit("null")), F.lit(":"), F.coalesce(text, F.lit(""))]
-    return F.sha2(F.concat(*parts).cast("binary"), 256)
+    return F.coalesce(F.sha2(F.concat(*parts).cast("binary"), 256), F.lit(""))
 
 
 def _first_of_each(

@@ -84,9 +84,11 @@ def mark_keys(df: DataFrame, keys: DataFrame, key: str, into: str) -> DataFrame:
     The map has a bit for each hash of a key. A key that is among them is always marked; where the map is full, every key is,
     and nothing but the saving is lost.
     """
-    place = F.pmod(F.xxhash64(key), F.lit(MAP_BITS))
+    # Never null, as the optimizer can see: it would add tests for null to the joins and move them below what makes ``keys``.
+    place = F.coalesce(F.pmod(F.xxhash64(key), F.lit(MAP_BITS)), F.lit(0))
+    word = F.expr("coalesce(__place div 64, 0L)").alias("__word")
     bit = F.expr("shiftleft(1L, cast(__place % 64 as int))")
-    words = keys.select(place.alias("__place")).select(F.expr("__place div 64").alias("__word"), bit.alias("__bit"))
+    words = keys.select(place.alias("__place")).select(word, bit.alias("__bit"))
     words = words.groupBy("__word").agg(F.bit_or("__bit").alias("__bits"))
-    placed = df.withColumn("__place", place).withColumn("__word", F.expr("__place div 64")).join(F.broadcast(words), "__word", "left")
+    placed = df.withColumn("__place", place).withColumn("__word", word).join(F.broadcast(words), "__word", "left")
     return placed.select(*df.columns, F.coalesce(F.col("__bits").bitwiseAND(bit) != 0, F.lit(False)).alias(into))
