@@ -167,6 +167,8 @@ class Encoder:
         self.plain: dict[str, bytes | None] = {}
         self.held = {" ": 0, "": 0}
         special = sorted(self.vocabulary.special, key=len, reverse=True)
+        # No special token can stand in a piece of letters alone.
+        self.letters_only = not any(t.strip().isalpha() for t in special)
         self.special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
 
     def _split(self, piece: str) -> list[str | int]:
@@ -185,17 +187,22 @@ class Encoder:
         """
         new = wanted.difference(known)
         words: dict[str, int] = {}
-        split, learnt = [], {}
+        split, single, learnt = [], [], {}
         for piece in new:
             if space and (not piece or piece[0].isspace() or piece[-1].isspace()):
                 learnt[piece] = None
                 continue
+            if self.letters_only and piece.isalpha() and piece.isascii():  # one word, as the pattern has it
+                single.append((piece, words.setdefault(space + piece, len(words))))
+                continue
             parts = self._split(space + piece)
             split.append((piece, parts))
             for word in parts:
                 if isinstance(word, str):
                     words.setdefault(word, len(words))
         ids = self.vocabulary.merge([w.encode() for w in words])
+        for piece, i in single:
+            learnt[piece] = ids[i]
         for piece, parts in split:
             learnt[piece] = b"".join([ids[words[w]] if isinstance(w, str) else packed([w]) for w in parts])
         long = {piece: i for piece, i in learnt.items() if len(piece) > LONG_PIECE}

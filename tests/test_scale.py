@@ -60,3 +60,31 @@ def test_overlaps_leave_the_rows_arrays_to_the_arrow_function(spark):
     out = overlap.with_overlaps(df, "l", "r", [1, 2], "x_")
     assert "sort_array" not in plan_of(out)
     assert {tuple(r) for r in out.collect()} == {(1, 2, 2, 2, 0), (2, 0, 1, 0, 0), (3, 0, 0, 0, 0)}
+
+
+def test_bit_rows_of_a_short_line_are_used_as_they_are(monkeypatch):
+    from colloquy.functions import lcs
+
+    monkeypatch.setattr(lcs, "_condensed", None)
+    assert lcs.rouge_lsum_pair("a x b y c\nd", "b a c b\nz") == pytest.approx(2 * 2 / (6 + 5))
+
+
+def test_words_of_letters_skip_the_pattern(monkeypatch):
+    from pathlib import Path
+
+    import public_tokenizers
+
+    from colloquy.llm import bpe
+
+    encoder = bpe.Encoder(Path(public_tokenizers.path("byte_bpe_50k.json")).read_bytes())
+    texts = ["plain words of letters alone", "don't 12 café <|endoftext|> end", "", "a  b"]
+    want = []
+    for t in texts:
+        ids = []
+        for part in encoder._split(t):
+            ids.append(bpe.packed([part]) if isinstance(part, int) else encoder.vocabulary.merge([part.encode()])[0])
+        want.append(b"".join(ids))
+    split = []
+    monkeypatch.setattr(encoder, "_split", lambda piece, f=encoder._split: split.append(piece) or f(piece))
+    assert encoder.encode_many(texts) == want
+    assert not {" words", " of", " letters", " alone"} & set(split)
