@@ -20,25 +20,20 @@ def hot_salts(facts: DataFrame, keys: list[str], share: float = HOT_SHARE, rows:
     """For each key column a map from its hot keys (as text) to their number of salts, one per ``rows`` of them: scalars, read when a result is.
 
     A key is hot if it holds more than ``share`` of the rows that have a key, and more than ``rows``. A mergeable heavy-hitter sketch names at most
-    ``2 / share`` candidates per column in one pass over the keys; an exact count of those, the other keys together, decides in a second.
+    ``2 / share`` candidates per column in one pass over the keys, with counts that are never short and at most ``3.5 / TRACKED`` of the rows over:
+    salts deal rows out and change no result, so no second pass counts them exactly.
     """
     most = int(2 / share)
     texts = facts.select(*[F.col(k).cast("string").alias(f"__{i}") for i, k in enumerate(keys)])
-    candidates = texts.agg(*[
-        F.expr(f"transform(approx_top_k(__{i}, {most}, {max(TRACKED, most)}), x -> x.item)").alias(f"__{i}") for i in range(len(keys))
-    ]).select(F.struct("*")).scalar()
-    each = F.array(*[
-        F.struct(F.lit(i).alias("place"), F.col(f"__{i}").alias("key"), F.array_contains(candidates[f"__{i}"], F.col(f"__{i}")).alias("named")) for i in range(len(keys))
-    ])
-    counted = texts.select(F.inline(each)).where("key is not null").groupBy("place", F.when(F.col("named"), F.col("key")).alias("key")).agg(F.count(F.lit(1)).alias("n"))
-    totals = counted.groupBy("place").agg(
-        F.sum("n").alias("total"), F.collect_list(F.when(F.col("key").isNotNull(), F.struct("key", "n"))).alias("named")
-    )
-    hot = F.filter("named", lambda x: x["n"] > F.greatest(F.col("total") * F.lit(share), F.lit(rows)))
-    salts = F.map_from_entries(F.transform(hot, lambda x: F.struct(x["key"], F.ceil(x["n"] / F.lit(max(rows, 1))).cast("bigint"))))
-    maps = totals.select("place", salts.alias("salts")).agg(
-        *[F.first(F.when(F.col("place") == i, F.col("salts")), ignorenulls=True).alias(f"__{i}") for i in range(len(keys))]
-    ).select(F.struct("*")).scalar()
+    counted = texts.agg(*[c for i in range(len(keys)) for c in (
+        F.expr(f"approx_top_k(__{i}, {most}, {max(TRACKED, most)})").alias(f"__{i}"), F.count(f"__{i}").alias(f"__n{i}")
+    )])
+
+    def salts(i: int) -> Column:
+        hot = F.filter(f"__{i}", lambda x: x["item"].isNotNull() & (x["count"] > F.greatest(F.col(f"__n{i}") * F.lit(share), F.lit(rows))))
+        return F.map_from_entries(F.transform(hot, lambda x: F.struct(x["item"], F.ceil(x["count"] / F.lit(max(rows, 1))).cast("bigint"))))
+
+    maps = counted.select(F.struct(*[salts(i).alias(f"__{i}") for i in range(len(keys))])).scalar()
     return {k: maps[f"__{i}"] for i, k in enumerate(keys)}
 
 
@@ -67,10 +62,11 @@ def lookup_join(
         "__salt", F.when(F.col(key).isNull(), spread).otherwise(F.coalesce(F.pmod(spread, own), F.lit(0))),
     )
     others = [c for c in state.columns if c != key]
-    unique = state.groupBy(key).agg(F.min(F.struct(*(others or [key]))).alias("__state"))
-    unique = unique.select(key, *[F.col("__state")[c].alias(c) for c in others])
     copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce(own - 1, F.lit(0).cast("bigint")))
-    right = unique.withColumn("__salt", F.explode(copies)).select(key, "__salt", F.struct(*state.columns).alias(into))
+    # Grouped by the columns of the join, whose shuffle and order then serve both.
+    salted = state.withColumn("__salt", F.explode(copies))
+    unique = salted.groupBy(key, "__salt").agg(F.min(F.struct(*(others or [key]))).alias("__state"))
+    right = unique.select(key, "__salt", F.struct(*[key if c == key else F.col("__state")[c].alias(c) for c in state.columns]).alias(into))
     return left.join(right, [key, "__salt"], "left").select(*facts.columns, into)
 
 

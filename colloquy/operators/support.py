@@ -9,16 +9,19 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from colloquy.functions import fixed_values as fixed
-from colloquy.functions.text import fill, json_object
+from colloquy.functions.text import fill, json_object_fields
 from colloquy.operators.joins import hot_salts, lookup_join
 
 Rules = list[tuple[Column, str]]
 
 # ---------------------------------------------------------------- tool calls in text
 
+# The fixed classes of white space and of line ends under ``(?U)``: few tests a character where the lists of their ranges take many.
+_SPACE = r"\s\x1c-\x1f"
+_LINE_END = r"\v\x1c-\x1e"
+
 
 def with_tool_call(df: DataFrame, text: str = "text") -> DataFrame:
     """Add ``tool`` and ``args`` of the first line that calls a tool; null if there is none.
@@ -26,22 +29,23 @@ def with_tool_call(df: DataFrame, text: str = "text") -> DataFrame:
     Arguments that are not a JSON object become an empty map; a call without parentheses
     has no tool name.
     """
-    space, end, mark = fixed.WHITESPACE_CLASS, fixed.LINE_BREAK_CLASS, fixed.TOOL_CALL_MARK
+    mark = fixed.TOOL_CALL_MARK
     # The rest of the first line that has nothing but white space before the mark.
-    call = F.regexp_extract(text, rf"(?:^|[{end}])[{space}]*{mark}[{space}&&[^{end}]]*([^{end}]*)", 1)
+    call = F.regexp_extract(text, rf"(?U)(?:^|[{_LINE_END}])[{_SPACE}]*+{mark}[{_SPACE}&&[^{_LINE_END}]]*+([^{_LINE_END}]*+)", 1)
     # The name, and everything up to the last closing parenthesis.
     parts = F.transform(F.array(call), lambda c: F.struct(
-        F.regexp_substr(c, F.lit(rf"^[^({space}][^(]*?(?=[{space}]*\(.*\))")).alias("tool"),
-        F.regexp_extract(c, r"\((.*)\)", 1).alias("given"),
+        F.regexp_extract(c, rf"(?U)^[^({_SPACE}][^(]*?(?=[{_SPACE}]*\(.*\))", 0).alias("__tool"),
+        F.regexp_extract(c, r"\((.*)\)", 1).alias("__given"),
     ))
     # Texts without the mark skip the regular expressions. The array keeps a later test of ``tool`` from running them again.
-    found = df.withColumn("__call", F.when(F.col(text).contains(mark), parts).otherwise(F.slice(parts, 1, 0)))
+    found = df.withColumn("__call", F.when(F.col(text).contains(mark), parts))
     one = found.select(*df.columns, F.inline_outer("__call"))
-    parsed = F.from_json(
-        json_object("given"), T.MapType(T.StringType(), T.StringType()), {"allowSingleQuotes": "false"}
-    )
     empty = F.create_map().cast("map<string,string>")
-    return one.select(*df.columns, "tool", F.when(F.col("tool").isNotNull(), F.coalesce(parsed, empty)).alias("args"))
+    called = F.col("__tool") != ""
+    return one.select(
+        *df.columns, F.when(called, F.col("__tool")).alias("tool"),
+        F.when(called, F.coalesce(json_object_fields("__given"), empty)).alias("args"),
+    )
 
 
 def tool_usage(calls: DataFrame) -> DataFrame:
@@ -436,7 +440,9 @@ def _quoted(text: Column) -> Column:
     one = F.transform(F.array(plain), lambda t: F.when(t.rlike(r"^[\x00-\x7F]*$"), t).otherwise(F.array_join(F.transform(
         F.split(t, ""), lambda c: F.when(c.rlike(r"^[\x00-\x7F]*$"), c).otherwise(F.regexp_replace(F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(.{4})", r"\\u$1"))
     ), "")))
-    return F.when(text.isNull(), F.lit("null")).otherwise(F.element_at(one, 1))
+    # Printable ASCII without a quote or a backslash stands as it is.
+    simple = text.rlike(r"^[\x20!#-\[\]-~]*\z")
+    return F.when(text.isNull(), F.lit("null")).when(simple, F.concat(F.lit('"'), text, F.lit('"'))).otherwise(F.element_at(one, 1))
 
 
 def _money_text(value: Column) -> Column:
@@ -612,15 +618,18 @@ def call_outcomes(calls: DataFrame, orders: DataFrame, accounts: DataFrame, as_o
     given to :func:`colloquy.operators.turns.history_rows`. No tool is executed.
     """
     at = _as_column(as_of)
-    checked = check_tool_calls(calls)
     others = [c for c in calls.columns if c not in ("request_id", "tool", "args", "text")]
-    bad = checked.where(F.col("code") != "ok").select(
-        "request_id", *others, "tool", "code", F.concat(F.lit('{"error": '), _quoted(F.col("error")), F.lit("}")).alias("tool_result")
-    )
-    decided = _adjudicated(requests_from_calls(checked.where(F.col("code") == "ok")), orders, accounts, at)
+    # Calls that do not fit stay among the others, so that the texts are read once; without keys, they join nothing.
+    checked = check_tool_calls(calls).withColumnsRenamed({"code": "__checked", "error": "__refusal"})
+    fits = F.col("__checked") == "ok"
+    asked = requests_from_calls(checked).withColumns({key: F.when(fits, F.col(key)) for key in ("order_id", "email")})
+    decided = _adjudicated(asked, orders, accounts, at)
     fields = None
     for action, answer in _answers(at, accounts.columns).items():
-        hit = F.col("action") == action
+        hit = fits & (F.col("action") == action)
         fields = F.when(hit, answer) if fields is None else fields.when(hit, answer)
-    told = decided.select("request_id", *others, F.col("action").alias("tool"), "code", _object_text(fields).alias("tool_result"))
-    return told.unionByName(bad)
+    bad = F.concat(F.lit('{"error": '), _quoted(F.col("__refusal")), F.lit("}"))
+    return decided.select(
+        "request_id", *others, F.col("action").alias("tool"), F.when(fits, F.col("code")).otherwise(F.col("__checked")).alias("code"),
+        F.when(fits, _object_text(fields)).otherwise(bad).alias("tool_result"),
+    )

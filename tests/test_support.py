@@ -260,3 +260,60 @@ def test_mixed_batches_scan_little_and_stand_a_hot_key(spark, tmp_path):
     assert len(codes) == 900 and all(codes[i] == ("ok" if i % 3 == 0 or i < 600 else "order_not_found") for i in codes)
     final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("FileScan") <= 5, final.count("FileScan")
+
+
+def test_calls_are_cut_at_every_line_end_and_white_space_character(spark):
+    def is_in(body, c):
+        ranges = [[ord(x) if len(x) == 1 else int(x.strip("\\x{}"), 16) for x in part] for part in body]
+        return any(r[0] <= ord(c) <= r[-1] for r in ranges)
+
+    ends = [["\n", "\r"], ["1c", "1e"], ["85"], ["2028"], ["2029"]]
+    spaces = [["\t", "\r"], ["1c", "20"], ["85"], ["a0"], ["1680"], ["2000", "200a"], ["2028"], ["2029"], ["202f"], ["205f"], ["3000"]]
+    chars = [chr(c) for c in [*range(0x100), 0x1680, 0x180E, *range(0x2000, 0x2070), 0x3000, 0xFEFF] if chr(c) not in "()"]
+    rows = [(c, f"hm{c}TOOL_CALL: f{{}}\n{c}TOOL_CALL:{c}g{c}({{}}){c}x)") for c in chars]
+    got = {r["c"]: r["tool"] for r in support.with_tool_call(spark.createDataFrame(rows, "c string, text string")).collect()}
+    for c in chars:
+        end, space = is_in(ends, c), is_in(spaces, c)
+        # A line end in front starts a line with a call that has no parentheses.
+        want = None if end or not space else "g"
+        assert got[c] == want, hex(ord(c))
+
+
+def test_fields_of_a_json_object_are_those_of_the_whole_text(spark):
+    from colloquy.functions.text import json_object, json_object_fields
+
+    texts = ['{"a": 1}', "{}", ' {"a":{"b":[1, 2]}} ', '{"a":null}', "[1]", '"{"', "{", '{"a":1} x', '{"a": 1}] [{"b": 2}', '{"a":1},{"b":2}', '{"a":1}{"b":2}', "{'a':1}",
+             '{"a":"\\u00e9"}', "", None, "null", '{"a":1},', '{"a":NaN}', '{"__end":1}', '{"a":1}}', '{"a":[1,]}', '\n{"a":\n1}\n']
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    known = F.from_json(json_object("t"), "map<string,string>", {"allowSingleQuotes": "false"})
+    for r in df.select("t", known.alias("want"), json_object_fields("t").alias("got")).collect():
+        assert r["got"] == r["want"], r["t"]
+    # A text that brings an end of its own is not one object.
+    assert df.limit(1).select(json_object_fields(F.lit('{"a":1},{"__end":1}] [')).alias("x")).first()["x"] is None
+
+
+def test_outcomes_read_the_texts_twice_and_shuffle_the_state_once(spark, tmp_path):
+    # Fitting calls, calls with wrong arguments, unknown tools, texts without a call and null texts.
+    text = F.when(F.col("id") % 5 == 0, 'TOOL_CALL: lookup_order({"x": 1})').when(F.col("id") % 5 == 1, "TOOL_CALL: fly({})").when(F.col("id") % 5 == 2, "hello").when(
+        F.col("id") % 5 == 3, F.concat(F.lit('TOOL_CALL: lookup_order({"order_id": "ORD-'), F.col("id"), F.lit('"})')))
+    spark.range(500).select(F.col("id").alias("request_id"), text.alias("text")).write.parquet(f"{tmp_path}/c")
+    spark.range(300).select(F.concat(F.lit("ORD-"), F.col("id")).alias("order_id"), *[F.lit("shipped").alias(c) for c in ("status", "carrier", "tracking_number", "shipping_address")],
+                            *[F.lit("1998-01-01").cast("date").alias(c) for c in ("order_date", "estimated_delivery")], F.lit(2.0).alias("total"),
+                            F.array(F.struct(F.lit("n").alias("name"), F.lit(1).alias("quantity"), F.lit(2.0).alias("price"))).alias("items")).write.parquet(f"{tmp_path}/o")
+    accounts = spark.createDataFrame([("a@x", "active", "Basic", "Card")], "email string, account_status string, subscription_plan string, payment_method string").withColumns(
+        {"member_since": F.lit("1990-05-06").cast("date"), "billing_cycle": F.lit("monthly"), "next_billing_date": F.lit("1998-02-03").cast("date")})
+    calls = support.with_tool_call(spark.read.parquet(f"{tmp_path}/c"))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = support.call_outcomes(calls, spark.read.parquet(f"{tmp_path}/o"), accounts, "1998-01-31")
+        rows = {r["request_id"]: r for r in out.collect()}
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert {i: rows[i]["code"] for i in (0, 1, 3, 498)} == {0: "bad_arguments", 1: "unknown_tool", 3: "ok", 498: "order_not_found"}
+    assert len(rows) == 300 and json.loads(rows[1]["tool_result"]) == {"error": "Unknown tool: fly"}
+    # Once for the hot keys and once for the answers; the orders and the requests are each dealt out once by order.
+    assert plan.count(f"{tmp_path}/c]") == 2 and plan.count("hashpartitioning(order_id") == 2, plan
